@@ -181,3 +181,46 @@ def with_views(sql: str, *extra: str) -> str:
         body = body[5:]
         return f"WITH {ctes},\n{body}"
     return f"WITH {ctes}\n{body}"
+
+
+def _stages_sql() -> str:
+    industry = " ".join(f"WHEN product = '{p}' THEN industry_code IN ({', '.join(map(str, r['industries']))})"
+                        for p, r in T.PRODUCT_RULES.items())
+    rmin = " ".join(f"WHEN product = '{p}' THEN {r['revenue_min']}" for p, r in T.PRODUCT_RULES.items())
+    rmax = " ".join(f"WHEN product = '{p}' THEN {r['revenue_max']}" for p, r in T.PRODUCT_RULES.items())
+    reasons = T.REJECTION_REASONS
+    return f"""
+  SELECT *, qualified AND c0 AND c1 AND c2 AND c3 AS target,
+    qualified AND c0 AND c1 AND c2 AND c3 AND NOT email_opt_out AS prospect,
+    CASE WHEN NOT qualified THEN CASE WHEN dnb_number IS NULL THEN '{reasons[0]}'
+      WHEN company_type IS NULL THEN '{reasons[1]}' WHEN revenue IS NULL THEN '{reasons[2]}'
+      WHEN risk_excluded THEN '{reasons[3]}' ELSE '{reasons[4]}' END END AS rejection_reason
+  FROM (SELECT *, completeness >= {T.QUALIFICATION_THRESHOLD} AS qualified FROM (SELECT *,
+    CAST((CASE WHEN dnb_number IS NOT NULL THEN 1 ELSE 0 END) + (CASE WHEN company_type IS NOT NULL THEN 1 ELSE 0 END)
+     + (CASE WHEN revenue IS NOT NULL THEN 1 ELSE 0 END) + (CASE WHEN NOT risk_excluded THEN 1 ELSE 0 END) AS DOUBLE)
+      / 4.0 AS completeness,
+    COALESCE(CASE {industry} END, false) AS c0,
+    COALESCE(revenue >= CASE {rmin} END AND revenue <= CASE {rmax} END, false) AS c1,
+    COALESCE(employees > {T.MIN_EMPLOYEES}, false) AS c2,
+    COALESCE(ownership = 'private', false) AS c3
+  FROM account_flags) s0) s"""
+
+
+VIEWS["stages"] = _stages_sql()
+VIEWS["feed_status"] = f"""
+  SELECT e.source, COALESCE(t.records, 0) > 0 AS available, CAST(COALESCE(t.records, 0) AS BIGINT) AS records,
+    t.last_refresh
+  FROM (SELECT DISTINCT event_type AS source FROM events UNION ALL SELECT 'partner_feed') e
+  LEFT JOIN (SELECT event_type AS source, COUNT(*) AS records, MAX(ts) AS last_refresh FROM events
+             WHERE ts >= TIMESTAMP '{T.EVENTS_RUN_DATE} 00:00:00'
+               AND ts < TIMESTAMP '{T.EVENTS_RUN_DATE} 00:00:00' + INTERVAL 1 DAY
+             GROUP BY event_type) t ON e.source = t.source"""
+VIEWS["series"] = """
+  SELECT report_date, product, metric, value,
+    MAX(value) OVER (PARTITION BY product, metric ORDER BY date_diff('day', DATE '1970-01-01', report_date)
+                     RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS yesterday,
+    AVG(value) OVER (PARTITION BY product, metric ORDER BY date_diff('day', DATE '1970-01-01', report_date)
+                     RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING) AS avg_7d,
+    AVG(value) OVER (PARTITION BY product, metric ORDER BY date_diff('day', DATE '1970-01-01', report_date)
+                     RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING) AS avg_30d
+  FROM daily_metric"""
