@@ -98,13 +98,18 @@ def match_grade(pct, is_all, excellent: float = T.MATCH_EXCELLENT_PCT,
              .when(pct >= on_target, F.lit("On Target")).otherwise(F.lit("Below Target")))
 
 
-def freshness_bucket(last_ts, as_of, fresh_hours: float = T.FRESH_HOURS,
+def freshness_bucket(last_ts, as_of: _dt.datetime, fresh_hours: float = T.FRESH_HOURS,
                      late_hours: float = T.LATE_HOURS) -> Column:
-    """age of the latest data -> 'fresh' / 'late' / 'stale'; never seen -> 'stale'."""
-    age_h = (F.unix_timestamp(_c(as_of)) - F.unix_timestamp(_c(last_ts))) / 3600.0
-    return (F.when(_c(last_ts).isNull(), F.lit("stale"))
-             .when(age_h <= fresh_hours, F.lit("fresh"))
-             .when(age_h <= late_hours, F.lit("late")).otherwise(F.lit("stale")))
+    """age of the latest data at ``as_of`` -> 'fresh' / 'late' / 'stale'; never seen -> 'unknown'.
+
+    Compared as timestamps against precomputed cut-offs, so no time-zone or
+    sub-second rounding enters the bucket."""
+    ts = _c(last_ts)
+    fresh_from = F.lit(as_of - _dt.timedelta(hours=fresh_hours)).cast("timestamp_ntz")
+    late_from = F.lit(as_of - _dt.timedelta(hours=late_hours)).cast("timestamp_ntz")
+    return (F.when(ts.isNull(), F.lit("unknown"))
+             .when(ts >= fresh_from, F.lit("fresh"))
+             .when(ts >= late_from, F.lit("late")).otherwise(F.lit("stale")))
 
 
 def aging_days(d, run_date: _dt.date) -> Column:

@@ -177,6 +177,8 @@ def with_views(sql: str, *extra: str) -> str:
         return sql
     ctes = ",\n".join(f"{v} AS ({VIEWS[v]}\n)" for v in order)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[len('WITH RECURSIVE '):]}"
     if body.upper().startswith("WITH "):
         body = body[5:]
         return f"WITH {ctes},\n{body}"
@@ -224,3 +226,35 @@ VIEWS["series"] = """
     AVG(value) OVER (PARTITION BY product, metric ORDER BY date_diff('day', DATE '1970-01-01', report_date)
                      RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING) AS avg_30d
   FROM daily_metric"""
+
+VIEWS["query_text"] = """
+  SELECT p_partkey AS query_id,
+    'INSERT INTO T' || CAST(CAST(floor(p_partkey / 2.0) AS BIGINT) AS VARCHAR) || ' SELECT a.c1, CASE WHEN a.c2 > '
+    || CAST(p_size AS VARCHAR) || ' THEN ''big'' ELSE ''small'' END AS c2 FROM T' || CAST(p_partkey AS VARCHAR)
+    || ' a JOIN T' || CAST(p_partkey AS VARCHAR) || ' b ON a.c1 = b.c1 WHERE a.c3 >= ' || CAST(p_size AS VARCHAR)
+    || ' AND b.c2 IS NOT NULL' AS text
+  FROM part WHERE p_partkey > 0"""
+VIEWS["flat"] = """
+  SELECT query_id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(query_id AS BIGINT)) AS ts,
+    src, src_col, dst, dst_col FROM column_edges_raw"""
+VIEWS["latest_dq"] = """
+  SELECT object, test, status, score, ts FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY object, test ORDER BY ts DESC, event_id DESC) AS rn
+    FROM dq_results) x WHERE rn = 1"""
+VIEWS["node_health"] = f"""
+  SELECT *, CASE WHEN pass_ratio >= {T.HEALTH_GREEN} THEN 'green' WHEN pass_ratio >= {T.HEALTH_YELLOW} THEN 'yellow'
+    ELSE 'red' END AS health FROM (
+    SELECT object, COUNT(*) AS tests, COUNT(*) FILTER (WHERE status = 'fail') AS failing_tests,
+      AVG(CASE WHEN status = 'pass' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) AS pass_ratio,
+      MAX(ts) AS last_checked
+    FROM latest_dq GROUP BY object) h"""
+VIEWS["facts"] = f"""
+  SELECT query_id, 'join' AS kind, unnest(regexp_extract_all(text, '{r"JOIN \w+ \w+ ON (.+?) WHERE"}', 1)) AS fact FROM query_text
+  UNION ALL SELECT query_id, 'filter', unnest(regexp_extract_all(text, '{r"WHERE (.+)$"}', 1)) FROM query_text
+  UNION ALL SELECT query_id, 'case', unnest(regexp_extract_all(text, '{r"(CASE .+? END)"}', 1)) FROM query_text"""
+VIEWS["facts_by_query"] = """
+  SELECT query_id,
+    array_to_string(list_sort(list(fact) FILTER (WHERE kind = 'join')), '; ') AS join_logic,
+    array_to_string(list_sort(list(fact) FILTER (WHERE kind = 'filter')), '; ') AS filter_logic,
+    array_to_string(list_sort(list(fact) FILTER (WHERE kind = 'case')), '; ') AS case_logic
+  FROM facts GROUP BY query_id"""

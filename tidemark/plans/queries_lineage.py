@@ -1 +1,187 @@
-"""Registered queries (filled in below)."""
+"""Registered queries of the lineage and data-quality workload (S3, S4, L1-L9, W5, J11-J13,
+A19, F13, F14), each with its DuckDB oracle (recursive CTEs for the traces)."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from .. import thresholds as T
+from ..operators import lineage as L
+from ..sources import bindings as B
+from .registry import query
+
+# Freshness is judged at the end of the event run date.
+AS_OF = _dt.datetime.combine(T.EVENTS_RUN_DATE + _dt.timedelta(days=1), _dt.time())
+# The column whose paths L5 highlights (a user's click in the lineage canvas).
+PATH_OBJECT, PATH_COLUMN = "T1", "c1"
+
+
+def _flat(spark, d):
+    return L.flatten_access(B.access_log(spark, d))
+
+
+def _edges(spark, d):
+    return L.object_edges(_flat(spark, d))
+
+
+def _health(spark, d):
+    return L.node_health(L.latest_dq(B.dq_results(spark, d)))
+
+
+@query("access_log_flatten", sql="SELECT * FROM flat")
+def access_log_flatten(spark, d):
+    return _flat(spark, d)
+
+
+@query("catalog_scan", sql="""
+SELECT m.object, m.kind, m.owner, c.n_columns, c.columns
+FROM object_meta m LEFT JOIN (
+  SELECT 'T' || CAST(p_partkey AS VARCHAR) AS object, CAST(3 AS BIGINT) AS n_columns, 'c1,c2,c3' AS columns FROM part) c
+  ON m.object = c.object""")
+def catalog_scan(spark, d):
+    return L.catalog_objects(B.object_meta(spark, d), B.object_columns(spark, d))
+
+
+@query("lineage_edges", sql="""
+SELECT src, dst, MIN(ts) AS first_seen, MAX(ts) AS last_seen, COUNT(DISTINCT query_id) AS query_count
+FROM flat GROUP BY src, dst""")
+def lineage_edges(spark, d):
+    return _edges(spark, d)
+
+
+@query("lineage_column_edges", sql="""
+SELECT src, src_col, dst, dst_col, MIN(ts) AS first_seen, MAX(ts) AS last_seen,
+  COUNT(DISTINCT query_id) AS query_count
+FROM flat GROUP BY src, src_col, dst, dst_col""")
+def lineage_column_edges(spark, d):
+    return L.column_edges(_flat(spark, d))
+
+
+@query("lineage_downstream", sql="""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM flat),
+roots AS (SELECT DISTINCT src AS node FROM e WHERE src NOT IN (SELECT dst FROM e)),
+t(node, depth) AS (SELECT node, 0 FROM roots
+                   UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON e.src = t.node)
+SELECT node, MIN(depth) AS depth FROM t GROUP BY node""")
+def lineage_downstream(spark, d):
+    e = _edges(spark, d)
+    return L.trace(e, L.source_nodes(e), "down")
+
+
+@query("lineage_upstream", sql="""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM flat),
+roots AS (SELECT DISTINCT dst AS node FROM e WHERE dst NOT IN (SELECT src FROM e)),
+t(node, depth) AS (SELECT node, 0 FROM roots
+                   UNION SELECT e.src, t.depth + 1 FROM t JOIN e ON e.dst = t.node)
+SELECT node, MIN(depth) AS depth FROM t GROUP BY node""")
+def lineage_upstream(spark, d):
+    e = _edges(spark, d)
+    return L.trace(e, L.sink_nodes(e), "up")
+
+
+@query("lineage_column_path", sql=f"""
+WITH RECURSIVE ce AS (SELECT DISTINCT src, src_col, dst, dst_col, src || '.' || src_col AS a,
+                        dst || '.' || dst_col AS b FROM flat),
+up(node) AS (SELECT '{PATH_OBJECT}.{PATH_COLUMN}' UNION SELECT ce.a FROM up JOIN ce ON ce.b = up.node),
+down(node) AS (SELECT '{PATH_OBJECT}.{PATH_COLUMN}' UNION SELECT ce.b FROM down JOIN ce ON ce.a = down.node)
+SELECT DISTINCT src, src_col, dst, dst_col FROM ce
+WHERE (a IN (SELECT node FROM up) AND b IN (SELECT node FROM up))
+   OR (a IN (SELECT node FROM down) AND b IN (SELECT node FROM down))""")
+def lineage_column_path(spark, d):
+    return L.paths_through(L.column_edges(_flat(spark, d)), PATH_OBJECT, PATH_COLUMN)
+
+
+@query("impact_blast_radius", sql="""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM flat),
+fail AS (SELECT object AS node FROM node_health WHERE failing_tests > 0),
+t(root, node, depth) AS (SELECT node, node, 0 FROM fail
+                         UNION SELECT t.root, e.dst, t.depth + 1 FROM t JOIN e ON e.src = t.node)
+SELECT root, node, MIN(depth) AS hops FROM t WHERE depth > 0 GROUP BY root, node""")
+def impact_blast_radius(spark, d):
+    return L.blast_radius(_edges(spark, d), _health(spark, d))
+
+
+@query("latest_dq_result", sql="SELECT * FROM latest_dq")
+def latest_dq_result(spark, d):
+    return L.latest_dq(B.dq_results(spark, d))
+
+
+@query("node_health_score", sql="SELECT * FROM node_health")
+def node_health_score(spark, d):
+    return _health(spark, d)
+
+
+@query("join_dq_overlay", sql="""
+SELECT m.object, m.kind, m.owner, h.tests, h.failing_tests, h.pass_ratio, h.last_checked,
+  COALESCE(h.health, 'untested') AS health
+FROM object_meta m LEFT JOIN node_health h ON m.object = h.object""")
+def join_dq_overlay(spark, d):
+    return L.overlay(B.object_meta(spark, d), _health(spark, d))
+
+
+def _fresh_sql(col: str) -> str:
+    fresh = AS_OF - _dt.timedelta(hours=T.FRESH_HOURS)
+    late = AS_OF - _dt.timedelta(hours=T.LATE_HOURS)
+    return (f"CASE WHEN {col} IS NULL THEN 'unknown' WHEN {col} >= TIMESTAMP '{fresh}' THEN 'fresh' "
+            f"WHEN {col} >= TIMESTAMP '{late}' THEN 'late' ELSE 'stale' END")
+
+
+@query("freshness_bucket", sql=f"SELECT object, last_checked, {_fresh_sql('last_checked')} AS freshness FROM node_health")
+def freshness_bucket(spark, d):
+    return L.freshness(_health(spark, d), AS_OF)
+
+
+@query("lineage_node_overlay", sql=f"""
+SELECT m.object, m.kind, m.owner, COALESCE(h.health, 'untested') AS health, h.pass_ratio,
+  {_fresh_sql('h.last_checked')} AS freshness
+FROM object_meta m LEFT JOIN node_health h ON m.object = h.object""")
+def lineage_node_overlay(spark, d):
+    h = _health(spark, d)
+    fr = L.freshness(h, AS_OF).select("object", "freshness")
+    o = L.overlay(B.object_meta(spark, d), h).join(fr, "object", "left")
+    from ..functions.scalar import freshness_bucket as fb
+    return o.select("object", "kind", "owner", "health", "pass_ratio",
+                    F.coalesce(F.col("freshness"), fb(F.lit(None).cast("timestamp_ntz"), AS_OF)).alias("freshness"))
+
+
+@query("sql_text_facts", sql="SELECT * FROM facts")
+def sql_text_facts(spark, d):
+    return L.sql_text_facts(B.query_text(spark, d))
+
+
+@query("join_proc_children", sql="""
+SELECT p.query_id AS parent_query_id, p.role AS parent_role, k.query_id AS child_query_id, k.role AS child_role
+FROM query_log p JOIN query_log k ON k.parent_query_id = p.query_id WHERE p.parent_query_id IS NULL""")
+def join_proc_children(spark, d):
+    return L.proc_children(B.query_log(spark, d))
+
+
+@query("procedure_profile", sql="""
+SELECT p.query_id AS parent_query_id, COUNT(*) AS children,
+  array_to_string(list_sort(list(DISTINCT k.role)), ',') AS child_roles, MAX(k.query_id) AS last_child_query_id
+FROM query_log p JOIN query_log k ON k.parent_query_id = p.query_id WHERE p.parent_query_id IS NULL
+GROUP BY p.query_id""")
+def procedure_profile(spark, d):
+    return L.proc_profile(B.query_log(spark, d))
+
+
+@query("join_edge_logic", sql="""
+SELECT e.src, e.dst, e.query_id, f.join_logic, f.filter_logic, f.case_logic
+FROM (SELECT DISTINCT src, dst, query_id FROM flat) e LEFT JOIN facts_by_query f ON e.query_id = f.query_id""")
+def join_edge_logic(spark, d):
+    per_edge = _flat(spark, d).select("src", "dst", "query_id").distinct()
+    return per_edge.join(L.facts_by_query(L.sql_text_facts(B.query_text(spark, d))), "query_id", "left").select(
+        "src", "dst", "query_id", "join_logic", "filter_logic", "case_logic")
+
+
+@query("edge_logic", sql="""
+SELECT e.src, e.dst, COUNT(DISTINCT e.query_id) AS queries,
+  array_to_string(list_sort(list(DISTINCT f.join_logic)), ' | ') AS join_logic,
+  array_to_string(list_sort(list(DISTINCT f.filter_logic)), ' | ') AS filter_logic,
+  array_to_string(list_sort(list(DISTINCT f.case_logic)), ' | ') AS case_logic
+FROM (SELECT DISTINCT src, dst, query_id FROM flat) e LEFT JOIN facts_by_query f ON e.query_id = f.query_id
+GROUP BY e.src, e.dst""")
+def edge_logic(spark, d):
+    return L.edge_logic(_flat(spark, d), L.sql_text_facts(B.query_text(spark, d)))
