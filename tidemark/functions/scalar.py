@@ -20,8 +20,12 @@ def fn_nvl(c, default) -> Column:
 
 
 def fn_date_to_int(d) -> Column:
-    """date/timestamp -> yyyymmdd integer (``yyyyMMdd``: ``mm`` would be minutes)."""
-    return F.date_format(_c(d), "yyyyMMdd").cast("int")
+    """date/timestamp -> yyyymmdd integer, as year·10000 + month·100 + day.
+
+    Same value as ``date_format(d, 'yyyyMMdd')`` (``mm`` would be minutes) without
+    formatting a string per row."""
+    d = _c(d)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def date_int_literal(d: _dt.date) -> Column:

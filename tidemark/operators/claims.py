@@ -8,6 +8,8 @@ so the key3 shuffles are balanced; AQE's skew-join split covers the rest.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,23 +66,53 @@ def max_txn_date(stage: DataFrame) -> DataFrame:
     return stage.groupBy(*TXN_KEY3).agg(F.max("transaction_date").alias("max_transaction_date"))
 
 
+# Digits of each part of the packed ordering key (see ``txn_order_key``).
+_DATE_DIGITS = 8           # yyyymmdd, NUMBER(8) in the source schema
+_VOUCHER_DIGITS = 20       # a signed 64-bit voucher shifted by 2**63 to be non-negative
+
+
+def txn_order_key(acc="accounting_dt", voucher="voucher_number", tdate="transaction_date"):
+    """The W1 ordering as one ``decimal(38,0)`` so that ``max`` of it is the row ranked first.
+
+    Digits, high to low: [accounting_dt is NULL][accounting_dt][voucher is NULL]
+    [voucher + 2^63][transaction_date].  NULL flags are 1 so NULLs sort first
+    under DESC, as the source dialect does.  A decimal aggregation buffer is
+    mutable, so Spark plans a hash aggregate with map-side partial
+    aggregation; ``max`` of a struct would force a sort-based aggregate.
+    """
+    def d(c):
+        return F.col(c).cast("decimal(38,0)")
+
+    def n(v: int):
+        return F.lit(Decimal(v)).cast("decimal(38,0)")
+
+    shift_v = 10 ** _DATE_DIGITS
+    shift_vn = shift_v * 10 ** _VOUCHER_DIGITS
+    shift_a = shift_vn * 10
+    shift_an = shift_a * 10 ** _DATE_DIGITS
+    acc_null = F.col(acc).isNull().cast("int").cast("decimal(38,0)")
+    voucher_null = F.col(voucher).isNull().cast("int").cast("decimal(38,0)")
+    voucher_pos = F.coalesce(d(voucher) + n(2 ** 63), n(0))
+    key = (acc_null * n(shift_an) + F.coalesce(d(acc), n(0)) * n(shift_a)
+           + voucher_null * n(shift_vn) + voucher_pos * n(shift_v) + d(tdate))
+    return key.cast("decimal(38,0)")
+
+
 def txn_summary(stage: DataFrame, codes=T.RECOVERY_TXN_CODES) -> DataFrame:
     """W1 + A1 in one aggregation: one shuffle of the transaction log instead of two.
 
-    The newest closing transaction is the maximum of an ordering struct
-    (NULL flags first so NULLs win, as DESC NULLS FIRST), restricted to the
-    closing codes by a conditional.  Partial aggregation runs map-side, so a
-    key3 with many transactions is reduced before the shuffle.
+    The newest closing transaction is the maximum packed ordering key among
+    closing codes; its last 8 digits are that row's transaction date.  Partial
+    aggregation runs map-side, so a key3 with many transactions is reduced to
+    one row per task before the shuffle.
     """
-    order_key = F.struct(F.col("accounting_dt").isNull().alias("a_null"), F.col("accounting_dt").alias("a"),
-                         F.col("voucher_number").isNull().alias("v_null"), F.col("voucher_number").alias("v"),
-                         F.col("transaction_date").alias("d"))
     is_closing = F.col("transaction_code").isin(*codes)
+    latest = F.max(F.when(is_closing, txn_order_key())).alias("_latest")
     return (_as_claimant_key3(stage)
             .groupBy(*KEY3)
-            .agg(F.max(F.when(is_closing, order_key)).alias("_latest"),
-                 F.max("transaction_date").alias("max_transaction_date"))
-            .select(*KEY3, F.col("_latest.d").alias("latest_txn_date"),
+            .agg(latest, F.max("transaction_date").alias("max_transaction_date"))
+            .select(*KEY3,
+                    (F.col("_latest") % F.lit(10 ** _DATE_DIGITS)).cast("int").alias("latest_txn_date"),
                     F.col("_latest").isNotNull().alias("has_recovery_txn"),
                     "max_transaction_date"))
 

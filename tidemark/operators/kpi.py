@@ -133,6 +133,10 @@ def _rule(product_col: Column, attr: str):
     return out
 
 
+CRITERIA = ("Industry Classification Match", "Revenue Within Appetite Range",
+            "Business Size (Employees > 1)", "Private Company Status")
+
+
 def criteria_columns() -> dict[str, Column]:
     """Targeting criteria, each a boolean column; the per-product appetite is a CASE on product."""
     p = F.col("product")
@@ -142,12 +146,11 @@ def criteria_columns() -> dict[str, Column]:
         industry = F.when(p == product, cond) if industry is None else industry.when(p == product, cond)
     rev = F.col("revenue")
     revenue_ok = (rev >= _rule(p, "revenue_min")) & (rev <= _rule(p, "revenue_max"))
-    return {
-        "Industry Classification Match": F.coalesce(industry, F.lit(False)),
-        "Revenue Within Appetite Range": F.coalesce(revenue_ok, F.lit(False)),
-        "Business Size (Employees > 1)": F.coalesce(F.col("employees") > T.MIN_EMPLOYEES, F.lit(False)),
-        "Private Company Status": F.coalesce(F.col("ownership") == "private", F.lit(False)),
-    }
+    cols = (F.coalesce(industry, F.lit(False)),
+            F.coalesce(revenue_ok, F.lit(False)),
+            F.coalesce(F.col("employees") > T.MIN_EMPLOYEES, F.lit(False)),
+            F.coalesce(F.col("ownership") == "private", F.lit(False)))
+    return dict(zip(CRITERIA, cols))
 
 
 def account_stages(flags: DataFrame, threshold: float = T.QUALIFICATION_THRESHOLD) -> DataFrame:
@@ -230,7 +233,7 @@ def rejections(stages: DataFrame) -> DataFrame:
 
 def criteria_match(stages: DataFrame) -> DataFrame:
     """A10: each criterion alone on the qualified accounts, plus ALL; with match grade."""
-    names = list(criteria_columns().keys())
+    names = list(CRITERIA)
     q = stages.where(F.col("qualified"))
     aggs = [F.count(F.lit(1)).alias("qualified")]
     aggs += [F.count(F.when(F.col(f"crit_{i}"), True)).alias(f"m{i}") for i in range(len(names))]

@@ -71,36 +71,51 @@ def trace(edges: DataFrame, roots: DataFrame, direction: str = "down", max_depth
     return out.select("node", "depth")
 
 
+# A trace side is broadcast only while its exact row count (known from the previous
+# round) is at most this; beyond it the round uses shuffle joins.
+TRACE_BROADCAST_ROWS = 2_000_000
+
+
 def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
-                max_depth: int | None = None) -> DataFrame:
+                max_depth: int | None = None, broadcast_rows: int = TRACE_BROADCAST_ROWS) -> DataFrame:
     """Multi-source trace keyed by root: (root, node, depth), depth = fewest hops from that root.
 
     ``starts`` has columns ``root`` and ``node`` (usually equal).  Each round:
     frontier ⋈ edges on node → new (root, node) pairs → anti join with the
-    visited set → checkpoint.  Rows per round = genuinely new pairs only.
+    visited set → reliable checkpoint.  Rows per round = genuinely new pairs
+    only, and the driver sees just each round's row count.  Those counts are
+    exact size bounds: while the frontier / visited set are small they are
+    broadcast (the round then shuffles only for its de-duplication); once
+    they grow past ``broadcast_rows`` the round falls back to shuffle joins.
     """
     checkpoint_dir(edges.sparkSession)
     a, b = ("src", "dst") if direction == "down" else ("dst", "src")
-    e = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
-    frontier = starts.select("root", "node").distinct().withColumn("depth", F.lit(0))
-    frontier = frontier.checkpoint(eager=True)
+    # The edge list is read by every round: materialise it once (reliable checkpoint).
+    e = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().checkpoint(eager=True)
+    frontier = starts.select("root", "node").distinct().withColumn("depth", F.lit(0)).checkpoint(eager=True)
+    n_frontier = frontier.count()
+    n_visited = n_frontier
     parts = [frontier]
     visited = frontier.select("root", "node")
     depth = 0
-    while max_depth is None or depth < max_depth:
+    while n_frontier > 0 and (max_depth is None or depth < max_depth):
         depth += 1
-        step = (frontier.join(e, "node")
-                        .select("root", F.col("next").alias("node"))
-                        .distinct()
-                        .join(visited, ["root", "node"], "left_anti")
-                        .withColumn("depth", F.lit(depth)))
-        step = step.checkpoint(eager=True)
-        if step.isEmpty():
+        f_side = F.broadcast(frontier) if n_frontier <= broadcast_rows else frontier
+        v_side = F.broadcast(visited) if n_visited <= broadcast_rows else visited
+        step = (f_side.join(e, "node")
+                      .select("root", F.col("next").alias("node"))
+                      .distinct()
+                      .join(v_side, ["root", "node"], "left_anti")
+                      .withColumn("depth", F.lit(depth))
+                      .checkpoint(eager=True))
+        n_frontier = step.count()
+        if n_frontier == 0:
             break
         parts.append(step)
+        n_visited += n_frontier
         visited = visited.unionByName(step.select("root", "node"))
         if depth % 8 == 0:
-            # Many small unions: compact the visited set so the anti join reads one table.
+            # Compact the visited set into one table so the anti join reads a single input.
             visited = visited.checkpoint(eager=True)
         frontier = step
     out = parts[0]

@@ -302,7 +302,7 @@ def rejection_breakdown(spark, d):
     return K.rejections(_stages(spark, d))
 
 
-_CRIT_NAMES = list(K.criteria_columns().keys())
+_CRIT_NAMES = list(K.CRITERIA)
 
 
 def _crit_sql() -> str:
