@@ -4,6 +4,7 @@ K1-K5, T2, S8), each with its DuckDB oracle."""
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -462,3 +463,19 @@ def report_tables_sink(spark, d):
     write_report(table, out, "kpi_anomalies", RUN)
     path = write_report(table, out, "kpi_anomalies", RUN)
     return spark.read.parquet(path)
+
+
+# --------------------------------------------------------------------------- streaming form of S2
+
+@query("source_feed_stream", sql="""
+SELECT CAST(ts AS DATE) AS report_date, event_type AS source, COUNT(*) AS records, MAX(ts) AS last_refresh
+FROM events GROUP BY 1, 2""")
+def source_feed_stream(spark, d):
+    """S2 as Structured Streaming: feed files processed incrementally (availableNow), daily counts
+    per source in watermarked state, idempotent foreachBatch sink; read back the latest rows."""
+    import uuid
+
+    from ..streaming.feeds import read_feed_counts, run_feed_counts
+    base = work_dir(spark, f"feeds-{uuid.uuid4().hex[:8]}")
+    run_feed_counts(spark, d, os.path.join(base, "out"), os.path.join(base, "checkpoint"))
+    return read_feed_counts(spark, os.path.join(base, "out"))
