@@ -157,15 +157,25 @@ def exists_flag(df: DataFrame, stage: DataFrame, codes=T.RECOVERY_TXN_CODES, col
               .withColumn(col, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
-def apply_updates(target: DataFrame, src: DataFrame, key: str, set_cols) -> DataFrame:
+# A merge source is broadcast only when its exact row count is known and at most this.
+MERGE_BROADCAST_ROWS = 5_000_000
+
+
+def apply_updates(target: DataFrame, src: DataFrame, key: str, set_cols,
+                  src_rows: int | None = None, broadcast_rows: int = MERGE_BROADCAST_ROWS) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET, as a left join + match flag.
 
     A matched row takes the source value even when it is NULL (a match flag,
     not coalesce); unmatched rows pass through unchanged.  Column order of the
-    target is kept.
+    target is kept.  When the caller knows the source's row count (a staged,
+    counted change set) and it is small, the source is broadcast, so the wide
+    target is streamed once and never shuffled; otherwise both sides shuffle
+    on the key.
     """
     renamed = src.select(F.col(key), *[F.col(c).alias(f"_src_{c}") for c in set_cols],
                          F.lit(True).alias("_matched"))
+    if src_rows is not None and src_rows <= broadcast_rows:
+        renamed = F.broadcast(renamed)
     joined = target.join(renamed, key, "left")
     out = []
     for c in target.columns:

@@ -225,13 +225,13 @@ def facts_by_query(facts: DataFrame) -> DataFrame:
 
 
 def edge_logic(flat: DataFrame, facts: DataFrame) -> DataFrame:
-    """J13 + L9: per object edge, the join / filter / CASE snippets of the queries that wrote it."""
+    """Per object edge, each join / filter / CASE snippet of the queries that wrote it,
+    with the number of such queries.  Long format: one row per (edge, kind, snippet), so an
+    edge written by very many queries grows in rows, never into one unbounded cell."""
     per_edge = flat.select("src", "dst", "query_id").distinct()
-    j = per_edge.join(facts_by_query(facts), "query_id", "left")
-    def agg(c: str):
-        return F.array_join(F.array_sort(F.collect_set(F.col(c))), " | ").alias(c)
-    return j.groupBy("src", "dst").agg(F.count_distinct("query_id").alias("queries"),
-                                       agg("join_logic"), agg("filter_logic"), agg("case_logic"))
+    return (per_edge.join(facts, "query_id", "inner")
+                    .groupBy("src", "dst", "kind", "fact")
+                    .agg(F.count_distinct("query_id").alias("queries")))
 
 
 def proc_children(qlog: DataFrame) -> DataFrame:

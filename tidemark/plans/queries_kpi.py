@@ -82,6 +82,11 @@ def _daily(spark, d):
     return B.daily_metric(spark, d)
 
 
+def _recent_daily(spark, d):
+    """The daily series restricted (at the scan) to the comparison window of the run date."""
+    return B.daily_metric(spark, d, start=RUN - _dt.timedelta(days=T.ROLLING_LONG_DAYS), end=RUN)
+
+
 def _status(spark, d):
     return K.source_status(B.feed_events(spark, d), B.expected_sources(spark, d), RUN)
 
@@ -91,7 +96,7 @@ def _stages(spark, d):
 
 
 def _anomalies(spark, d):
-    return Rp.kpi_anomalies(_daily(spark, d), RUN)
+    return Rp.kpi_anomalies(_recent_daily(spark, d), RUN)
 
 
 # --------------------------------------------------------------------------- sources
@@ -177,7 +182,7 @@ def anomaly_label(spark, d):
 
 @query("kpi_comparison", sql=f"WITH {COMPARE_SQL} SELECT {CMP_COLS} FROM cmp")
 def kpi_comparison(spark, d):
-    return Rp.kpi_comparison(_daily(spark, d), RUN).select(*[c.strip() for c in CMP_COLS.split(",")])
+    return Rp.kpi_comparison(_recent_daily(spark, d), RUN).select(*[c.strip() for c in CMP_COLS.split(",")])
 
 
 @query("kpi_anomalies", sql=f"WITH {COMPARE_SQL} SELECT {ANOM_COLS} FROM cmp")
@@ -206,7 +211,7 @@ SELECT (SELECT COUNT(*) FILTER (WHERE available) FROM feed_status) AS sources_av
   CASE WHEN (SELECT COUNT(*) FILTER (WHERE available) FROM feed_status) = (SELECT COUNT(*) FROM feed_status)
        THEN 'All Systems Operational' ELSE 'Degraded' END AS overall_status""")
 def executive_summary(spark, d):
-    return Rp.executive_summary(_status(spark, d), _anomalies(spark, d), B.quotes(spark, d), QRUN)
+    return Rp.executive_summary(_status(spark, d), _anomalies(spark, d), B.quotes(spark, d, QRUN, QRUN), QRUN)
 
 
 @query("action_items", sql=f"""
@@ -389,7 +394,8 @@ SELECT product,
   AVG(CASE WHEN report_date >= {_d(30, QRUN)} AND report_date < {_d(0, QRUN)} THEN prospects END) AS prospects_avg_30d
 FROM df GROUP BY product""")
 def funnel_with_averages(spark, d):
-    return Rp.funnel_with_averages(B.quotes(spark, d), _stages(spark, d), QRUN)
+    window_start = QRUN - _dt.timedelta(days=T.ROLLING_LONG_DAYS)
+    return Rp.funnel_with_averages(B.quotes(spark, d, window_start, QRUN), _stages(spark, d), QRUN)
 
 
 # --------------------------------------------------------------------------- quotes

@@ -177,11 +177,8 @@ def join_edge_logic(spark, d):
 
 
 @query("edge_logic", sql="""
-SELECT e.src, e.dst, COUNT(DISTINCT e.query_id) AS queries,
-  array_to_string(list_sort(list(DISTINCT f.join_logic)), ' | ') AS join_logic,
-  array_to_string(list_sort(list(DISTINCT f.filter_logic)), ' | ') AS filter_logic,
-  array_to_string(list_sort(list(DISTINCT f.case_logic)), ' | ') AS case_logic
-FROM (SELECT DISTINCT src, dst, query_id FROM flat) e LEFT JOIN facts_by_query f ON e.query_id = f.query_id
-GROUP BY e.src, e.dst""")
+SELECT e.src, e.dst, f.kind, f.fact, COUNT(DISTINCT e.query_id) AS queries
+FROM (SELECT DISTINCT src, dst, query_id FROM flat) e JOIN facts f ON e.query_id = f.query_id
+GROUP BY e.src, e.dst, f.kind, f.fact""")
 def edge_logic(spark, d):
     return L.edge_logic(_flat(spark, d), L.sql_text_facts(B.query_text(spark, d)))

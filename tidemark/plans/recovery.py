@@ -110,9 +110,10 @@ def union_change_sets(t: ClaimTables, run_date: _dt.date) -> DataFrame:
     return close_set(t, run_date).unionByName(reopen_set(t, run_date))
 
 
-def apply_changes(claimant: DataFrame, change_set: DataFrame) -> DataFrame:
-    """The new master snapshot (MERGE on claimant_key)."""
-    return apply_updates(claimant, change_set, "claimant_key", ["recovery_date_closed", "recovery_status"])
+def apply_changes(claimant: DataFrame, change_set: DataFrame, change_rows: int | None = None) -> DataFrame:
+    """The new master snapshot (MERGE on claimant_key); ``change_rows`` is the staged count."""
+    return apply_updates(claimant, change_set, "claimant_key", ["recovery_date_closed", "recovery_status"],
+                         src_rows=change_rows)
 
 
 def history(wide_changes: DataFrame, start_sequence: int = 0, dense: bool = True) -> DataFrame:
@@ -197,11 +198,18 @@ class RecoveryError(RuntimeError):
         super().__init__(f"ORA{self.code}: {T.FATAL_ERROR_MESSAGE} ({self.detail})")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Materialise the change set once for the merge and the history (spills to disk)."""
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    staged.count()
-    return staged
+def stage(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
+    """Materialise the change set once for the merge and the history; returns it with
+    its exact row count.  ``reliable`` writes it to the shared checkpoint folder (nothing
+    to release, survives executor loss); otherwise it is persisted (memory, spilling to
+    disk) and the caller unpersists it."""
+    if reliable:
+        from ..session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        staged = df.checkpoint(eager=True)
+    else:
+        staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return staged, staged.count()
 
 
 def run_recovery(spark: SparkSession, t: ClaimTables, run_date: _dt.date, out_dir: str,
@@ -214,10 +222,11 @@ def run_recovery(spark: SparkSession, t: ClaimTables, run_date: _dt.date, out_di
     run_id = run_id or f"{run_date:%Y%m%d}-{uuid.uuid4().hex[:8]}"
     staged = None
     try:
-        staged = stage(changes(t, run_date, wide=True))
+        staged, n_changes = stage(changes(t, run_date, wide=True))
         assert_unique(staged, "claimant_key")
         start = _max_existing_sequence(spark, os.path.join(out_dir, "history"))
-        snapshot_path = write_snapshot(apply_changes(t.claimant, staged.select(*STAGE_COLUMNS)), out_dir, run_id)
+        snapshot_path = write_snapshot(apply_changes(t.claimant, staged.select(*STAGE_COLUMNS), n_changes),
+                                       out_dir, run_id)
         hist = history(staged, start_sequence=start)
         append_history(hist, os.path.join(out_dir, "history"), run_id)
         summary_path = os.path.join(out_dir, "runs", run_id, "summary")

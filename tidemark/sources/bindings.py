@@ -8,6 +8,8 @@ non-negative keys), which is what lets every query have an SQL oracle.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,13 +60,13 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
 
 
-def order_units(spark: SparkSession, sf_dir: str, *order_cols: str) -> DataFrame:
+def order_units(spark: SparkSession, sf_dir: str, *order_cols: str, with_name: bool = False) -> DataFrame:
     """orders ⋈ customer ⋈ nation: each order with its business unit (nation name).
 
     The nation side is a fixed-size dimension, broadcast behind a row-count check.
     """
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *order_cols)
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", *(("c_name",) if with_name else ()))
     n = bounded_broadcast(nations(spark, sf_dir).select("n_nationkey", "n_name"))
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -73,7 +75,8 @@ def order_units(spark: SparkSession, sf_dir: str, *order_cols: str) -> DataFrame
 
 def claimant(spark: SparkSession, sf_dir: str, wide: bool = True) -> DataFrame:
     """Master table, one row per order.  ``wide`` adds the 68 carried NULL columns."""
-    base = order_units(spark, sf_dir, "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    base = order_units(spark, sf_dir, "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+                       with_name=True)
     k = F.col("o_orderkey")
     mapped = {
         "claimant_key": k,
@@ -158,9 +161,25 @@ def account_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events counted per (day, event type); partial aggregation shrinks it map-side."""
+def _day_range(col: str, start: _dt.date | None, end: _dt.date | None) -> Column | None:
+    """``start <= col < end + 1 day`` on the raw timestamp, so the scan can skip files / row groups."""
+    cond = None
+    if start is not None:
+        cond = F.col(col) >= F.lit(_dt.datetime.combine(start, _dt.time())).cast("timestamp_ntz")
+    if end is not None:
+        hi = F.col(col) < F.lit(_dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())).cast("timestamp_ntz")
+        cond = hi if cond is None else cond & hi
+    return cond
+
+
+def daily_metric(spark: SparkSession, sf_dir: str, start: _dt.date | None = None,
+                 end: _dt.date | None = None) -> DataFrame:
+    """Events counted per (day, event type); partial aggregation shrinks it map-side.
+    ``start`` / ``end`` (inclusive days) filter the raw timestamps before the scan."""
     ev = read_table(spark, sf_dir, "events", "ts", "event_type")
+    rng = _day_range("ts", start, end)
+    if rng is not None:
+        ev = ev.where(rng)
     return (ev.groupBy(F.to_date("ts").alias("report_date"), F.col("event_type").alias("metric"))
               .agg(F.count(F.lit(1)).alias("value"))
               .select("report_date", F.lit("ALL").alias("product"), "metric", "value"))
@@ -180,9 +199,14 @@ def expected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.unionByName(silent)
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One quote per order: product by key, account = customer, status by priority."""
+def quotes(spark: SparkSession, sf_dir: str, start: _dt.date | None = None,
+           end: _dt.date | None = None) -> DataFrame:
+    """One quote per order: product by key, account = customer, status by priority.
+    ``start`` / ``end`` (inclusive days) filter the raw order dates before the scan."""
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    rng = _day_range("o_orderdate", start, end)
+    if rng is not None:
+        o = o.where(rng)
     k = F.col("o_orderkey")
     pr = F.substring(F.col("o_orderpriority"), 1, 1)
     return o.select(
