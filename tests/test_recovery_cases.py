@@ -136,6 +136,6 @@ def test_history_rows_are_82_columns_with_dense_sequence(spark):
     wide = t.claimant.select(*[c if c in t.claimant.columns else F.lit(None).cast(B.claimant_types()[c]).alias(c)
                                for c in B.CLAIMANT_COLUMNS])
     t = R.ClaimTables(claimant=wide, stage=t.stage, queue=t.queue, xref=t.xref)
-    h = R.history(R.changes(t, RUN, wide=True), start_sequence=100).collect()
+    h = R.history(R.changes(t, RUN), t.claimant, start_sequence=100).collect()
     assert len(h[0]) == 82 and list(h[0].asDict()) == list(T.HISTORY_COLUMNS)
     assert sorted((r["claimant_key"], r["sequence_number"]) for r in h) == [(1, 101), (3, 102)]

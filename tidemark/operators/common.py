@@ -39,14 +39,14 @@ def dense_surrogate(df: DataFrame, order_col: str, start: int, col: str = "seque
     partition reaches the driver), then number rows as partition offset +
     position inside the partition.
     """
-    from ..session import checkpoint_dir
+    from ..session import checkpoint_dir, reliable_checkpoint
 
     spark = df.sparkSession
     checkpoint_dir(spark)
     # monotonically_increasing_id = (partition index << 33) + position in partition.
     ranged = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = (ranged.checkpoint(eager=True)
+    ranged = (reliable_checkpoint(ranged)
                     .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
                     .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()

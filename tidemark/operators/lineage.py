@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..functions import scalar as S
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, reliable_checkpoint
 
 
 # --------------------------------------------------------------------------- flatten + edges (S3, L1, L2)
@@ -91,8 +91,8 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
     checkpoint_dir(edges.sparkSession)
     a, b = ("src", "dst") if direction == "down" else ("dst", "src")
     # The edge list is read by every round: materialise it once (reliable checkpoint).
-    e = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct().checkpoint(eager=True)
-    frontier = starts.select("root", "node").distinct().withColumn("depth", F.lit(0)).checkpoint(eager=True)
+    e = reliable_checkpoint(edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct())
+    frontier = reliable_checkpoint(starts.select("root", "node").distinct().withColumn("depth", F.lit(0)))
     n_frontier = frontier.count()
     n_visited = n_frontier
     parts = [frontier]
@@ -102,12 +102,11 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
         depth += 1
         f_side = F.broadcast(frontier) if n_frontier <= broadcast_rows else frontier
         v_side = F.broadcast(visited) if n_visited <= broadcast_rows else visited
-        step = (f_side.join(e, "node")
-                      .select("root", F.col("next").alias("node"))
-                      .distinct()
-                      .join(v_side, ["root", "node"], "left_anti")
-                      .withColumn("depth", F.lit(depth))
-                      .checkpoint(eager=True))
+        step = reliable_checkpoint(f_side.join(e, "node")
+                                   .select("root", F.col("next").alias("node"))
+                                   .distinct()
+                                   .join(v_side, ["root", "node"], "left_anti")
+                                   .withColumn("depth", F.lit(depth)))
         n_frontier = step.count()
         if n_frontier == 0:
             break
@@ -116,7 +115,7 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
         visited = visited.unionByName(step.select("root", "node"))
         if depth % 8 == 0:
             # Compact the visited set into one table so the anti join reads a single input.
-            visited = visited.checkpoint(eager=True)
+            visited = reliable_checkpoint(visited)
         frontier = step
     out = parts[0]
     for p in parts[1:]:

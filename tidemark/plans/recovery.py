@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .. import thresholds as T
 from ..functions.predicates import all_closed, any_open, any_open_v0, is_open_date, needs_reopen
 from ..functions.scalar import date_int_literal, fn_error_text, fn_reopen_status
-from ..operators.claims import (KEY3, apply_updates, assert_unique, cardinality_report, exists_flag,
+from ..operators.claims import (KEY3, MERGE_BROADCAST_ROWS, apply_updates, assert_unique,
+                                cardinality_report, exists_flag,
                                 latest_txn_or_null, queue_claimants, to_history, txn_summary,
                                 with_max_txn)
 from ..operators.common import dense_surrogate, sparse_surrogate
@@ -116,18 +117,31 @@ def apply_changes(claimant: DataFrame, change_set: DataFrame, change_rows: int |
                          src_rows=change_rows)
 
 
-def history(wide_changes: DataFrame, start_sequence: int = 0, dense: bool = True) -> DataFrame:
-    """82-column history rows for the staged changes; status/date are the staged values."""
-    numbered = (dense_surrogate(wide_changes, "claimant_key", start_sequence) if dense
-                else sparse_surrogate(wide_changes, start_sequence))
-    return to_history(numbered)
+def history(change_set: DataFrame, master: DataFrame, start_sequence: int = 0, dense: bool = True,
+            change_rows: int | None = None) -> DataFrame:
+    """82-column history rows for the staged changes (J10 + F4 + P7).
+
+    The sequence is assigned on the narrow change set (dense: ``start +
+    row_number() over claimant_key`` without a single-partition window; sparse:
+    unique increasing ids).  The numbered changes then meet the wide master
+    on claimant_key; with a known, small ``change_rows`` they are broadcast,
+    so the wide master is streamed once and never shuffled.
+    """
+    narrow = change_set.select("claimant_key", "recovery_date_closed", "recovery_status", "valid_from_date")
+    numbered = (dense_surrogate(narrow, "claimant_key", start_sequence) if dense
+                else sparse_surrogate(narrow, start_sequence))
+    return to_history(history_rows(numbered, master, change_rows))
 
 
-def history_rows(change_set: DataFrame, claimant: DataFrame) -> DataFrame:
-    """Change set ⋈ master on key (master columns, staged status/date)."""
-    staged = change_set.select("claimant_key", "valid_from_date",
+def history_rows(change_set: DataFrame, claimant: DataFrame, change_rows: int | None = None) -> DataFrame:
+    """Change set ⋈ master on key — master columns, staged status / date / valid-from
+    (and sequence number when the change set carries one)."""
+    extra = [c for c in ("sequence_number",) if c in change_set.columns]
+    staged = change_set.select("claimant_key", "valid_from_date", *extra,
                                F.col("recovery_status").alias("_st"), F.col("recovery_date_closed").alias("_dt"))
-    master = claimant.drop("valid_from_date")
+    if change_rows is not None and change_rows <= MERGE_BROADCAST_ROWS:
+        staged = F.broadcast(staged)
+    master = claimant.drop("valid_from_date", *extra)
     j = master.join(staged, "claimant_key", "inner")
     return (j.withColumn("recovery_status", F.col("_st")).withColumn("recovery_date_closed", F.col("_dt"))
              .drop("_st", "_dt"))
@@ -204,9 +218,8 @@ def stage(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
     to release, survives executor loss); otherwise it is persisted (memory, spilling to
     disk) and the caller unpersists it."""
     if reliable:
-        from ..session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        staged = df.checkpoint(eager=True)
+        from ..session import reliable_checkpoint
+        staged = reliable_checkpoint(df)
     else:
         staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     return staged, staged.count()
@@ -222,12 +235,11 @@ def run_recovery(spark: SparkSession, t: ClaimTables, run_date: _dt.date, out_di
     run_id = run_id or f"{run_date:%Y%m%d}-{uuid.uuid4().hex[:8]}"
     staged = None
     try:
-        staged, n_changes = stage(changes(t, run_date, wide=True))
+        staged, n_changes = stage(changes(t, run_date))
         assert_unique(staged, "claimant_key")
         start = _max_existing_sequence(spark, os.path.join(out_dir, "history"))
-        snapshot_path = write_snapshot(apply_changes(t.claimant, staged.select(*STAGE_COLUMNS), n_changes),
-                                       out_dir, run_id)
-        hist = history(staged, start_sequence=start)
+        snapshot_path = write_snapshot(apply_changes(t.claimant, staged, n_changes), out_dir, run_id)
+        hist = history(staged, t.claimant, start_sequence=start, change_rows=n_changes)
         append_history(hist, os.path.join(out_dir, "history"), run_id)
         summary_path = os.path.join(out_dir, "runs", run_id, "summary")
         run_summary(staged).coalesce(1).write.mode("overwrite").parquet(summary_path)

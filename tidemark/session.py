@@ -56,3 +56,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = base[len("file:"):]
     path = os.path.join(base, "tidemark-work", name)
     return path
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` to the shared checkpoint folder (one pass) and return the checkpointed
+    DataFrame: its lineage is cut and it survives executor loss."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
