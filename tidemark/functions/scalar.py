@@ -14,6 +14,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def ntz_literal(value: _dt.datetime | _dt.date) -> Column:
+    """A zone-less timestamp literal built from its text, so neither the Python process
+    nor the session time zone can shift it."""
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime.combine(value, _dt.time())
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def fn_nvl(c, default) -> Column:
     """NULL default."""
     return F.coalesce(_c(c), default if isinstance(default, Column) else F.lit(default))
@@ -109,8 +117,8 @@ def freshness_bucket(last_ts, as_of: _dt.datetime, fresh_hours: float = T.FRESH_
     Compared as timestamps against precomputed cut-offs, so no time-zone or
     sub-second rounding enters the bucket."""
     ts = _c(last_ts)
-    fresh_from = F.lit(as_of - _dt.timedelta(hours=fresh_hours)).cast("timestamp_ntz")
-    late_from = F.lit(as_of - _dt.timedelta(hours=late_hours)).cast("timestamp_ntz")
+    fresh_from = ntz_literal(as_of - _dt.timedelta(hours=fresh_hours))
+    late_from = ntz_literal(as_of - _dt.timedelta(hours=late_hours))
     return (F.when(ts.isNull(), F.lit("unknown"))
              .when(ts >= fresh_from, F.lit("fresh"))
              .when(ts >= late_from, F.lit("late")).otherwise(F.lit("stale")))

@@ -91,8 +91,8 @@ def source_status(feed: DataFrame, expected: DataFrame, run_date: _dt.date) -> D
     The feed is filtered to the run date before aggregating (the predicate reaches the scan);
     the expected-source list is the left side, so a silent source still appears.
     """
-    start = F.lit(_dt.datetime.combine(run_date, _dt.time())).cast("timestamp_ntz")
-    end = F.lit(_dt.datetime.combine(run_date + _dt.timedelta(days=1), _dt.time())).cast("timestamp_ntz")
+    start = S.ntz_literal(run_date)
+    end = S.ntz_literal(run_date + _dt.timedelta(days=1))
     today = (feed.where((F.col("ts") >= start) & (F.col("ts") < end))
                  .groupBy("source").agg(F.count(F.lit(1)).alias("records"), F.max("ts").alias("last_refresh")))
     return (expected.join(today, "source", "left")

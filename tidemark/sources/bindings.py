@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
-from ..functions.scalar import fn_date_to_int
+from ..functions.scalar import fn_date_to_int, ntz_literal
 from ..operators.common import bounded_broadcast
 from .tables import read_table
 
@@ -165,9 +165,9 @@ def _day_range(col: str, start: _dt.date | None, end: _dt.date | None) -> Column
     """``start <= col < end + 1 day`` on the raw timestamp, so the scan can skip files / row groups."""
     cond = None
     if start is not None:
-        cond = F.col(col) >= F.lit(_dt.datetime.combine(start, _dt.time())).cast("timestamp_ntz")
+        cond = F.col(col) >= ntz_literal(start)
     if end is not None:
-        hi = F.col(col) < F.lit(_dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())).cast("timestamp_ntz")
+        hi = F.col(col) < ntz_literal(end + _dt.timedelta(days=1))
         cond = hi if cond is None else cond & hi
     return cond
 

@@ -26,12 +26,17 @@ def feed_stream(spark: SparkSession, feed_dir: str, file_glob: str = "events*.pa
 def daily_counts(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Records and last arrival per (day, source); state older than the watermark is dropped.
 
-    Feed timestamps are zone-less; a watermark needs an instant, so they are read as
-    session-time-zone instants (UTC in our sessions, which also aligns the 1-day windows)."""
-    return (stream.withColumn("event_time", F.col("ts").cast("timestamp"))
+    Feed timestamps are zone-less; a watermark needs an instant, so each wall-clock time is
+    read as a UTC instant (explicitly, whatever the session time zone), which also aligns the
+    1-day windows with calendar days."""
+    ts = F.col("ts")
+    event_time = F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+                                  F.date_part(F.lit("SECOND"), ts), F.lit("UTC"))
+    return (stream.withColumn("event_time", event_time)
                   .withWatermark("event_time", lateness)
                   .groupBy(F.window("event_time", "1 day").alias("day"), F.col("event_type").alias("source"))
-                  .agg(F.count(F.lit(1)).alias("records"), F.max("ts").alias("last_refresh")))
+                  .agg(F.count(F.lit(1)).alias("records"), F.max("ts").alias("last_refresh"),
+                       F.min("ts").alias("first_arrival")))
 
 
 def run_feed_counts(spark: SparkSession, feed_dir: str, out_dir: str, checkpoint: str,
@@ -40,7 +45,8 @@ def run_feed_counts(spark: SparkSession, feed_dir: str, out_dir: str, checkpoint
     counts = daily_counts(feed_stream(spark, feed_dir, file_glob))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("day.start").cast("date").alias("report_date"), "source", "records", "last_refresh",
+        # The day comes from the zone-less arrival time, not from the window's instant.
+        (batch.select(F.to_date("first_arrival").alias("report_date"), "source", "records", "last_refresh",
                       F.lit(batch_id).cast("long").alias("batch_id"))
               .write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={batch_id}")))
 
