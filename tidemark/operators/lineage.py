@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
@@ -102,12 +102,15 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
         depth += 1
         f_side = F.broadcast(frontier) if n_frontier <= broadcast_rows else frontier
         v_side = F.broadcast(visited) if n_visited <= broadcast_rows else visited
+        # The round's row count is observed while the checkpoint is written (no extra job).
+        obs = Observation()
         step = reliable_checkpoint(f_side.join(e, "node")
                                    .select("root", F.col("next").alias("node"))
                                    .distinct()
                                    .join(v_side, ["root", "node"], "left_anti")
-                                   .withColumn("depth", F.lit(depth)))
-        n_frontier = step.count()
+                                   .withColumn("depth", F.lit(depth))
+                                   .observe(obs, F.count(F.lit(1)).alias("rows")))
+        n_frontier = obs.get["rows"]
         if n_frontier == 0:
             break
         parts.append(step)
