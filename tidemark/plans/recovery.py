@@ -228,7 +228,7 @@ def stage(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
 def run_recovery(spark: SparkSession, t: ClaimTables, run_date: _dt.date, out_dir: str,
                  run_id: str | None = None) -> dict:
     """The whole job.  Writes ``out_dir/runs/<run_id>/{snapshot,history,summary}``
-    and publishes by writing ``out_dir/CURRENT`` last; any failure publishes nothing
+    and publishes by appending to ``out_dir/published`` last; any failure publishes nothing
     and raises :class:`RecoveryError`."""
     from ..sources.sinks import append_history, publish, write_snapshot
 

@@ -1,7 +1,7 @@
 """Sinks: history append, master snapshots, report tables, and the publish step.
 
 Nothing is written in place.  A run writes under its own ``run_id`` folder and
-becomes visible only when ``publish`` writes the small ``CURRENT`` pointer, so
+becomes visible only when ``publish`` appends its entry to the publish log, so
 a failed or retried run (lost executors, killed driver) leaves the previous
 published state untouched and can simply be rerun.
 """
@@ -10,17 +10,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def append_history(df: DataFrame, path: str, run_id: str) -> str:
     """Append history rows, partitioned by the month of ``valid_from_date``.
 
@@ -42,34 +37,29 @@ def write_snapshot(df: DataFrame, out_dir: str, run_id: str) -> str:
 
 
 def publish(out_dir: str, run_id: str) -> None:
-    """Commit point: point ``CURRENT`` at the finished run (a single small file)."""
+    """Commit point: append one entry to the publish log ``out_dir/published``.
+
+    Each entry is its own small folder written by one Spark job (visible only once
+    committed), named by publish time, so readers see a run either fully published
+    or not at all, and earlier entries are never rewritten."""
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
-    fs, p = _hadoop_fs(spark, os.path.join(out_dir, "CURRENT"))
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(run_id.encode("utf-8")))
-    finally:
-        out.close()
+    stamp = f"{time.time_ns():020d}"
+    (spark.createDataFrame([(stamp, run_id)], "published_at string, run_id string")
+          .coalesce(1).write.mode("errorifexists").json(os.path.join(out_dir, "published", f"entry={stamp}")))
 
 
 def current_run(spark: SparkSession, out_dir: str) -> str | None:
-    fs, p = _hadoop_fs(spark, os.path.join(out_dir, "CURRENT"))
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
+    """The most recently published run id, or None when nothing was published."""
+    from pyspark.errors import AnalysisException
+
     try:
-        data = bytearray()
-        buf = bytearray(1024)
-        while True:
-            n = stream.read(buf)
-            if n is None or n <= 0:
-                break
-            data.extend(buf[:n])
-    finally:
-        stream.close()
-    return data.decode("utf-8").strip() or None
+        log = spark.read.schema("published_at string, run_id string").json(os.path.join(out_dir, "published"))
+        row = log.orderBy(F.col("published_at").desc()).select("run_id").first()
+    except AnalysisException:
+        return None
+    return row["run_id"] if row else None
 
 
 def write_report(df: DataFrame, path: str, name: str, run_date: _dt.date) -> str:
