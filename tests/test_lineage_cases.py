@@ -1,6 +1,5 @@
 """Lineage loop and flattening on tiny graphs."""
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import lineage as L
 

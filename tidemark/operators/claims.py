@@ -40,7 +40,9 @@ def queue_claimants(queue: DataFrame, xref: DataFrame, claimant: DataFrame, dist
     """
     q = enabled_queue(queue, xref)
     if distinct:
-        return claimant.join(q, KEY3, "left_semi")
+        # Copies of a queue row collapse map-side (partial aggregation) before the shuffle,
+        # so a claimant queued many times cannot load one reducer.
+        return claimant.join(q.select(*KEY3).distinct(), KEY3, "left_semi")
     return claimant.join(q, KEY3, "inner")
 
 

@@ -6,7 +6,6 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..operators import kpi as K

@@ -21,11 +21,6 @@ from .tables import read_table
 KEY3 = ("originating_business_unit", "claim_number", "claimant_number")
 TXN_KEY3 = ("business_unit", "claim_number", "claimant_number")
 
-# Claimant columns the fixture fills from the inputs; every other history column is a typed NULL.
-_MAPPED = {"claimant_key", "claim_number", "claimant_number", "originating_business_unit",
-           "salvage_status", "subrogation_status", "tp_deductible_status", "recovery_date_closed",
-           "recovery_status", "claimant_reserve_curr", "claimant_type", "claimant_name"}
-
 CLAIMANT_COLUMNS = tuple(c for c in T.HISTORY_COLUMNS if c not in ("valid_from_date", "sequence_number"))
 
 
