@@ -435,7 +435,7 @@ def status_combo_matrix(spark, d):
 
 
 @query("aging_alert", sql=f"""
-SELECT quote_id, account_id, product, date_diff('day', quoted_on, DATE '{QRUN}') AS days_waiting
+SELECT quote_id, account_id, product, CAST(date_diff('day', quoted_on, DATE '{QRUN}') AS INTEGER) AS days_waiting
 FROM quotes WHERE status = 'Waiting Pickup' AND quoted_on <= DATE '{QRUN}'
   AND date_diff('day', quoted_on, DATE '{QRUN}') > {T.AGING_ALERT_DAYS}""")
 def aging_alert(spark, d):
