@@ -12,6 +12,9 @@ from conftest import SF_SMALL
 from tidemark.sources.tables import TABLES
 
 SQL = E.oracle_sql()
+# Spark type -> DuckDB type of the same values.
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 KEYS = sorted(E.queries())
 
 
@@ -50,6 +53,10 @@ def test_query_matches_oracle(spark, duck, key):
     if key not in SQL:
         assert len(df.columns) > 0
         return
+    rel = duck.sql(SQL[key])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    stypes = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == otypes
     cur = duck.execute(SQL[key])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
