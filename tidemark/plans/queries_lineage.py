@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..operators import lineage as L
@@ -138,12 +137,10 @@ SELECT m.object, m.kind, m.owner, COALESCE(h.health, 'untested') AS health, h.pa
   {_fresh_sql('h.last_checked')} AS freshness
 FROM object_meta m LEFT JOIN node_health h ON m.object = h.object""")
 def lineage_node_overlay(spark, d):
-    h = _health(spark, d)
-    fr = L.freshness(h, AS_OF).select("object", "freshness")
-    o = L.overlay(B.object_meta(spark, d), h).join(fr, "object", "left")
+    """Node + kind + owner + DQ health + pass ratio + freshness, in one join."""
     from ..functions.scalar import freshness_bucket as fb
-    return o.select("object", "kind", "owner", "health", "pass_ratio",
-                    F.coalesce(F.col("freshness"), fb(F.lit(None).cast("timestamp_ntz"), AS_OF)).alias("freshness"))
+    o = L.overlay(B.object_meta(spark, d), _health(spark, d))
+    return o.select("object", "kind", "owner", "health", "pass_ratio", fb("last_checked", AS_OF).alias("freshness"))
 
 
 @query("sql_text_facts", sql="SELECT * FROM facts")
