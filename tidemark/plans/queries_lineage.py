@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-
 from .. import thresholds as T
 from ..operators import lineage as L
 from ..sources import bindings as B

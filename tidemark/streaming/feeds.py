@@ -20,6 +20,7 @@ FEED_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string,
 
 def feed_stream(spark: SparkSession, feed_dir: str, file_glob: str = "events*.parquet") -> DataFrame:
     return (spark.readStream.schema(FEED_SCHEMA).option("pathGlobFilter", file_glob)
+                 .option("recursiveFileLookup", "true")
                  .option("maxFilesPerTrigger", 64).parquet(feed_dir))
 
 
