@@ -36,7 +36,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a folder of our own set.
+    A folder of our own is made only on a local master (tests), where driver and executors
+    share it; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
