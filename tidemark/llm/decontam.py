@@ -117,17 +117,6 @@ def proximity(index: DataFrame, wanted: DataFrame, slack: int, at_least: int) ->
             .agg(F.max("n").alias("n_terms")).where(F.col("n_terms") >= at_least))
 
 
-def _phrase_hits(words: list[bytes], phrases: dict[tuple[bytes, ...], list[str]], lengths: list[int]) -> tuple[int, set[str]]:
-    cover, found = bytearray(len(words)), set()
-    for n in lengths:
-        for i in range(len(words) - n + 1):
-            ids = phrases.get(tuple(words[i:i + n]))
-            if ids:
-                found.update(ids)
-                cover[i:i + n] = b"\1" * n
-    return sum(cover), found
-
-
 def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_cols: tuple[str, ...] = ("doc_id",), item_id: str = "item_id",
                   item_text: str = "text", span: int = SPAN, terms_per_window: int = 3, block_words: int = 2_000_000, per_hits: int = 20) -> DataFrame:
     """Per document: ``id_cols``, ``rid``, n_words, n_hit, n_items, items_sha256, contaminated.
@@ -196,5 +185,5 @@ def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_c
 
 def clean(docs: DataFrame, bench: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that are not contaminated, in their own columns."""
-    bad = contamination(docs, bench, text=text, id_cols=(doc_id,)).where("contaminated").select(F.col("rid").alias("__bad")).distinct()
-    return docs.join(bad, F.xxhash64(docs[doc_id], docs[text]) == F.col("__bad"), "left_anti")
+    bad = contamination(docs, bench, text=text, id_cols=(doc_id,)).where("contaminated").select("rid").distinct()
+    return docs.join(bad, F.xxhash64(docs[doc_id], docs[text]) == bad["rid"], "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, kd_sharding, line_quality, mixing, token_store
+from . import decontam, jaccard_join, kd_sharding, line_quality, mixing, token_store
 from .common import table
 
 #: Mixing: no source passes more than this often, and every source at least once.
@@ -30,6 +30,10 @@ def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rid")
 
@@ -43,7 +47,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_store, op3_kd_sharding, op7_decontamination, op8_line_quality, op10_temperature_mixing)
+    f.__name__: f for f in (op1_token_store, op3_kd_sharding, op5_jaccard_join, op7_decontamination, op8_line_quality, op10_temperature_mixing)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
