@@ -63,6 +63,9 @@ class Templates:
         self.containment = containment
         known = WordHashes()
         self.sets: list[tuple[str, int, np.ndarray]] = []  # name, words in a shingle, shingles
+        #: The shingles that give the templates' band values. The hash functions are bijective, so a window without
+        #: any of them shares no band with a template.
+        self.least: dict[int, np.ndarray] = {}
         self.table: dict[tuple[int, int], list[dict[int, list[int]]]] = {}
         for name, text in texts:
             words = fold_words(text)
@@ -75,6 +78,8 @@ class Templates:
             bands = self.table.setdefault((n, _class(len(grams))), [{} for _ in range(self.bands)])
             for band, value in zip(bands, self.values(grams).min(axis=1).tolist(), strict=True):
                 band.setdefault(value, []).append(k)
+            least = grams[np.unique(self.values(grams).argmin(axis=1))]
+            self.least[n] = np.unique(np.append(self.least.get(n, np.empty(0, np.uint64)), least))
 
     def values(self, grams: np.ndarray) -> np.ndarray:
         return mix64(grams[None, :] * self.a[:, None] + self.b[:, None])
@@ -106,6 +111,8 @@ class Templates:
         h = known.of(words)
         for n in {n for n, _ in self.table}:
             grams = gram_hashes(h, n)
+            if not len(grams) or not (self.least[n][np.searchsorted(self.least[n][:-1], grams)] == grams).any():
+                continue
             for t, a, b in sorted(self.candidates(grams, n)):
                 inside = np.isin(self.sets[t][2], grams[a:b])
                 share = float(inside.sum()) / len(inside)

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, kd_sharding, line_quality, mixing, token_store
+from . import decontam, jaccard_join, kd_sharding, license_scan, line_chunks, line_quality, mixing, pii_surrogates, span_dedup, token_store
 from .common import table
 
 #: Mixing: no source passes more than this often, and every source at least once.
 REPETITION = 2.0
 SHARDS = 24
+#: The key of the registered query; a user passes a secret one.
+PII_KEY = b"public example key"
 
 
 def _word_bpe() -> str:
@@ -25,15 +27,27 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_store(table(spark, sf_dir, "documents"), _word_bpe()))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (kd_sharding.kd_shards(table(spark, sf_dir, "documents"), n_shards=SHARDS)
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.dedup_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rid")
 
@@ -42,12 +56,17 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), repetition=REPETITION)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_store, op3_kd_sharding, op5_jaccard_join, op7_decontamination, op8_line_quality, op10_temperature_mixing)
+    f.__name__: f for f in (op1_token_store, op2_pii_surrogates, op3_kd_sharding, op4_line_chunks, op5_jaccard_join, op6_span_dedup,
+                            op7_decontamination, op8_line_quality, op9_license_scan, op10_temperature_mixing)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
