@@ -1,4 +1,4 @@
-"""The shuffle-join paths taken beyond each broadcast bound give the same results."""
+"""Joins give the same results whether Spark broadcasts a side or not; the log is reduced first."""
 
 import contextlib
 import io
@@ -18,37 +18,36 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def _plan_text(df):
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(extended=True)
-    return buf.getvalue().lower()
-
-
-def test_bounded_broadcast_falls_back_when_too_big(spark):
-    df = spark.range(10)
-    assert "strategy=broadcast" not in _plan_text(common.bounded_broadcast(df, max_rows=5))
-    small = common.bounded_broadcast(df, max_rows=50)
-    assert "strategy=broadcast" in _plan_text(small)
-    assert _rows(small) == _rows(df)
+def _without_broadcast(spark, make):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _rows(make())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_merge_shuffle_path_equals_broadcast_path(spark):
     t = R.load_claims(spark, SF_SMALL, wide=False)
     ch = R.changes(t, T.CLAIMS_RUN_DATE)
     cols = ["recovery_date_closed", "recovery_status"]
-    a = C.apply_updates(t.claimant, ch, "claimant_key", cols, src_rows=1, broadcast_rows=10 ** 9)
-    b = C.apply_updates(t.claimant, ch, "claimant_key", cols, src_rows=None)
-    c = C.apply_updates(t.claimant, ch, "claimant_key", cols, src_rows=10, broadcast_rows=0)
-    assert _rows(a) == _rows(b) == _rows(c)
+    make = lambda: C.apply_updates(t.claimant, ch, "claimant_key", cols)
+    assert _rows(make()) == _without_broadcast(spark, make)
 
 
 def test_trace_shuffle_path_equals_broadcast_path(spark):
     e = L.object_edges(L.flatten_access(B.access_log(spark, SF_SMALL)))
     starts = L.source_nodes(e).select(F.col("node").alias("root"), "node")
-    a = L.trace_keyed(e, starts, "down")
-    b = L.trace_keyed(e, starts, "down", broadcast_rows=0)
-    assert _rows(a) == _rows(b)
+    make = lambda: L.trace_keyed(e, starts, "down")
+    assert _rows(make()) == _without_broadcast(spark, make)
+
+
+def test_log_is_reduced_before_it_is_aggregated(spark):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        R.changes(R.load_claims(spark, SF_SMALL, wide=False), T.CLAIMS_RUN_DATE).explain()
+    plan = buf.getvalue()
+    assert plan.count("LeftSemi") >= 2 and "c_name" not in plan
 
 
 def test_dense_and_sparse_surrogates(spark):

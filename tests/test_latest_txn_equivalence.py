@@ -14,7 +14,7 @@ STAGE = ("business_unit string, claim_number string, claimant_number bigint, tra
 
 dates = st.one_of(st.none(), st.integers(19900101, 20301231))
 vouchers = st.one_of(st.none(), st.integers(-(2 ** 63), 2 ** 63 - 1), st.integers(-5, 5))
-rows = st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(1, 3), st.integers(19900101, 20301231),
+rows = st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(1, 3), dates,
                           st.sampled_from(["7", "8", "11", "5", "70"]), dates, vouchers),
                 min_size=1, max_size=40)
 

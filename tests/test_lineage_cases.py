@@ -39,6 +39,40 @@ def test_sql_text_facts(spark):
                    ("case", "CASE WHEN a.x > 1 THEN 'y' ELSE 'n' END")}
 
 
+def test_sql_text_facts_of_real_sql(spark):
+    texts = {
+        1: ("select * from db.t1 a left join db.t2 as b on a.i=b.i", {("join", "a.i=b.i")}),
+        2: ("SELECT a.x\nFROM t1 a\n JOIN `s`.`t2` b\n ON a.i = b.i\n JOIN t3 c ON b.k=c.k\nWHERE a.x > 1\nGROUP BY a.x ORDER BY 1",
+            {("join", "a.i = b.i"), ("join", "b.k=c.k"), ("filter", "a.x > 1")}),
+        3: ("delete from t where x = 'y';", {("filter", "x = 'y'")}),
+        4: ("SELECT 1", set())}
+    q = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "query_id long, text string")
+    got = {k: set() for k in texts}
+    for r in L.sql_text_facts(q).collect():
+        got[r["query_id"]].add((r["kind"], r["fact"]))
+    assert got == {k: want for k, (_, want) in texts.items()}
+
+
+def test_write_without_source_is_no_edge(spark):
+    flat = spark.createDataFrame([(1, None, None, "c", "T1", "c"), (2, None, "T1", "c", "T2", "c")],
+                                 "query_id long, ts timestamp_ntz, src string, src_col string, dst string, dst_col string")
+    e = L.object_edges(flat)
+    assert sorted((r["node"], r["depth"]) for r in L.trace(e, L.source_nodes(e)).collect()) == [("T1", 0), ("T2", 1)]
+
+
+def test_long_chain(spark):
+    e = spark.range(60).selectExpr("cast(id as string) as src", "cast(id + 1 as string) as dst")
+    roots = spark.createDataFrame([("0",)], "node string")
+    got = {int(r["node"]): r["depth"] for r in L.trace(e, roots).collect()}
+    assert got == {i: i for i in range(61)}
+
+
+def test_edge_without_snippet_stays(spark):
+    flat = spark.createDataFrame([(1, "a", "b"), (2, "a", "c")], "query_id long, src string, dst string")
+    facts = spark.createDataFrame([(1, "join", "x = y")], "query_id long, kind string, fact string")
+    assert sorted(map(tuple, L.edge_logic(flat, facts).collect()), key=str) == [("a", "b", "join", "x = y", 1), ("a", "c", None, None, 1)]
+
+
 def test_paths_through_column(spark):
     ce = spark.createDataFrame([("A", "c1", "B", "c1"), ("B", "c1", "C", "c2"), ("X", "c1", "B", "c2")],
                                "src string, src_col string, dst string, dst_col string")

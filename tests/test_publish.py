@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidemark import thresholds as T
 from tidemark.plans import recovery as R
-from tidemark.sources.sinks import current_run, write_report
+from tidemark.sources.sinks import current_run, published_history, write_report
 
 
 def test_run_publishes_last_and_continues_sequence(spark):
@@ -26,7 +26,7 @@ def test_run_publishes_last_and_continues_sequence(spark):
     t2 = R.ClaimTables(claimant=snap, stage=t.stage, queue=t.queue, xref=t.xref)
     R.run_recovery(spark, t2, T.CLAIMS_RUN_DATE, out, run_id="run-b")
     assert current_run(spark, out) == "run-b"
-    hist = spark.read.parquet(out + "/history")
+    hist = published_history(spark, out)
     assert hist.count() == n
     seq = hist.agg(F.min("sequence_number"), F.max("sequence_number"), F.countDistinct("sequence_number")).collect()[0]
     assert (seq[0], seq[1], seq[2]) == (1, n, n)
@@ -43,6 +43,25 @@ def test_failure_raises_fixed_error_and_publishes_nothing(spark):
     assert current_run(spark, out) is None
 
 
+@pytest.mark.parametrize("step", ["write_snapshot", "write_history", "run_summary", "publish"])
+def test_failure_at_any_step_leaves_nothing_visible(spark, monkeypatch, step):
+    out = tempfile.mkdtemp(prefix="tidemark-test-step-")
+    t = R.load_claims(spark, SF_SMALL, wide=True)
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(R, step, broken)
+        with pytest.raises(R.RecoveryError):
+            R.run_recovery(spark, t, T.CLAIMS_RUN_DATE, out, run_id="again")
+    assert published_history(spark, out) is None
+    R.run_recovery(spark, t, T.CLAIMS_RUN_DATE, out, run_id="again")
+    seen = published_history(spark, out)
+    n, ids = seen.agg(F.count("*"), F.count_distinct("sequence_number")).first()
+    assert n == ids == R.changes(t, T.CLAIMS_RUN_DATE).count()
+
+
 def test_report_rerun_replaces_only_its_day(spark):
     import datetime as dt
     out = tempfile.mkdtemp(prefix="tidemark-test-report-")

@@ -41,3 +41,18 @@ def test_feed_counts_restart_and_new_files(spark):
     run_feed_counts(spark, feed, out2, ckpt2, glob)
     got = {(str(r["report_date"]), r["source"]): r["records"] for r in read_feed_counts(spark, out2).collect()}
     assert got == _expected(events)
+
+
+def test_many_files_newest_first_lose_nothing(spark):
+    base = tempfile.mkdtemp(prefix="tidemark-test-stream-")
+    events = read_table(spark, SF_SMALL, "events").withColumn("file", F.crc32(F.col("event_id").cast("string")) % 210)
+    days = [r["d"] for r in events.select(F.to_date("ts").alias("d")).distinct().orderBy(F.desc("d")).collect()]
+    for i, day in enumerate(days):  # the newest day is written first, so it has the oldest files
+        (events.where(F.to_date("ts") == F.lit(day)).repartition(7, "file").drop("file")
+         .write.parquet(os.path.join(base, "feed", f"n{i:03d}")))
+    n_files = sum(f.endswith(".parquet") for _, _, names in os.walk(os.path.join(base, "feed")) for f in names)
+    assert n_files > 200
+    out = os.path.join(base, "out")
+    run_feed_counts(spark, os.path.join(base, "feed"), out, os.path.join(base, "ckpt"), "*.parquet", files_per_batch=64)
+    got = {(str(r["report_date"]), r["source"]): r["records"] for r in read_feed_counts(spark, out).collect()}
+    assert got == _expected(events)

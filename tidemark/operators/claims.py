@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..functions.predicates import enabled_bu, recovery_txns
-from .common import bounded_broadcast
 
 KEY3 = ["originating_business_unit", "claim_number", "claimant_number"]
 TXN_KEY3 = ["business_unit", "claim_number", "claimant_number"]
@@ -26,8 +25,8 @@ def _as_claimant_key3(stage: DataFrame) -> DataFrame:
 
 
 def enabled_queue(queue: DataFrame, xref: DataFrame) -> DataFrame:
-    """J2 + P6: queue rows whose business unit is enabled (xref filtered, then broadcast)."""
-    bu = bounded_broadcast(enabled_bu(xref).select(F.col("business_unit").alias("originating_business_unit")))
+    """J2 + P6: queue rows whose business unit is enabled (Spark broadcasts the filtered xref by its bytes)."""
+    bu = enabled_bu(xref).select(F.col("business_unit").alias("originating_business_unit"))
     return queue.join(bu, "originating_business_unit", "left_semi")
 
 
@@ -77,8 +76,8 @@ def txn_order_key(acc="accounting_dt", voucher="voucher_number", tdate="transact
     """The W1 ordering as one ``decimal(38,0)`` so that ``max`` of it is the row ranked first.
 
     Digits, high to low: [accounting_dt is NULL][accounting_dt][voucher is NULL]
-    [voucher + 2^63][transaction_date].  NULL flags are 1 so NULLs sort first
-    under DESC, as the source dialect does.  A decimal aggregation buffer is
+    [voucher + 2^63][transaction_date + 1, 0 when NULL].  NULL flags are 1 so NULLs sort
+    first under DESC, as the source dialect does; the date is the tie-break and sorts last when NULL.  A decimal aggregation buffer is
     mutable, so Spark plans a hash aggregate with map-side partial
     aggregation; ``max`` of a struct would force a sort-based aggregate.
     """
@@ -96,25 +95,29 @@ def txn_order_key(acc="accounting_dt", voucher="voucher_number", tdate="transact
     voucher_null = F.col(voucher).isNull().cast("int").cast("decimal(38,0)")
     voucher_pos = F.coalesce(d(voucher) + n(2 ** 63), n(0))
     key = (acc_null * n(shift_an) + F.coalesce(d(acc), n(0)) * n(shift_a)
-           + voucher_null * n(shift_vn) + voucher_pos * n(shift_v) + d(tdate))
+           + voucher_null * n(shift_vn) + voucher_pos * n(shift_v) + F.coalesce(d(tdate) + n(1), n(0)))
     return key.cast("decimal(38,0)")
 
 
-def txn_summary(stage: DataFrame, codes=T.RECOVERY_TXN_CODES) -> DataFrame:
+def txn_summary(stage: DataFrame, keys: DataFrame | None = None, codes=T.RECOVERY_TXN_CODES) -> DataFrame:
     """W1 + A1 in one aggregation: one shuffle of the transaction log instead of two.
 
     The newest closing transaction is the maximum packed ordering key among
     closing codes; its last 8 digits are that row's transaction date.  Partial
     aggregation runs map-side, so a key3 with many transactions is reduced to
-    one row per task before the shuffle.
+    one row per task before the shuffle.  ``keys`` (distinct key3) limits the log to
+    the rows that are wanted before it is aggregated.
     """
+    log = _as_claimant_key3(stage)
+    if keys is not None:
+        log = log.join(keys, KEY3, "left_semi")
     is_closing = F.col("transaction_code").isin(*codes)
     latest = F.max(F.when(is_closing, txn_order_key())).alias("_latest")
-    return (_as_claimant_key3(stage)
-            .groupBy(*KEY3)
+    slot = F.col("_latest") % F.lit(10 ** _DATE_DIGITS)
+    return (log.groupBy(*KEY3)
             .agg(latest, F.max("transaction_date").alias("max_transaction_date"))
             .select(*KEY3,
-                    (F.col("_latest") % F.lit(10 ** _DATE_DIGITS)).cast("int").alias("latest_txn_date"),
+                    F.when(slot > 0, slot - 1).cast("int").alias("latest_txn_date"),
                     F.col("_latest").isNotNull().alias("has_recovery_txn"),
                     "max_transaction_date"))
 
@@ -159,25 +162,15 @@ def exists_flag(df: DataFrame, stage: DataFrame, codes=T.RECOVERY_TXN_CODES, col
               .withColumn(col, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
-# A merge source is broadcast only when its exact row count is known and at most this.
-MERGE_BROADCAST_ROWS = 5_000_000
-
-
-def apply_updates(target: DataFrame, src: DataFrame, key: str, set_cols,
-                  src_rows: int | None = None, broadcast_rows: int = MERGE_BROADCAST_ROWS) -> DataFrame:
+def apply_updates(target: DataFrame, src: DataFrame, key: str, set_cols) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET, as a left join + match flag.
 
     A matched row takes the source value even when it is NULL (a match flag,
     not coalesce); unmatched rows pass through unchanged.  Column order of the
-    target is kept.  When the caller knows the source's row count (a staged,
-    counted change set) and it is small, the source is broadcast, so the wide
-    target is streamed once and never shuffled; otherwise both sides shuffle
-    on the key.
+    target is kept.  Spark picks the join by the source's bytes (at run time with AQE).
     """
     renamed = src.select(F.col(key), *[F.col(c).alias(f"_src_{c}") for c in set_cols],
                          F.lit(True).alias("_matched"))
-    if src_rows is not None and src_rows <= broadcast_rows:
-        renamed = F.broadcast(renamed)
     joined = target.join(renamed, key, "left")
     out = []
     for c in target.columns:

@@ -1,30 +1,10 @@
-"""Shared operator helpers: checked broadcast and surrogate keys."""
+"""Shared operator helpers: surrogate keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is only ever a dimension this small; anything larger is left to the planner
-# (sort-merge / shuffled hash join, or AQE's runtime conversion if it turns out small).
-BROADCAST_MAX_ROWS = 100_000
-
-# Result of each size check, per session and logical plan (the same dimension is checked once).
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the side turns out large; then the join falls back to a shuffle join.
-    """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _SIZE_CHECKS[key] else df
-
-
 def sparse_surrogate(df: DataFrame, start: int, col: str = "sequence_number") -> DataFrame:
     """F4, sparse: unique, increasing per partition, gaps allowed — no shuffle, no driver work."""
     return df.withColumn(col, F.lit(start) + F.monotonically_increasing_id() + F.lit(1))

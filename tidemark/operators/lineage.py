@@ -15,6 +15,7 @@ rather than recomputed from the first round.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -43,16 +44,21 @@ def flatten_reads(log: DataFrame) -> DataFrame:
                     F.explode_outer("r.columns").alias("column_name"))
 
 
+def _with_ends(flat: DataFrame) -> DataFrame:
+    """A write without sources (or a source without a target) is a flattened row, but no edge."""
+    return flat.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+
 def object_edges(flat: DataFrame) -> DataFrame:
     """L1: de-duplicated object edges with first / last seen and the number of queries."""
-    return (flat.groupBy("src", "dst")
+    return (_with_ends(flat).groupBy("src", "dst")
                 .agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"),
                      F.count_distinct("query_id").alias("query_count")))
 
 
 def column_edges(flat: DataFrame) -> DataFrame:
     """L2: the same at column grain."""
-    return (flat.groupBy("src", "src_col", "dst", "dst_col")
+    return (_with_ends(flat).groupBy("src", "src_col", "dst", "dst_col")
                 .agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"),
                      F.count_distinct("query_id").alias("query_count")))
 
@@ -71,63 +77,50 @@ def trace(edges: DataFrame, roots: DataFrame, direction: str = "down", max_depth
     return out.select("node", "depth")
 
 
-# A trace side is broadcast only while its exact row count (known from the previous
-# round) is at most this; beyond it the round uses shuffle joins.
-TRACE_BROADCAST_ROWS = 2_000_000
-
-
 def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
-                max_depth: int | None = None, broadcast_rows: int = TRACE_BROADCAST_ROWS) -> DataFrame:
+                max_depth: int | None = None) -> DataFrame:
     """Multi-source trace keyed by root: (root, node, depth), depth = fewest hops from that root.
 
     ``starts`` has columns ``root`` and ``node`` (usually equal).  Each round:
     frontier ⋈ edges on node → new (root, node) pairs → anti join with the
     visited set → reliable checkpoint.  Rows per round = genuinely new pairs
-    only, and the driver sees just each round's row count.  Those counts are
-    exact size bounds: while the frontier / visited set are small they are
-    broadcast (the round then shuffles only for its de-duplication); once
-    they grow past ``broadcast_rows`` the round falls back to shuffle joins.
+    only, and the driver sees just each round's row count.  Spark picks the joins by the sides' bytes.
+
+    The visited set is a list of tables, each at least twice the next: a round's table is merged
+    with those not larger than twice its size.  So a chain of any length rewrites a row a
+    logarithmic number of times, and plans stay small.
     """
     checkpoint_dir(edges.sparkSession)
     a, b = ("src", "dst") if direction == "down" else ("dst", "src")
     # The edge list is read by every round: materialise it once (reliable checkpoint).
     e = reliable_checkpoint(edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct())
     frontier = reliable_checkpoint(starts.select("root", "node").distinct().withColumn("depth", F.lit(0)))
-    n_frontier = frontier.count()
-    n_visited = n_frontier
-    parts = [frontier]
-    visited = frontier.select("root", "node")
+    seen = [(frontier.count(), frontier)]
     depth = 0
-    while n_frontier > 0 and (max_depth is None or depth < max_depth):
+    while seen[-1][0] > 0 and (max_depth is None or depth < max_depth):
         depth += 1
-        f_side = F.broadcast(frontier) if n_frontier <= broadcast_rows else frontier
-        v_side = F.broadcast(visited) if n_visited <= broadcast_rows else visited
+        visited = functools.reduce(DataFrame.unionByName, [t.select("root", "node") for _, t in seen])
         # The round's row count is observed while the checkpoint is written (no extra job).
         obs = Observation()
-        step = reliable_checkpoint(f_side.join(e, "node")
-                                   .select("root", F.col("next").alias("node"))
-                                   .distinct()
-                                   .join(v_side, ["root", "node"], "left_anti")
-                                   .withColumn("depth", F.lit(depth))
-                                   .observe(obs, F.count(F.lit(1)).alias("rows")))
-        n_frontier = obs.get["rows"]
-        if n_frontier == 0:
+        frontier = reliable_checkpoint(frontier.join(e, "node")
+                                       .select("root", F.col("next").alias("node"))
+                                       .distinct()
+                                       .join(visited, ["root", "node"], "left_anti")
+                                       .withColumn("depth", F.lit(depth))
+                                       .observe(obs, F.count(F.lit(1)).alias("rows")))
+        n, table, merged = obs.get["rows"], frontier, False
+        if n == 0:
             break
-        parts.append(step)
-        n_visited += n_frontier
-        visited = visited.unionByName(step.select("root", "node"))
-        if depth % 8 == 0:
-            # Compact the visited set into one table so the anti join reads a single input.
-            visited = reliable_checkpoint(visited)
-        frontier = step
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        while seen and seen[-1][0] <= 2 * n:
+            more, older = seen.pop()
+            n, table, merged = n + more, older.unionByName(table), True
+        seen.append((n, reliable_checkpoint(table) if merged else table))
+    return functools.reduce(DataFrame.unionByName, [t for _, t in seen])
 
 
 def source_nodes(edges: DataFrame) -> DataFrame:
-    """Nodes with no incoming edge (where downstream traces start)."""
+    """Nodes with no incoming edge (where downstream traces start); a component whose nodes all lie on
+    cycles has none, so a caller names its roots there."""
     return edges.select(F.col("src").alias("node")).distinct().join(
         edges.select(F.col("dst").alias("node")), "node", "left_anti")
 
@@ -192,19 +185,24 @@ def failing_nodes(health: DataFrame) -> DataFrame:
     return health.where(F.col("failing_tests") > 0).select(F.col("object").alias("node"))
 
 
-def blast_radius(edges: DataFrame, health: DataFrame) -> DataFrame:
-    """Downstream objects of every failing node, keyed by the failing root, with hops."""
+def blast_radius(edges: DataFrame, health: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """Downstream objects of every failing node, keyed by the failing root, with hops.
+    ``roots`` (column ``node``) limits it to the failing nodes of interest."""
     fail = failing_nodes(health)
+    fail = fail if roots is None else fail.join(roots.select("node"), "node", "left_semi")
     t = trace_keyed(edges, fail.select(F.col("node").alias("root"), "node"), "down")
     return t.where(F.col("depth") > 0).select("root", "node", F.col("depth").alias("hops"))
 
 
 # --------------------------------------------------------------------------- query text and procedures
 
-# Snippet patterns (group 1 is the snippet).
-JOIN_PATTERN = r"JOIN \w+ \w+ ON (.+?) WHERE"
-WHERE_PATTERN = r"WHERE (.+)$"
-CASE_PATTERN = r"(CASE .+? END)"
+# Snippet patterns (group 1 is the snippet): any case and white space, qualified or quoted names, optional
+# aliases; a snippet ends before the next clause, a semicolon or the end of the text.
+_NAME = r'[\w.$"`\[\]]+'
+_NEXT = r"(?=\s+(?:(?:NATURAL|INNER|CROSS|LEFT|RIGHT|FULL)\b|JOIN\b|WHERE\b|GROUP\s+BY\b|HAVING\b|WINDOW\b|QUALIFY\b|ORDER\s+BY\b|LIMIT\b|UNION\b|INTERSECT\b|EXCEPT\b)|\s*;|\s*\)?\s*$)"
+JOIN_PATTERN = rf"(?is)\bJOIN\s+{_NAME}(?:\s+(?:AS\s+)?(?!ON\b)\w+)?\s+ON\s+(.+?){_NEXT}"
+WHERE_PATTERN = rf"(?is)\bWHERE\s+(.+?){_NEXT}"
+CASE_PATTERN = r"(?is)\b(CASE\b.+?\bEND)\b"
 
 
 def sql_text_facts(qtext: DataFrame) -> DataFrame:
@@ -219,9 +217,9 @@ def sql_text_facts(qtext: DataFrame) -> DataFrame:
 
 
 def facts_by_query(facts: DataFrame) -> DataFrame:
-    """One row per query with the snippets of each kind joined by '; ' (sorted)."""
+    """One row per query with the snippets of each kind joined by '; ' (sorted), NULL where it has none."""
     def kind(k: str):
-        return F.array_join(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("fact")))), "; ")
+        return F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("fact")))), "; "), F.lit(""))
     return facts.groupBy("query_id").agg(kind("join").alias("join_logic"), kind("filter").alias("filter_logic"),
                                          kind("case").alias("case_logic"))
 
@@ -229,9 +227,10 @@ def facts_by_query(facts: DataFrame) -> DataFrame:
 def edge_logic(flat: DataFrame, facts: DataFrame) -> DataFrame:
     """Per object edge, each join / filter / CASE snippet of the queries that wrote it,
     with the number of such queries.  Long format: one row per (edge, kind, snippet), so an
-    edge written by very many queries grows in rows, never into one unbounded cell."""
-    per_edge = flat.select("src", "dst", "query_id").distinct()
-    return (per_edge.join(facts, "query_id", "inner")
+    edge written by very many queries grows in rows, never into one unbounded cell; an edge
+    without any snippet has one row of NULLs."""
+    per_edge = _with_ends(flat).select("src", "dst", "query_id").distinct()
+    return (per_edge.join(facts, "query_id", "left")
                     .groupBy("src", "dst", "kind", "fact")
                     .agg(F.count_distinct("query_id").alias("queries")))
 

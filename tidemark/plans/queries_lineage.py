@@ -8,6 +8,7 @@ import datetime as _dt
 from .. import thresholds as T
 from ..operators import lineage as L
 from ..sources import bindings as B
+from ..session import reliable_checkpoint
 from .registry import query
 
 # Freshness is judged at the end of the event run date.
@@ -64,7 +65,7 @@ t(node, depth) AS (SELECT node, 0 FROM roots
                    UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON e.src = t.node)
 SELECT node, MIN(depth) AS depth FROM t GROUP BY node""")
 def lineage_downstream(spark, d):
-    e = _edges(spark, d)
+    e = reliable_checkpoint(_edges(spark, d))  # one edge build for the roots and the loop
     return L.trace(e, L.source_nodes(e), "down")
 
 
@@ -75,7 +76,7 @@ t(node, depth) AS (SELECT node, 0 FROM roots
                    UNION SELECT e.src, t.depth + 1 FROM t JOIN e ON e.dst = t.node)
 SELECT node, MIN(depth) AS depth FROM t GROUP BY node""")
 def lineage_upstream(spark, d):
-    e = _edges(spark, d)
+    e = reliable_checkpoint(_edges(spark, d))
     return L.trace(e, L.sink_nodes(e), "up")
 
 
@@ -88,7 +89,7 @@ SELECT DISTINCT src, src_col, dst, dst_col FROM ce
 WHERE (a IN (SELECT node FROM up) AND b IN (SELECT node FROM up))
    OR (a IN (SELECT node FROM down) AND b IN (SELECT node FROM down))""")
 def lineage_column_path(spark, d):
-    return L.paths_through(L.column_edges(_flat(spark, d)), PATH_OBJECT, PATH_COLUMN)
+    return L.paths_through(reliable_checkpoint(L.column_edges(_flat(spark, d))), PATH_OBJECT, PATH_COLUMN)
 
 
 @query("impact_blast_radius", sql="""
@@ -174,7 +175,7 @@ def join_edge_logic(spark, d):
 
 @query("edge_logic", sql="""
 SELECT e.src, e.dst, f.kind, f.fact, COUNT(DISTINCT e.query_id) AS queries
-FROM (SELECT DISTINCT src, dst, query_id FROM flat) e JOIN facts f ON e.query_id = f.query_id
+FROM (SELECT DISTINCT src, dst, query_id FROM flat) e LEFT JOIN facts f ON e.query_id = f.query_id
 GROUP BY e.src, e.dst, f.kind, f.fact""")
 def edge_logic(spark, d):
     return L.edge_logic(_flat(spark, d), L.sql_text_facts(B.query_text(spark, d)))

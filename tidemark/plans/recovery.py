@@ -14,6 +14,7 @@ Plan shape of the change set (one job, two key3 shuffles that co-partition):
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import os
 import uuid
 from dataclasses import dataclass
@@ -25,12 +26,11 @@ from pyspark.sql import functions as F
 from .. import thresholds as T
 from ..functions.predicates import all_closed, any_open, any_open_v0, is_open_date, needs_reopen
 from ..functions.scalar import date_int_literal, fn_error_text, fn_reopen_status
-from ..operators.claims import (KEY3, MERGE_BROADCAST_ROWS, apply_updates, assert_unique,
-                                cardinality_report, exists_flag,
-                                latest_txn_or_null, queue_claimants, to_history, txn_summary,
-                                with_max_txn)
+from ..operators.claims import (KEY3, apply_updates, assert_unique, latest_txn_or_null, queue_claimants,
+                                to_history, txn_summary)
 from ..operators.common import dense_surrogate, sparse_surrogate
 from ..sources import bindings
+from ..sources.sinks import published_history, publish, write_history, write_snapshot
 
 STAGE_COLUMNS = ["claimant_key", "claim_number", "claimant_number", "originating_business_unit",
                  "recovery_date_closed", "recovery_status", "valid_from_date", "update_type"]
@@ -65,10 +65,14 @@ def _run_int(run_date: _dt.date):
     return date_int_literal(run_date)
 
 
-def change_candidates(t: ClaimTables, run_date: _dt.date, distinct: bool = True) -> DataFrame:
-    """Queue claimants with their transaction summary and both branch predicates."""
+def change_candidates(t: ClaimTables, run_date: _dt.date, distinct: bool = True, where=None) -> DataFrame:
+    """Queue claimants (those that ``where`` admits) with their transaction summary and both branch predicates.
+
+    The transaction log is reduced to the candidates' keys (semi join) before it is aggregated,
+    so a daily queue moves its own transactions and not the whole log."""
     base = queue_claimants(t.queue, t.xref, t.claimant, distinct=distinct)
-    j = base.join(txn_summary(t.stage), KEY3, "left")
+    base = base if where is None else base.where(where)
+    j = base.join(txn_summary(t.stage, base.select(*KEY3).distinct()), KEY3, "left")
     close = all_closed() & is_open_date() & F.col("has_recovery_txn")
     reopen = any_open() & needs_reopen()
     return (j.withColumn("update_type", F.when(close, F.lit(T.UPDATE_CLOSE))
@@ -85,7 +89,10 @@ def changes(t: ClaimTables, run_date: _dt.date, kinds=(T.UPDATE_CLOSE, T.UPDATE_
     reopening rows take date 0 and 'R' (was 'C') or 'O'.  ``wide`` keeps all
     claimant columns, so the history needs no second join to the master.
     """
-    cand = change_candidates(t, run_date).where(F.col("update_type").isin(*kinds))
+    # What needs no transaction is decided first; only these claimants' transactions are read on.
+    branch = {T.UPDATE_CLOSE: all_closed() & is_open_date(), T.UPDATE_REOPEN: any_open() & needs_reopen()}
+    possible = functools.reduce(lambda a, b: a | b, (branch[k] for k in kinds))
+    cand = change_candidates(t, run_date, where=possible).where(F.col("update_type").isin(*kinds))
     is_close = F.col("update_type") == T.UPDATE_CLOSE
     new_date = F.when(is_close, F.col("latest_txn_date")).otherwise(F.lit(T.OPEN_DATE)).cast("int")
     new_status = F.when(is_close, F.lit(T.STATUS_CLOSED)).otherwise(fn_reopen_status("recovery_status"))
@@ -107,40 +114,36 @@ def reopen_set(t: ClaimTables, run_date: _dt.date) -> DataFrame:
 
 
 def union_change_sets(t: ClaimTables, run_date: _dt.date) -> DataFrame:
-    """The two staging inserts as UNION ALL (disjoint by construction)."""
-    return close_set(t, run_date).unionByName(reopen_set(t, run_date))
+    """The two staging inserts as one pass: each row is tagged close or reopen once, which equals
+    their UNION ALL because the two predicates exclude each other."""
+    return changes(t, run_date)
 
 
-def apply_changes(claimant: DataFrame, change_set: DataFrame, change_rows: int | None = None) -> DataFrame:
-    """The new master snapshot (MERGE on claimant_key); ``change_rows`` is the staged count."""
-    return apply_updates(claimant, change_set, "claimant_key", ["recovery_date_closed", "recovery_status"],
-                         src_rows=change_rows)
+def apply_changes(claimant: DataFrame, change_set: DataFrame) -> DataFrame:
+    """The new master snapshot (MERGE on claimant_key)."""
+    return apply_updates(claimant, change_set, "claimant_key", ["recovery_date_closed", "recovery_status"])
 
 
-def history(change_set: DataFrame, master: DataFrame, start_sequence: int = 0, dense: bool = True,
-            change_rows: int | None = None) -> DataFrame:
+def history(change_set: DataFrame, master: DataFrame, start_sequence: int = 0, dense: bool = True) -> DataFrame:
     """82-column history rows for the staged changes (J10 + F4 + P7).
 
     The sequence is assigned on the narrow change set (dense: ``start +
     row_number() over claimant_key`` without a single-partition window; sparse:
     unique increasing ids).  The numbered changes then meet the wide master
-    on claimant_key; with a known, small ``change_rows`` they are broadcast,
-    so the wide master is streamed once and never shuffled.
+    on claimant_key; Spark broadcasts them when they are small, and the wide master is then not shuffled.
     """
     narrow = change_set.select("claimant_key", "recovery_date_closed", "recovery_status", "valid_from_date")
     numbered = (dense_surrogate(narrow, "claimant_key", start_sequence) if dense
                 else sparse_surrogate(narrow, start_sequence))
-    return to_history(history_rows(numbered, master, change_rows))
+    return to_history(history_rows(numbered, master))
 
 
-def history_rows(change_set: DataFrame, claimant: DataFrame, change_rows: int | None = None) -> DataFrame:
+def history_rows(change_set: DataFrame, claimant: DataFrame) -> DataFrame:
     """Change set ⋈ master on key — master columns, staged status / date / valid-from
     (and sequence number when the change set carries one)."""
     extra = [c for c in ("sequence_number",) if c in change_set.columns]
     staged = change_set.select("claimant_key", "valid_from_date", *extra,
                                F.col("recovery_status").alias("_st"), F.col("recovery_date_closed").alias("_dt"))
-    if change_rows is not None and change_rows <= MERGE_BROADCAST_ROWS:
-        staged = F.broadcast(staged)
     master = claimant.drop("valid_from_date", *extra)
     j = master.join(staged, "claimant_key", "inner")
     return (j.withColumn("recovery_status", F.col("_st")).withColumn("recovery_date_closed", F.col("_dt"))
@@ -230,17 +233,14 @@ def run_recovery(spark: SparkSession, t: ClaimTables, run_date: _dt.date, out_di
     """The whole job.  Writes ``out_dir/runs/<run_id>/{snapshot,history,summary}``
     and publishes by appending to ``out_dir/published`` last; any failure publishes nothing
     and raises :class:`RecoveryError`."""
-    from ..sources.sinks import append_history, publish, write_snapshot
-
     run_id = run_id or f"{run_date:%Y%m%d}-{uuid.uuid4().hex[:8]}"
     staged = None
     try:
-        staged, n_changes = stage(changes(t, run_date))
+        staged, _ = stage(changes(t, run_date))
         assert_unique(staged, "claimant_key")
-        start = _max_existing_sequence(spark, os.path.join(out_dir, "history"))
-        snapshot_path = write_snapshot(apply_changes(t.claimant, staged, n_changes), out_dir, run_id)
-        hist = history(staged, t.claimant, start_sequence=start, change_rows=n_changes)
-        append_history(hist, os.path.join(out_dir, "history"), run_id)
+        start = _max_published_sequence(spark, out_dir, run_id)
+        snapshot_path = write_snapshot(apply_changes(t.claimant, staged), out_dir, run_id)
+        write_history(history(staged, t.claimant, start_sequence=start), out_dir, run_id)
         summary_path = os.path.join(out_dir, "runs", run_id, "summary")
         run_summary(staged).coalesce(1).write.mode("overwrite").parquet(summary_path)
         publish(out_dir, run_id)
@@ -252,12 +252,12 @@ def run_recovery(spark: SparkSession, t: ClaimTables, run_date: _dt.date, out_di
             staged.unpersist()
 
 
-def _max_existing_sequence(spark: SparkSession, history_path: str) -> int:
-    try:
-        row = spark.read.parquet(history_path).agg(F.max("sequence_number")).collect()[0][0]
-    except Exception:
+def _max_published_sequence(spark: SparkSession, out_dir: str, run_id: str) -> int:
+    """The highest sequence number of the published runs but this one (a run may be written again)."""
+    rows = published_history(spark, out_dir)
+    if rows is None:
         return 0
-    return int(row or 0)
+    return int(rows.where(F.col("run_id") != run_id).agg(F.max("sequence_number")).first()[0] or 0)
 
 
 def error_text(df: DataFrame) -> DataFrame:
@@ -270,4 +270,4 @@ def error_text(df: DataFrame) -> DataFrame:
 __all__ = ["ClaimTables", "load_claims", "changes", "close_set", "reopen_set", "union_change_sets",
            "apply_changes", "history", "history_rows", "close_set_lenient", "history_candidates_v0",
            "history_candidates_v1", "run_summary", "run_recovery", "RecoveryError", "stage",
-           "cardinality_report", "exists_flag", "with_max_txn"]
+           "published_history"]

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..functions.scalar import fn_date_to_int, ntz_literal
-from ..operators.common import bounded_broadcast
 from .tables import read_table
 
 KEY3 = ("originating_business_unit", "claim_number", "claimant_number")
@@ -62,7 +61,7 @@ def order_units(spark: SparkSession, sf_dir: str, *order_cols: str, with_name: b
     """
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *order_cols)
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", *(("c_name",) if with_name else ()))
-    n = bounded_broadcast(nations(spark, sf_dir).select("n_nationkey", "n_name"))
+    n = nations(spark, sf_dir).select("n_nationkey", "n_name")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
              .drop("c_custkey", "n_nationkey"))
@@ -234,36 +233,30 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size"), k.alias("query_id"))
 
 
-def column_edges_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges × columns c1..c3, destination column rotated by p_size % 3."""
-    e = lineage_edges(spark, sf_dir)
-    i = F.col("i")
-    return (e.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("i"))
-             .select("query_id", "src", F.concat(F.lit("c"), i.cast("string")).alias("src_col"),
-                     "dst", F.concat(F.lit("c"), ((i - 1 + F.col("p_size") % 3) % 3 + 1).cast("string"))
-                      .alias("dst_col")))
-
-
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested runtime access log: one entry per query, reads and writes as arrays of structs.
 
     ``writes`` = array<struct<object, columns array<struct<column, sources array<struct<object, column>>>>>>.
     """
-    ce = column_edges_raw(spark, sf_dir)
-    per_col = (ce.groupBy("query_id", "src", "dst", "dst_col")
-                 .agg(F.collect_list(F.struct(F.col("src").alias("object"), F.col("src_col").alias("column")))
-                      .alias("sources")))
-    per_obj = (per_col.groupBy("query_id", "src", "dst")
-                 .agg(F.collect_list(F.struct(F.col("dst_col").alias("column"), "sources")).alias("columns")))
-    return (per_obj.groupBy("query_id", "src")
-              .agg(F.collect_list(F.struct(F.col("dst").alias("object"), "columns")).alias("writes"))
-              .select("query_id",
-                      (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-                       + F.make_dt_interval(F.lit(0), F.lit(0), F.col("query_id").cast("int"))).alias("ts"),
-                      F.array(F.struct(F.col("src").alias("object"),
-                                       F.array(F.lit("c1"), F.lit("c2"), F.lit("c3")).alias("columns")))
-                       .alias("reads"),
-                      "writes"))
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_size").where(F.col("p_partkey") > 0)
+    k, names = F.col("p_partkey"), ("c1", "c2", "c3")
+    src = _obj(k)
+
+    def turned(i: int):
+        return F.concat(F.lit("c"), ((F.lit(i) + F.col("p_size") % 3) % 3 + 1).cast("string"))
+
+    def column(i: int):
+        source = F.struct(src.alias("object"), F.lit(names[i]).alias("column"))
+        return F.struct(turned(i).alias("column"), F.array(source).alias("sources"))
+
+    columns = F.array(*[column(i) for i in range(3)]).alias("columns")
+    half, third = (_obj(F.floor(k / d).cast("bigint")) for d in (2.0, 3.0))
+    targets = F.array(F.struct(half.alias("object"), columns), F.struct(third.alias("object"), columns))
+    return p.select(k.alias("query_id"),
+                    (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                     + F.make_dt_interval(F.lit(0), F.lit(0), k.cast("int"))).alias("ts"),
+                    F.array(F.struct(src.alias("object"), F.array(*map(F.lit, names)).alias("columns"))).alias("reads"),
+                    targets.alias("writes"))
 
 
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,10 +273,17 @@ def query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey").cast("string")
     half = F.floor(F.col("p_partkey") / 2.0).cast("bigint").cast("string")
     sz = F.col("p_size").cast("string")
-    text = F.concat(
+    shape = F.col("p_partkey") % 4
+    plain = F.concat(
         F.lit("INSERT INTO T"), half, F.lit(" SELECT a.c1, CASE WHEN a.c2 > "), sz,
         F.lit(" THEN 'big' ELSE 'small' END AS c2 FROM T"), k, F.lit(" a JOIN T"), k,
         F.lit(" b ON a.c1 = b.c1 WHERE a.c3 >= "), sz, F.lit(" AND b.c2 IS NOT NULL"))
+    lower = F.concat(F.lit("insert into db.T"), half, F.lit(" select a.c1 from db.T"), k, F.lit(" as a left join db.T"), k,
+                     F.lit(" as b on a.c1 = b.c2 where a.c3 < "), sz, F.lit(" group by a.c1 order by 1"))
+    lines = F.concat(F.lit("SELECT a.c1\nFROM T"), k, F.lit(" a\nJOIN T"), half, F.lit(" b ON a.c1 = b.c1\nJOIN T"), k,
+                     F.lit(" c\n  ON b.c2 = c.c2\nWHERE c.c3 = "), sz, F.lit("\nLIMIT 5;"))
+    bare = F.concat(F.lit("SELECT * FROM T"), k, F.lit(" a JOIN s.T"), half, F.lit(" ON a.c1 = T"), half, F.lit(".c1"))
+    text = F.when(shape == 0, plain).when(shape == 1, lower).when(shape == 2, lines).otherwise(bare)
     return p.select(F.col("p_partkey").alias("query_id"), text.alias("text"))
 
 

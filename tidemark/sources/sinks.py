@@ -1,4 +1,4 @@
-"""Sinks: history append, master snapshots, report tables, and the publish step.
+"""Sinks: run history, master snapshots, report tables, and the publish step.
 
 Nothing is written in place.  A run writes under its own ``run_id`` folder and
 becomes visible only when ``publish`` appends its entry to the publish log, so
@@ -16,19 +16,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def append_history(df: DataFrame, path: str, run_id: str) -> str:
-    """Append history rows, partitioned by the month of ``valid_from_date``.
+def write_history(df: DataFrame, out_dir: str, run_id: str) -> str:
+    """The run's history rows under ``runs/<run_id>/history``, by month of ``valid_from_date``.
 
-    Rows are tagged with ``run_id`` so a rerun after a failure can be
-    recognised; parquet append is already a bulk (direct-path) write.
-    """
+    A rerun of the run replaces its own rows; readers see them once the run is published.
+    The rebalance hint lets AQE split a month with most of a run's rows over several tasks."""
+    path = os.path.join(out_dir, "runs", run_id, "history")
     (df.withColumn("valid_from_month", (F.col("valid_from_date") / 100).cast("int"))
-       .withColumn("run_id", F.lit(run_id))
-       .repartition("valid_from_month")
-       .write.mode("append").partitionBy("valid_from_month").parquet(path))
+       .hint("rebalance", "valid_from_month")
+       .write.mode("overwrite").partitionBy("valid_from_month").parquet(path))
     return path
 
 
+def published_runs(spark: SparkSession, out_dir: str) -> list[str]:
+    """Published run ids in the order of publishing (each once); none when nothing was published."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        log = spark.read.schema("published_at string, run_id string").json(os.path.join(out_dir, "published"))
+        rows = log.orderBy("published_at").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return list(dict.fromkeys(r["run_id"] for r in reversed(rows)))[::-1]
+
+
+def published_history(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The history rows of published runs only, with their ``run_id``; None when they have none."""
+    from pyspark.errors import AnalysisException
+
+    out = None
+    for run_id in published_runs(spark, out_dir):
+        try:
+            rows = spark.read.parquet(os.path.join(out_dir, "runs", run_id, "history")).withColumn("run_id", F.lit(run_id))
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            continue  # a run without changes: its folder holds no file
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def write_snapshot(df: DataFrame, out_dir: str, run_id: str) -> str:
     """Write the new master under ``runs/<run_id>/snapshot`` — never over the path being read."""
     path = os.path.join(out_dir, "runs", run_id, "snapshot")
@@ -52,21 +81,15 @@ def publish(out_dir: str, run_id: str) -> None:
 
 def current_run(spark: SparkSession, out_dir: str) -> str | None:
     """The most recently published run id, or None when nothing was published."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        log = spark.read.schema("published_at string, run_id string").json(os.path.join(out_dir, "published"))
-        row = log.orderBy(F.col("published_at").desc()).select("run_id").first()
-    except AnalysisException:
-        return None
-    return row["run_id"] if row else None
+    runs = published_runs(spark, out_dir)
+    return runs[-1] if runs else None
 
 
 def write_report(df: DataFrame, path: str, name: str, run_date: _dt.date) -> str:
     """Store one report table for one day; rerunning a day replaces only that day."""
     target = os.path.join(path, name)
     (df.withColumn("report_date", F.lit(run_date))
-       .coalesce(1)
+       .hint("rebalance")
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy("report_date").parquet(target))

@@ -7,30 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Fixed-size dimensions: never worth spreading.
-_DIMENSIONS = {"region", "nation"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least the session's default parallelism.
-
-    A large table on a cluster is read as thousands of file splits and this is
-    a no-op.  A table stored as one unsplittable file (one parquet row group)
-    would otherwise run every operator before the first shuffle in a single
-    task; a repartition spreads it over all cores.  Only the pruned columns
-    are moved.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        # Hash on all scanned columns: deterministic on retry without the local sort a
-        # round-robin repartition needs, and no single hot value can skew it.
-        return df.repartition(target, *df.columns)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; selecting the columns up front keeps ``ReadSchema`` narrow."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return df if name in _DIMENSIONS else spread(df)
+    return df
