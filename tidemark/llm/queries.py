@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, kd_sharding, license_scan, line_chunks, line_quality, mixing, pii_surrogates, span_dedup, token_store
+from . import decontam, jaccard_join, kd_sharding, license_scan, line_chunks, line_quality, mixing, oracles, pii_surrogates, span_dedup, token_store
 from .common import table
 
 #: Mixing: no source passes more than this often, and every source at least once.
@@ -70,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_span_dedup": oracles.SPAN_DEDUP, "op7_decontamination": oracles.DECONTAMINATION, "op8_line_quality": oracles.LINE_QUALITY}
