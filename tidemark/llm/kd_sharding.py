@@ -29,10 +29,13 @@ BIN_BITS = 12
 
 
 def ordered_key(docs: DataFrame, column: str) -> Column:
-    """An order-preserving, non-negative 63-bit key; strings by their first seven bytes, null lowest."""
+    """An order-preserving, non-negative 63-bit key; strings by their first seven bytes, null lowest.
+
+    Values that share a key (integers beyond 62 bits, strings alike in seven bytes) are ties, which the cut may part.
+    """
     kind, c = dict(docs.dtypes)[column], docs[column]
     if kind in ("tinyint", "smallint", "int", "bigint"):
-        key = F.shiftright(c.cast("long"), 1) + F.lit(2**62)
+        key = F.least(F.greatest(c.cast("long"), F.lit(-2**62)), F.lit(2**62 - 1)) + F.lit(2**62)
     elif kind in ("float", "double") or kind.startswith("decimal"):
         key = F.least(F.greatest((F.signum(c.cast("double")) * F.log1p(F.abs(c.cast("double"))) * 1e15).cast("long"), F.lit(-2**61)), F.lit(2**61)) + F.lit(2**62)
     elif kind in ("date", "timestamp", "timestamp_ntz"):
