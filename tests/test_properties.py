@@ -39,12 +39,32 @@ def test_shares_sum_to_100(spark):
         assert abs(row["s"] - 100.0) <= 0.2
 
 
-def test_combo_volumes_cover_all_account_months(spark):
+def test_combo_volumes_count_each_account_once(spark):
     q = B.quotes(spark, SF_SMALL)
-    total = q.select("account_id", F.date_trunc("month", "quoted_on")).distinct().count()
     vol = K.combo_volume(q)
     assert vol.count() == 7
-    assert vol.agg(F.sum("accounts")).collect()[0][0] == total
+    assert vol.agg(F.sum("accounts")).collect()[0][0] == q.select("account_id").distinct().count()
+    by_month = K.combo_volume_by_month(q).agg(F.sum("accounts")).collect()[0][0]
+    assert by_month == q.select("account_id", F.date_trunc("month", "quoted_on")).distinct().count()
+
+
+def test_two_critical_metrics_of_a_product_are_one_anomaly(spark):
+    from tidemark.plans import reports as Rp
+    rows = [("S", "Cargo", "a", "critical"), ("S", "Cargo", "b", "critical"), ("S", "Hull", "a", "warning"), ("T", "Crime", "a", "normal")]
+    df = spark.createDataFrame(rows, "section string, product string, metric string, level string")
+    got = {r["section"]: (r["critical_products"], r["critical_metrics"], r["warning_metrics"], r["status"]) for r in Rp.health_rollup(df).collect()}
+    assert got == {"S": (1, 2, 1, "1 Anomaly"), "T": (0, 0, 0, "Healthy")}
+
+
+def test_metric_missing_today_is_a_critical_drop(spark):
+    import datetime as dt
+    from tidemark.plans import reports as Rp
+    day = dt.date(2024, 1, 10)
+    rows = [(day - dt.timedelta(days=i), "S", "P", "m", 10) for i in range(1, 6)]
+    daily = spark.createDataFrame(rows, "report_date date, section string, product string, metric string, value long")
+    expected = spark.createDataFrame([("S", "P", "m"), ("S", "P", "silent")], "section string, product string, metric string")
+    got = {r["metric"]: (r["today"], r["var_7d_pct"], r["level"]) for r in Rp.kpi_anomalies(daily, day, expected).collect()}
+    assert got == {"m": (0, -100.0, "critical"), "silent": (0, None, None)}
 
 
 def test_downstream_trace_reaches_every_node(spark):

@@ -49,8 +49,12 @@ def series_with_baselines(daily: DataFrame, short: int = T.ROLLING_SHORT_DAYS,
 
 
 def compare_on(daily: DataFrame, run_date: _dt.date, short: int = T.ROLLING_SHORT_DAYS,
-               long: int = T.ROLLING_LONG_DAYS, band: float = T.TREND_STABLE_BAND_PCT) -> DataFrame:
-    """K1 core: today / yesterday / short and long averages for one run date.
+               long: int = T.ROLLING_LONG_DAYS, band: float = T.TREND_STABLE_BAND_PCT,
+               expected: DataFrame | None = None) -> DataFrame:
+    """K1 core: today / yesterday / short and long averages for one run date, by section, product and metric.
+
+    A metric without rows today counts 0, so a complete drop shows; ``expected`` (section, product,
+    metric) adds the series that have no row in the whole window either.
 
     Conditional aggregation over the daily rows of the last ``long`` days: one
     grouped pass, no window, and the date range prunes the input.
@@ -62,8 +66,10 @@ def compare_on(daily: DataFrame, run_date: _dt.date, short: int = T.ROLLING_SHOR
     def in_range(days: int) -> Column:
         return (day >= F.lit(run_date - _dt.timedelta(days=days))) & (day < F.lit(run_date))
 
-    agg = recent.groupBy(*SERIES_KEYS).agg(
-        F.max(F.when(day == F.lit(run_date), F.col("value"))).alias("today"),
+    if expected is not None:
+        recent = recent.unionByName(expected.select("section", *SERIES_KEYS), allowMissingColumns=True)
+    agg = recent.groupBy("section", *SERIES_KEYS).agg(
+        F.coalesce(F.max(F.when(day == F.lit(run_date), F.col("value"))), F.lit(0)).alias("today"),
         F.max(F.when(day == F.lit(run_date - _dt.timedelta(days=1)), F.col("value"))).alias("yesterday"),
         F.avg(F.when(in_range(short), F.col("value"))).alias(f"avg_{short}d"),
         F.avg(F.when(in_range(long), F.col("value"))).alias(f"avg_{long}d"))
@@ -195,10 +201,14 @@ def stage_pct(f: DataFrame) -> DataFrame:
 
 
 def funnel_total(stages: DataFrame) -> DataFrame:
-    """Prospects summed over products; the account universe counted once."""
-    return stages.agg(F.count_distinct("account_id").alias("total_accounts"),
-                      F.count_distinct(F.when(F.col("qualified"), F.col("account_id"))).alias("eligible_accounts"),
-                      F.count(F.when(F.col("prospect"), True)).alias("prospects"))
+    """Prospects summed over products; the account universe counted once.
+
+    Each account is reduced to one row first (map-side), so no row is expanded for a second distinct count."""
+    per = stages.groupBy("account_id").agg(F.max(F.coalesce("qualified", F.lit(False))).alias("qualified"),
+                                           F.count_if("prospect").alias("prospects"))
+    return per.agg(F.count("account_id").alias("total_accounts"),
+                   F.count_if(F.col("account_id").isNotNull() & F.col("qualified")).alias("eligible_accounts"),
+                   F.coalesce(F.sum("prospects"), F.lit(0)).cast("bigint").alias("prospects"))
 
 
 def field_completeness(stages: DataFrame) -> DataFrame:
@@ -220,15 +230,11 @@ def field_completeness(stages: DataFrame) -> DataFrame:
 
 def rejections(stages: DataFrame) -> DataFrame:
     """Rejected accounts by their first failing rule; every reason shows, zeros included."""
-    counts = (stages.where(F.col("rejection_reason").isNotNull())
-                    .groupBy("product", "rejection_reason").agg(F.count(F.lit(1)).alias("accounts")))
-    totals = stages.groupBy("product").agg(F.count(F.lit(1)).alias("total_accounts"))
-    grid = totals.select("product", "total_accounts",
-                         F.explode(F.array(*[F.lit(r) for r in T.REJECTION_REASONS])).alias("rejection_reason"))
-    return (grid.join(counts, ["product", "rejection_reason"], "left")
-                .select("product", "rejection_reason",
-                        F.coalesce(F.col("accounts"), F.lit(0)).cast("bigint").alias("accounts"),
-                        S.pct(F.coalesce(F.col("accounts"), F.lit(0)), F.col("total_accounts")).alias("pct_of_total")))
+    wide = stages.groupBy("product").agg(F.count(F.lit(1)).alias("total_accounts"), *[
+        F.count_if(F.col("rejection_reason") == r).alias(f"r{i}") for i, r in enumerate(T.REJECTION_REASONS)])
+    pairs = ", ".join(f"'{r}', r{i}" for i, r in enumerate(T.REJECTION_REASONS))
+    long = wide.select("product", "total_accounts", F.expr(f"stack({len(T.REJECTION_REASONS)}, {pairs}) as (rejection_reason, accounts)"))
+    return long.select("product", "rejection_reason", "accounts", S.pct("accounts", "total_accounts").alias("pct_of_total"))
 
 
 def criteria_match(stages: DataFrame) -> DataFrame:
@@ -251,18 +257,11 @@ def criteria_match(stages: DataFrame) -> DataFrame:
 
 def exclusions(stages: DataFrame) -> DataFrame:
     """Qualified accounts by every criterion they fail (overlapping), % of qualified."""
-    q = stages.where(F.col("qualified"))
-    failed = F.filter(F.array(*[F.when(~F.col(f"crit_{i}"), F.lit(r)) for i, r in enumerate(T.EXCLUSION_REASONS)]),
-                      lambda x: x.isNotNull())
-    per = (q.select("product", F.explode(failed).alias("exclusion_reason"))
-            .groupBy("product", "exclusion_reason").agg(F.count(F.lit(1)).alias("accounts")))
-    totals = q.groupBy("product").agg(F.count(F.lit(1)).alias("qualified"))
-    grid = totals.select("product", "qualified",
-                         F.explode(F.array(*[F.lit(r) for r in T.EXCLUSION_REASONS])).alias("exclusion_reason"))
-    return (grid.join(per, ["product", "exclusion_reason"], "left")
-                .select("product", "exclusion_reason",
-                        F.coalesce(F.col("accounts"), F.lit(0)).cast("bigint").alias("accounts"),
-                        S.pct(F.coalesce(F.col("accounts"), F.lit(0)), F.col("qualified")).alias("pct_of_qualified")))
+    wide = stages.where(F.col("qualified")).groupBy("product").agg(F.count(F.lit(1)).alias("qualified"), *[
+        F.count_if(~F.col(f"crit_{i}")).alias(f"x{i}") for i in range(len(T.EXCLUSION_REASONS))])
+    pairs = ", ".join(f"'{r}', x{i}" for i, r in enumerate(T.EXCLUSION_REASONS))
+    long = wide.select("product", "qualified", F.expr(f"stack({len(T.EXCLUSION_REASONS)}, {pairs}) as (exclusion_reason, accounts)"))
+    return long.select("product", "exclusion_reason", "accounts", S.pct("accounts", "qualified").alias("pct_of_qualified"))
 
 
 def conversions(f: DataFrame) -> DataFrame:
@@ -318,18 +317,26 @@ def account_baskets(q: DataFrame) -> DataFrame:
     return per.withColumn("combo_mask", basket).withColumn("combo", combo_label(F.col("combo_mask")))
 
 
-def combo_volume(q: DataFrame, by_month: bool = False) -> DataFrame:
-    """Account-months by exclusive product combination; all seven combinations shown."""
-    b = (account_baskets(q).select("account_id", "quote_month", "combo").distinct())
-    keys = ["quote_month", "combo"] if by_month else ["combo"]
-    vol = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("accounts"))
-    if by_month:
-        return vol
+def combo_volume(q: DataFrame, start: _dt.date | None = None, end: _dt.date | None = None) -> DataFrame:
+    """Accounts by the exclusive combination of products they were quoted between ``start`` and
+    ``end`` (inclusive; all quotes by default). Each account counts once; all seven combinations are shown."""
+    if start is not None:
+        q = q.where(F.col("quoted_on") >= F.lit(start))
+    if end is not None:
+        q = q.where(F.col("quoted_on") <= F.lit(end))
+    mask = q.groupBy("account_id").agg(F.bit_or(product_mask(F.col("product"))).alias("mask"))
+    vol = mask.groupBy(combo_label(F.col("mask")).alias("combo")).agg(F.count(F.lit(1)).alias("accounts"))
     grid = q.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in T.PRODUCT_COMBOS])).alias("combo"))
     return (grid.join(vol, "combo", "left")
                 .select("combo", F.coalesce(F.col("accounts"), F.lit(0)).cast("bigint").alias("accounts")))
 
 
+def combo_volume_by_month(q: DataFrame) -> DataFrame:
+    """Accounts per calendar month by the combination of that month; an account counts once a month."""
+    b = account_baskets(q).select("account_id", "quote_month", "combo").distinct()
+    return b.groupBy("quote_month", "combo").agg(F.count(F.lit(1)).alias("accounts"))
+
+
 PIVOT_NAMES = {"Crime": "crime", "EPL": "epl", "Fid": "fid", "C+E": "crime_epl", "C+F": "crime_fid",
                "E+F": "epl_fid", "All 3": "all_three"}
 

@@ -119,8 +119,14 @@ VIEWS: dict[str, str] = {
     (c_custkey % 17 = 0) AS email_opt_out
   FROM customer, (SELECT unnest(['Crime', 'EPL', 'Fiduciary']) AS product) p""",
     "daily_metric": """
-  SELECT CAST(ts AS DATE) AS report_date, 'ALL' AS product, event_type AS metric, COUNT(*) AS value
-  FROM events GROUP BY 1, 3""",
+  SELECT report_date, CASE product WHEN 'Crime' THEN 'Crime' ELSE 'Liability' END AS section, product, metric, value
+  FROM (SELECT CAST(ts AS DATE) AS report_date, ['Crime', 'EPL', 'Fiduciary'][CAST(user_id % 3 + 1 AS INTEGER)] AS product,
+          event_type AS metric, COUNT(*) AS value
+        FROM events GROUP BY 1, 2, 3) x""",
+    "expected_series": """
+  SELECT CASE product WHEN 'Crime' THEN 'Crime' ELSE 'Liability' END AS section, product, metric
+  FROM (SELECT unnest(['Crime', 'EPL', 'Fiduciary']) AS product) p,
+    (SELECT unnest(['view', 'signup', 'error', 'click', 'purchase']) AS metric) m""",
     "quotes": """
   SELECT o_orderkey AS quote_id, o_custkey AS account_id,
     CASE o_orderkey % 3 WHEN 0 THEN 'Crime' WHEN 1 THEN 'EPL' ELSE 'Fiduciary' END AS product,
@@ -212,13 +218,13 @@ VIEWS["stages"] = _stages_sql()
 VIEWS["feed_status"] = f"""
   SELECT e.source, COALESCE(t.records, 0) > 0 AS available, CAST(COALESCE(t.records, 0) AS BIGINT) AS records,
     t.last_refresh
-  FROM (SELECT DISTINCT event_type AS source FROM events UNION ALL SELECT 'partner_feed') e
+  FROM (SELECT unnest(['view', 'signup', 'error', 'click', 'purchase', 'partner_feed']) AS source) e
   LEFT JOIN (SELECT event_type AS source, COUNT(*) AS records, MAX(ts) AS last_refresh FROM events
              WHERE ts >= TIMESTAMP '{T.EVENTS_RUN_DATE} 00:00:00'
                AND ts < TIMESTAMP '{T.EVENTS_RUN_DATE} 00:00:00' + INTERVAL 1 DAY
              GROUP BY event_type) t ON e.source = t.source"""
 VIEWS["series"] = """
-  SELECT report_date, product, metric, value,
+  SELECT report_date, section, product, metric, value,
     MAX(value) OVER (PARTITION BY product, metric ORDER BY date_diff('day', DATE '1970-01-01', report_date)
                      RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS yesterday,
     AVG(value) OVER (PARTITION BY product, metric ORDER BY date_diff('day', DATE '1970-01-01', report_date)

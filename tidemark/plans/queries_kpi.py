@@ -58,23 +58,24 @@ def grade_sql(v: str) -> str:
 
 COMPARE_SQL = f"""
 cmp AS (
-  SELECT product, metric, today, yesterday, avg_7d, avg_30d,
+  SELECT section, product, metric, today, yesterday, avg_7d, avg_30d,
     round({var_sql('today', 'yesterday')}, 1) AS var_yesterday_pct, {trend_sql(var_sql('today', 'yesterday'))} AS trend_yesterday,
     round({var_sql('today', 'avg_7d')}, 1) AS var_7d_pct, {trend_sql(var_sql('today', 'avg_7d'))} AS trend_7d,
     round({var_sql('today', 'avg_30d')}, 1) AS var_30d_pct, {trend_sql(var_sql('today', 'avg_30d'))} AS trend_30d,
     {level_sql(var_sql('today', 'avg_7d'))} AS level, {label_sql(var_sql('today', 'avg_7d'))} AS label
   FROM (
-    SELECT product, metric,
-      MAX(CASE WHEN report_date = {_d(0)} THEN value END) AS today,
+    SELECT section, product, metric,
+      COALESCE(MAX(CASE WHEN report_date = {_d(0)} THEN value END), 0) AS today,
       MAX(CASE WHEN report_date = {_d(1)} THEN value END) AS yesterday,
       AVG(CASE WHEN report_date >= {_d(7)} AND report_date < {_d(0)} THEN value END) AS avg_7d,
       AVG(CASE WHEN report_date >= {_d(30)} AND report_date < {_d(0)} THEN value END) AS avg_30d
-    FROM daily_metric WHERE report_date >= {_d(30)} AND report_date <= {_d(0)}
-    GROUP BY product, metric) a)"""
+    FROM expected_series FULL JOIN (SELECT * FROM daily_metric WHERE report_date >= {_d(30)} AND report_date <= {_d(0)}) d
+      USING (section, product, metric)
+    GROUP BY section, product, metric) a)"""
 
-CMP_COLS = ("product, metric, today, yesterday, avg_7d, avg_30d, var_yesterday_pct, trend_yesterday, "
+CMP_COLS = ("section, product, metric, today, yesterday, avg_7d, avg_30d, var_yesterday_pct, trend_yesterday, "
             "var_7d_pct, trend_7d, var_30d_pct, trend_30d")
-ANOM_COLS = "product, metric, today, avg_7d, var_7d_pct, level, label"
+ANOM_COLS = "section, product, metric, today, avg_7d, var_7d_pct, level, label"
 
 
 def _daily(spark, d):
@@ -95,7 +96,7 @@ def _stages(spark, d):
 
 
 def _anomalies(spark, d):
-    return Rp.kpi_anomalies(_recent_daily(spark, d), RUN)
+    return Rp.kpi_anomalies(_recent_daily(spark, d), RUN, B.expected_series(spark))
 
 
 # --------------------------------------------------------------------------- sources
@@ -121,17 +122,17 @@ def availability_summary(spark, d):
 
 # --------------------------------------------------------------------------- windows (W2-W4) and F6-F10
 
-@query("rolling_avg_7d", sql="SELECT report_date, product, metric, value, avg_7d FROM series")
+@query("rolling_avg_7d", sql="SELECT report_date, section, product, metric, value, avg_7d FROM series")
 def rolling_avg_7d(spark, d):
     return K.rolling_avg(_daily(spark, d), 7)
 
 
-@query("rolling_avg_30d", sql="SELECT report_date, product, metric, value, avg_30d FROM series")
+@query("rolling_avg_30d", sql="SELECT report_date, section, product, metric, value, avg_30d FROM series")
 def rolling_avg_30d(spark, d):
     return K.rolling_avg(_daily(spark, d), 30)
 
 
-@query("prev_day_value", sql="SELECT report_date, product, metric, value, yesterday FROM series")
+@query("prev_day_value", sql="SELECT report_date, section, product, metric, value, yesterday FROM series")
 def prev_day_value(spark, d):
     return K.prev_day_value(_daily(spark, d))
 
@@ -181,7 +182,7 @@ def anomaly_label(spark, d):
 
 @query("kpi_comparison", sql=f"WITH {COMPARE_SQL} SELECT {CMP_COLS} FROM cmp")
 def kpi_comparison(spark, d):
-    return Rp.kpi_comparison(_recent_daily(spark, d), RUN).select(*[c.strip() for c in CMP_COLS.split(",")])
+    return Rp.kpi_comparison(_recent_daily(spark, d), RUN, B.expected_series(spark)).select(*[c.strip() for c in CMP_COLS.split(",")])
 
 
 @query("kpi_anomalies", sql=f"WITH {COMPARE_SQL} SELECT {ANOM_COLS} FROM cmp")
@@ -191,11 +192,12 @@ def kpi_anomalies(spark, d):
 
 @query("health_rollup", sql=f"""
 WITH {COMPARE_SQL}
-SELECT product, COUNT(*) FILTER (WHERE level = 'critical') AS critical_metrics,
-  COUNT(*) FILTER (WHERE level = 'warning') AS warning_metrics,
-  CASE WHEN COUNT(*) FILTER (WHERE level IN ('critical', 'warning')) = 0 THEN 'Healthy'
-       ELSE CAST(COUNT(*) FILTER (WHERE level IN ('critical', 'warning')) AS VARCHAR) || ' Anomaly' END AS status
-FROM cmp GROUP BY product""")
+SELECT section, COUNT(*) AS products, COUNT(*) FILTER (WHERE c > 0) AS critical_products,
+  CAST(SUM(c) AS BIGINT) AS critical_metrics, CAST(SUM(w) AS BIGINT) AS warning_metrics,
+  CASE COUNT(*) FILTER (WHERE c > 0) WHEN 0 THEN 'Healthy' WHEN 1 THEN '1 Anomaly'
+    ELSE CAST(COUNT(*) FILTER (WHERE c > 0) AS VARCHAR) || ' Anomalies' END AS status
+FROM (SELECT section, product, COUNT(*) FILTER (WHERE level = 'critical') AS c, COUNT(*) FILTER (WHERE level = 'warning') AS w
+      FROM cmp GROUP BY section, product) p GROUP BY section""")
 def health_rollup(spark, d):
     return Rp.health_rollup(_anomalies(spark, d))
 
@@ -215,13 +217,13 @@ def executive_summary(spark, d):
 
 @query("action_items", sql=f"""
 WITH {COMPARE_SQL}
-SELECT 'High' AS priority, 1 AS priority_rank, source AS subject,
+SELECT 'High' AS priority, 1 AS priority_rank, CAST(NULL AS VARCHAR) AS product, source AS subject,
   'Source data delayed - no records received' AS issue, CAST(NULL AS DOUBLE) AS variance_pct,
   CAST(NULL AS DOUBLE) AS gap
 FROM feed_status WHERE NOT available
 UNION ALL
-SELECT CASE WHEN level = 'critical' THEN 'High' ELSE 'Medium' END,
-  CASE WHEN level = 'critical' THEN 1 ELSE 2 END, metric,
+SELECT CASE WHEN level = 'critical' THEN 'High' WHEN today < avg_7d THEN 'Medium' ELSE 'Low' END,
+  CASE WHEN level = 'critical' THEN 1 WHEN today < avg_7d THEN 2 ELSE 3 END, product, metric,
   metric || CASE WHEN var_7d_pct < 0 THEN ' below 7-day average' ELSE ' above 7-day average' END,
   var_7d_pct, round(today - avg_7d, 1)
 FROM cmp WHERE level IN ('critical', 'warning')""")
@@ -416,13 +418,16 @@ baskets AS (
 
 
 @query("product_combo_volume", sql=f"""
-WITH {BASKET_SQL}
-SELECT g.combo, CAST(COALESCE(v.accounts, 0) AS BIGINT) AS accounts
-FROM (SELECT unnest([{", ".join(f"'{c}'" for c in T.PRODUCT_COMBOS)}]) AS combo) g
-LEFT JOIN (SELECT combo, COUNT(*) AS accounts FROM (SELECT DISTINCT account_id, quote_month, combo FROM baskets) x
-           GROUP BY combo) v ON g.combo = v.combo""")
+SELECT combo, COUNT(account_id) AS accounts
+FROM (SELECT unnest(['Crime', 'EPL', 'Fid', 'C+E', 'C+F', 'E+F', 'All 3']) AS combo,
+        unnest([['Crime'], ['EPL'], ['Fiduciary'], ['Crime', 'EPL'], ['Crime', 'Fiduciary'], ['EPL', 'Fiduciary'], ['Crime', 'EPL', 'Fiduciary']]) AS held) g
+LEFT JOIN (SELECT account_id, list_sort(list(DISTINCT product)) AS held FROM quotes
+           WHERE quoted_on >= DATE '{QRUN - _dt.timedelta(days=T.ROLLING_LONG_DAYS)}' AND quoted_on <= DATE '{QRUN}' GROUP BY account_id) a USING (held)
+GROUP BY combo""")
 def product_combo_volume(spark, d):
-    return K.combo_volume(B.quotes(spark, d))
+    """A14 over the report month (the run date and the days of the long average before it)."""
+    start = QRUN - _dt.timedelta(days=T.ROLLING_LONG_DAYS)
+    return K.combo_volume(B.quotes(spark, d, start, QRUN), start, QRUN)
 
 
 @query("status_combo_matrix", sql=f"""
@@ -457,7 +462,7 @@ def combo_volume_trend(spark, d):
 
 # --------------------------------------------------------------------------- S8 sink
 
-@query("report_tables_sink")
+@query("report_tables_sink", sql=f"WITH {COMPARE_SQL} SELECT {ANOM_COLS}, DATE '{RUN}' AS report_date FROM cmp")
 def report_tables_sink(spark, d):
     """Store the day's anomaly table by report date, twice (a rerun replaces the day), read back."""
     import uuid
@@ -477,7 +482,7 @@ SELECT CAST(ts AS DATE) AS report_date, event_type AS source, COUNT(*) AS record
 FROM events GROUP BY 1, 2""")
 def source_feed_stream(spark, d):
     """S2 as Structured Streaming: feed files processed incrementally (availableNow), daily counts
-    per source in watermarked state, idempotent foreachBatch sink; read back the latest rows."""
+    per source and micro-batch, idempotent foreachBatch sink; read back the sums."""
     import uuid
 
     from ..streaming.feeds import read_feed_counts, run_feed_counts

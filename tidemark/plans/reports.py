@@ -17,25 +17,28 @@ from ..functions import scalar as S
 from ..operators import kpi as K
 
 
-def kpi_comparison(daily: DataFrame, run_date: _dt.date) -> DataFrame:
-    """K1: per metric — today, yesterday, 7D and 30D averages, three variances, three trends."""
-    return K.compare_on(daily, run_date)
+def kpi_comparison(daily: DataFrame, run_date: _dt.date, expected: DataFrame | None = None) -> DataFrame:
+    """K1: per section, product and metric — today, yesterday, 7D and 30D averages, three variances, three trends."""
+    return K.compare_on(daily, run_date, expected=expected)
 
 
-def kpi_anomalies(daily: DataFrame, run_date: _dt.date) -> DataFrame:
+def kpi_anomalies(daily: DataFrame, run_date: _dt.date, expected: DataFrame | None = None) -> DataFrame:
     """K2: K1 plus anomaly level and label against the 7-day average."""
-    return K.classify(K.compare_on(daily, run_date)).select(
-        "product", "metric", "today", "avg_7d", "var_7d_pct", "level", "label")
+    return K.classify(K.compare_on(daily, run_date, expected=expected)).select(
+        "section", "product", "metric", "today", "avg_7d", "var_7d_pct", "level", "label")
 
 
 def health_rollup(anomalies: DataFrame) -> DataFrame:
-    """Per product, metrics at critical / warning, and the section badge."""
-    agg = anomalies.groupBy("product").agg(
-        F.count(F.when(F.col("level") == "critical", True)).alias("critical_metrics"),
-        F.count(F.when(F.col("level") == "warning", True)).alias("warning_metrics"))
-    n = F.col("critical_metrics") + F.col("warning_metrics")
-    return agg.withColumn("status", F.when(n == 0, F.lit("Healthy"))
-                          .otherwise(F.concat(n.cast("string"), F.lit(" Anomaly"))))
+    """Per section, the products with a critical metric (two critical metrics of one product are
+    one anomaly), and the section badge. Warnings are counted beside it and don't change the badge."""
+    n = F.col("critical_products")
+    return anomalies.groupBy("section").agg(
+        F.count_distinct("product").alias("products"),
+        F.count_distinct(F.when(F.col("level") == "critical", F.col("product"))).alias("critical_products"),
+        F.count_if(F.col("level") == "critical").alias("critical_metrics"),
+        F.count_if(F.col("level") == "warning").alias("warning_metrics")).withColumn(
+        "status", F.when(n == 0, F.lit("Healthy")).when(n == 1, F.lit("1 Anomaly"))
+                   .otherwise(F.concat(n.cast("string"), F.lit(" Anomalies"))))
 
 
 def records_received(status: DataFrame) -> DataFrame:
@@ -69,18 +72,19 @@ def executive_summary(status: DataFrame, anomalies: DataFrame, quotes: DataFrame
 
 
 def action_items(anomalies: DataFrame, status: DataFrame) -> DataFrame:
-    """Ranked issues — silent sources and critical metrics High, warnings Medium —
-    with the gap today − 7-day average; ordered by rank then |variance|."""
+    """Ranked issues by product — silent sources and critical metrics High, metrics at warning level below
+    their average Medium, those above it Low — with the gap today − 7-day average; ordered by rank then |variance|."""
     src = (status.where(~F.col("available"))
                  .select(F.lit("High").alias("priority"), F.lit(1).alias("priority_rank"),
-                         F.col("source").alias("subject"),
+                         F.lit(None).cast("string").alias("product"), F.col("source").alias("subject"),
                          F.lit("Source data delayed - no records received").alias("issue"),
                          F.lit(None).cast("double").alias("variance_pct"),
                          F.lit(None).cast("double").alias("gap")))
     flagged = anomalies.where(F.col("level").isin("critical", "warning"))
+    rank = F.when(F.col("level") == "critical", 1).when(F.col("var_7d_pct") < 0, 2).otherwise(3)
     met = flagged.select(
-        F.when(F.col("level") == "critical", F.lit("High")).otherwise(F.lit("Medium")).alias("priority"),
-        F.when(F.col("level") == "critical", F.lit(1)).otherwise(F.lit(2)).alias("priority_rank"),
+        F.element_at(F.array(F.lit("High"), F.lit("Medium"), F.lit("Low")), rank).alias("priority"),
+        rank.alias("priority_rank"), F.col("product"),
         F.col("metric").alias("subject"),
         F.concat(F.col("metric"), F.when(F.col("var_7d_pct") < 0, F.lit(" below 7-day average"))
                  .otherwise(F.lit(" above 7-day average"))).alias("issue"),
@@ -125,7 +129,7 @@ def funnel_with_averages(quotes: DataFrame, stages: DataFrame, run_date: _dt.dat
 
 def combo_volume_trend(quotes: DataFrame) -> DataFrame:
     """K5: monthly account volume per product combination against the previous calendar month."""
-    vol = K.combo_volume(quotes, by_month=True)
+    vol = K.combo_volume_by_month(quotes)
     month_no = F.year("quote_month") * 12 + F.month("quote_month")
     prev = F.max("accounts").over(Window.partitionBy("combo").orderBy(month_no).rangeBetween(-1, -1))
     return (vol.withColumn("prev_accounts", prev)

@@ -155,6 +155,10 @@ def account_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The feed's sources and the metrics of a daily report.
+EVENT_TYPES = ("view", "signup", "error", "click", "purchase")
+
+
 def _day_range(col: str, start: _dt.date | None, end: _dt.date | None) -> Column | None:
     """``start <= col < end + 1 day`` on the raw timestamp, so the scan can skip files / row groups."""
     cond = None
@@ -168,15 +172,29 @@ def _day_range(col: str, start: _dt.date | None, end: _dt.date | None) -> Column
 
 def daily_metric(spark: SparkSession, sf_dir: str, start: _dt.date | None = None,
                  end: _dt.date | None = None) -> DataFrame:
-    """Events counted per (day, event type); partial aggregation shrinks it map-side.
+    """Events counted per (day, product, event type), product by user and section by product; partial
+    aggregation shrinks it map-side.  A day without events has no row.
     ``start`` / ``end`` (inclusive days) filter the raw timestamps before the scan."""
-    ev = read_table(spark, sf_dir, "events", "ts", "event_type")
+    ev = read_table(spark, sf_dir, "events", "ts", "user_id", "event_type")
     rng = _day_range("ts", start, end)
     if rng is not None:
         ev = ev.where(rng)
-    return (ev.groupBy(F.to_date("ts").alias("report_date"), F.col("event_type").alias("metric"))
+    k = F.col("user_id") % 3
+    product = F.when(k == 0, F.lit("Crime")).when(k == 1, F.lit("EPL")).otherwise(F.lit("Fiduciary"))
+    return (ev.groupBy(F.to_date("ts").alias("report_date"), product.alias("product"), F.col("event_type").alias("metric"))
               .agg(F.count(F.lit(1)).alias("value"))
-              .select("report_date", F.lit("ALL").alias("product"), "metric", "value"))
+              .select("report_date", _section(F.col("product")).alias("section"), "product", "metric", "value"))
+
+
+def _section(product: Column) -> Column:
+    return F.when(product == "Crime", F.lit("Crime")).otherwise(F.lit("Liability"))
+
+
+def expected_series(spark: SparkSession) -> DataFrame:
+    """The (section, product, metric) rows that a daily report must have, with or without events: a fixed list."""
+    rows = [(p, m) for p in ("Crime", "EPL", "Fiduciary") for m in EVENT_TYPES]
+    return (spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(p).alias("product"), F.lit(m).alias("metric")) for p, m in rows])).alias("x"))
+            .select(_section(F.col("x.product")).alias("section"), "x.product", "x.metric"))
 
 
 def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,11 +204,8 @@ def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every source seen in the feed history plus one that never reports."""
-    seen = read_table(spark, sf_dir, "events", "event_type").select(
-        F.col("event_type").alias("source")).distinct()
-    silent = spark.range(1).select(F.lit("partner_feed").alias("source"))
-    return seen.unionByName(silent)
+    """The sources that must report: a small fixed list (no scan of the feed's history), one of which never does."""
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, (*EVENT_TYPES, "partner_feed")))).alias("source"))
 
 
 def quotes(spark: SparkSession, sf_dir: str, start: _dt.date | None = None,
