@@ -153,24 +153,28 @@ def test_line_chunks(spark, sizes):
     passage = "\n".join(f"shared line {i} of the passage" for i in range(12))
     texts = [None, "", "\n\n\n\n", "only one", passage, "intro\n" + passage + "\nend", "x\ny\nz\n" + passage, passage, "p\nq\nr\ns\nt", "\n".join(f"l{i}" for i in range(5000))]
     data = [(i, t) for i, t in enumerate(texts)] + [(None, passage), (9, texts[9])]
-    got = line_chunks.dedup_lines(spark.createDataFrame(data, "doc_id long, text string").repartition(3), **sizes).collect()
+    df = spark.createDataFrame([(*r, "x") for r in data], "doc_id long, text string, rid string").repartition(3)
+    texts_out, got = line_chunks.dedup_lines(df, **sizes), line_chunks.line_digest(df, **sizes).collect()
     lim = {"min_lines": 2, "mean_lines": 3, "max_lines": 16, "roll": 2} | sizes
-    first, want = {}, collections.Counter()
-    order = sorted(data, key=lambda r: -1 if r[0] is None else r[0])
-    for i, t in order:
-        lines, keep, start, gone = (t or "").split("\n"), [], 0, 0
-        for end in line_chunks.chunk_ends([line_chunks.hash64(x.encode()) for x in lines], **lim):
-            body = "\n".join(lines[start:end])
-            if end - start >= lim["min_lines"] and body.strip() and body in first:
-                gone += end - start
-            else:
-                keep += lines[start:end]
-                first[body] = i
-            start = end
-        want[i, t if not gone else "\n".join(keep), 0 if t is None else len(lines), gone] += 1
-    assert collections.Counter((r["doc_id"], r["text"], r["n_lines"], r["removed_lines"]) for r in got) == want
-    assert sum(r["removed_lines"] for r in got) > 5000
-    assert line_chunks.dedup_lines(K.empty(spark)).count() == 0
+    first, seen, want, kept = {}, {}, collections.Counter(), collections.Counter()
+    for i, t in sorted(data, key=lambda r: -1 if r[0] is None else r[0]):
+        if (i, t) not in seen:
+            lines, keep, start, gone = (t or "").split("\n"), [], 0, []
+            for end in line_chunks.chunk_ends([line_chunks.hash64(x.encode()) for x in lines], **lim):
+                body = "\n".join(lines[start:end])
+                if end - start >= lim["min_lines"] and body.strip() and body in first:
+                    gone.append(end - start)
+                else:
+                    keep += lines[start:end]
+                    first[body] = i
+                start = end
+            seen[i, t] = ("\n".join(keep) if gone else t, 0 if t is None else len(lines), len(gone), sum(gone))
+        body, n, chunks, lines = seen[i, t]
+        want[i, n, chunks, lines, None if body is None else hashlib.sha256(body.encode()).hexdigest()] += 1
+        kept[i, body, "x"] += 1
+    assert collections.Counter(tuple(r) for r in got) == want and collections.Counter(tuple(r) for r in texts_out.collect()) == kept
+    assert sum(r["removed_lines"] for r in got) >= 20
+    assert line_chunks.dedup_lines(K.empty(spark)).count() == 0 and line_chunks.line_digest(K.empty(spark)).count() == 0
 
 
 # --- op5

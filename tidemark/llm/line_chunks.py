@@ -9,18 +9,22 @@ found by hash are compared byte by byte: they are grouped on their bytes.
 Lines are split at ``\\n``; kept chunks are joined again with ``\\n``, so a text without removals keeps every byte.
 
 Defined results: a null text has no lines and stays null; an empty text is one empty line and is never removed; a null doc_id
-counts as the smallest; of repeated rows the first stays (rows alike in id and text are ordered by row number); an empty table gives an empty result.
-Blank lines are lines. A chunk without any word is never removed. Other columns are ignored or carried.
+counts as the smallest; of texts with one doc_id the one with the lesser hash comes first; rows alike in doc_id and text are one
+document and get the same result; an empty table gives an empty result. Blank lines are lines. A chunk without any word is never
+removed. Other columns are ignored or carried.
 
-Plan: hashes and lengths are counted first, map-side; only chunks whose hash repeats send their bytes.
+Plan: hashes are counted first, map-side. Only documents that hold a repeated hash are moved (their texts once), and only
+the bytes of repeated chunks are compared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, hash64, mapped, ship, stage, text_bytes, unboxed
+from .common import hash64, mapped, ship, stage, text_bytes
 
 ship(__name__)
 
@@ -41,63 +45,77 @@ def chunk_ends(hashes: list[int], min_lines: int, mean_lines: int, max_lines: in
     return ends + ([len(hashes)] if start < len(hashes) else [])
 
 
-def _removed(docs: DataFrame, text: str, doc_id: str, min_lines: int, mean_lines: int, max_lines: int, roll: int) -> tuple[DataFrame, DataFrame]:
-    """The staged documents (c0.., rid, doc, text) and (rid, gone: numbers of removed chunks, gone_lines)."""
-    box = stage(boxed(docs, F.coalesce(docs[doc_id].cast("long"), F.lit(-2**63).cast("long")).alias("doc")), "chunks-docs")
-    body = text_bytes(f"c{docs.columns.index(text)}").alias("text")
+class Cutter:
+    """Chunks of texts for one set of sizes."""
+
+    def __init__(self, min_lines: int, mean_lines: int, max_lines: int, roll: int):
+        self.min_lines, self.sizes = min_lines, (min_lines, mean_lines, max_lines, roll)
 
-    def chunks(cols: dict[str, list], with_bytes: bool) -> dict[str, list]:
+    def chunks(self, text: bytes) -> Iterator[tuple[int, list[bytes]]]:
+        lines, start = text.split(b"\n"), 0
+        for no, end in enumerate(chunk_ends([hash64(x) for x in lines], *self.sizes)):
+            yield no, lines[start:end]
+            start = end
+
+    def table(self, cols: dict[str, list], with_bytes: bool) -> dict[str, list]:
+        """The chunks that may be removed."""
         out: dict[str, list] = {"rid": [], "doc": [], "no": [], "key": [], "lines": []} | ({"body": []} if with_bytes else {})
-        for rid, doc, t in zip(cols["rid"], cols["doc"], cols["text"], strict=True):
-            lines, start = t.split(b"\n"), 0
-            for no, end in enumerate(chunk_ends([hash64(x) for x in lines], min_lines, mean_lines, max_lines, roll)):
-                body = b"\n".join(lines[start:end])
-                if end - start >= min_lines and body.strip():
-                    out["rid"].append(rid)
-                    out["doc"].append(doc)
-                    out["no"].append(no)
-                    out["key"].append(hash64(body) - 2**63)
-                    out["lines"].append(end - start)
-                    if with_bytes:
-                        out["body"].append(body)
-                start = end
+        for rid, doc, text in zip(cols["rid"], cols["doc"], cols["text"], strict=True):
+            for no, lines in self.chunks(text):
+                body = b"\n".join(lines)
+                if len(lines) >= self.min_lines and body.strip():
+                    for name, value in zip(out, (rid, doc, no, hash64(body) - 2**63, len(lines), body), strict=False):
+                        out[name].append(value)
         return out
 
-    fields = "rid long, doc long, no int, key long, lines int"
-    texts = box.select("rid", "doc", body)
-    slim = stage(mapped(texts, lambda c: chunks(c, False), fields), "chunks-slim")
-    twice = slim.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    holders = slim.join(twice, "key", "left_semi").groupBy("rid").agg(F.collect_set("key").alias("keys"))
-    again = (mapped(texts.join(holders.select("rid"), "rid", "left_semi"), lambda c: chunks(c, True), fields + ", body binary", rows=128)
-             .join(twice, "key", "left_semi"))
-    again = stage(again, "chunks-again")
-    kept = again.groupBy("key", "body").agg(F.min(F.struct("doc", "rid", "no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    gone = (again.join(kept, ["key", "body"]).where(F.struct("doc", "rid", "no") > F.col("first"))
-            .groupBy("rid").agg(F.collect_set("no").alias("gone"), F.sum("lines").cast("long").alias("gone_lines")))
-    return box, gone
-
-
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, min_lines: int = 2, mean_lines: int = 3, max_lines: int = 16,
-                roll: int = 2) -> DataFrame:
-    """The documents in their own columns, repeated chunks cut out, then ``n_lines, removed_chunks, removed_lines``."""
-    box, gone = _removed(docs, text, doc_id, min_lines, mean_lines, max_lines, roll)
-    place = f"c{docs.columns.index(text)}"
-
-    def cut(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"rid": cols["rid"], "cut": []}
-        for t, numbers in zip(cols["text"], cols["gone"], strict=True):
-            lines, start, keep, off = t.split(b"\n"), 0, [], set(numbers)
-            for no, end in enumerate(chunk_ends([hash64(x) for x in lines], min_lines, mean_lines, max_lines, roll)):
-                if no not in off:
-                    keep += lines[start:end]
-                start = end
-            out["cut"].append(b"\n".join(keep).decode("utf-8", "replace"))
+    def cut(self, cols: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {"rid": cols["rid"], "gone_chunks": [], "gone_lines": cols["gone_lines"], "cut": []}
+        for text, gone in zip(cols["text"], cols["gone"], strict=True):
+            off = set(gone)
+            out["gone_chunks"].append(len(off))
+            out["cut"].append(b"\n".join(x for no, lines in self.chunks(text) if no not in off for x in lines).decode("utf-8", "replace"))
         return out
 
-    gone = stage(gone, "chunks-gone")
-    made = mapped(box.select("rid", text_bytes(place).alias("text")).join(gone.select("rid", "gone"), "rid"), cut, "rid long, cut string", rows=128)
-    out = box.join(made.join(gone, "rid"), "rid", "left")
-    lines = F.coalesce(F.length(F.regexp_replace(place, "[^\n]+", "")) + 1, F.lit(0)).cast("long")
-    return out.withColumn("n_lines", lines).withColumn(place, F.coalesce("cut", place)).select(
-        *unboxed(docs.columns), "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed_chunks"),
-        F.coalesce("gone_lines", F.lit(0).cast("long")).alias("removed_lines"))
+
+def _rid(docs: DataFrame, text: str, doc_id: str) -> Column:
+    return F.xxhash64(docs[doc_id], docs[text])
+
+
+def changed_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, min_lines: int = 2, mean_lines: int = 3, max_lines: int = 16,
+                  roll: int = 2) -> DataFrame:
+    """(rid, gone_chunks, gone_lines, cut) of the documents that lose a chunk; ``rid`` is a hash of doc_id and text."""
+    cutter = Cutter(min_lines, mean_lines, max_lines, roll)
+    fields = "rid long, doc long, no int, key long, lines int"
+    texts = docs.select(_rid(docs, text, doc_id).alias("rid"), F.coalesce(docs[doc_id].cast("long"), F.lit(-2**63).cast("long")).alias("doc"),
+                        text_bytes(docs[text]).alias("text"))
+    slim = stage(mapped(texts, lambda c: cutter.table(c, False), fields), "chunks-slim")
+    place = F.struct("rid", "no")
+    twice = stage(slim.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("key"), "chunks-twice")
+    holders = slim.join(twice, "key", "left_semi").select("rid").distinct()
+    # What follows the corpus in size is not broadcast, however small it is here: one plan at every size.
+    held = stage(texts.join(holders.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"]), "chunks-held")
+    again = stage(mapped(held, lambda c: cutter.table(c, True), fields + ", body binary", rows=128).join(twice, "key", "left_semi"), "chunks-again")
+    first = again.groupBy("key", "body").agg(F.min(F.struct("doc", "rid", "no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    gone = (again.join(first, ["key", "body"]).where(F.struct("doc", "rid", "no") > F.col("first"))
+            .groupBy("rid").agg(F.collect_list("no").alias("gone"), F.sum("lines").cast("long").alias("gone_lines")))
+    return mapped(held.select("rid", "text").join(gone.hint("merge"), "rid"), cutter.cut, "rid long, gone_chunks long, gone_lines long, cut string", rows=128)
+
+
+def _counts(docs: DataFrame, text: str) -> Column:
+    return F.coalesce(F.length(F.regexp_replace(docs[text], "[^\n]+", "")) + 1, F.lit(0)).cast("long").alias("n_lines")
+
+
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **sizes) -> DataFrame:
+    """The documents in their own columns, repeated chunks cut out of the texts."""
+    made = changed_texts(docs, text, doc_id, **sizes).select("rid", "cut")
+    both = docs.join(made, _rid(docs, text, doc_id) == made["rid"], "left")
+    return both.select(*[F.coalesce(made["cut"], docs[c]).alias(c) if c == text else docs[c] for c in docs.columns])
+
+
+def line_digest(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **sizes) -> DataFrame:
+    """(doc_id, n_lines, removed_chunks, removed_lines, kept_sha256) of every row; the checksum is of the text that stays, null for null."""
+    made = changed_texts(docs, text, doc_id, **sizes).select("rid", "gone_chunks", "gone_lines", F.sha2("cut", 256).alias("cut"))
+    rows = docs.select(_rid(docs, text, doc_id).alias("rid"), docs[doc_id].alias("doc_id"), _counts(docs, text), F.sha2(docs[text], 256).alias("whole"))
+    none = F.lit(0).cast("long")
+    return rows.join(made, "rid", "left").select("doc_id", "n_lines", F.coalesce("gone_chunks", none).alias("removed_chunks"),
+                                                 F.coalesce("gone_lines", none).alias("removed_lines"), F.coalesce("cut", "whole").alias("kept_sha256"))

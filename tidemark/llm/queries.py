@@ -37,7 +37,7 @@ def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_chunks.line_digest(table(spark, sf_dir, "documents"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
