@@ -45,7 +45,7 @@ def needs_reopen(date_col: str = "recovery_date_closed", status_col: str = "reco
 
 
 def recovery_txns(stage: DataFrame, codes=T.RECOVERY_TXN_CODES) -> DataFrame:
-    """P5: closing transactions; string codes, pushed down to the scan."""
+    """P5: closing transactions; string codes. (A stored code column lets the test reach the scan; a computed one does not.)"""
     return stage.where(F.col("transaction_code").isin(*codes))
 
 

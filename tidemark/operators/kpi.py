@@ -118,13 +118,10 @@ def availability(status: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- account funnel
 
-FIELD_CHECKS = (
-    # (field label, present-expression builder)
-    ("Valid Business Identifier (D&B Number)", lambda: F.col("dnb_number").isNotNull()),
-    ("Company Type Classification", lambda: F.col("company_type").isNotNull()),
-    ("Annual Revenue Information", lambda: F.col("revenue").isNotNull()),
-    ("Underwriting Risk Exclusions Check", lambda: ~F.col("risk_excluded")),
-)
+# Present-expression builders of the required fields, in the order of ``T.COMPLETENESS_FIELDS``.
+FIELD_CHECKS = tuple(zip(T.COMPLETENESS_FIELDS, (
+    lambda: F.col("dnb_number").isNotNull(), lambda: F.col("company_type").isNotNull(),
+    lambda: F.col("revenue").isNotNull(), lambda: ~F.col("risk_excluded")), strict=True))
 
 
 def _rule(product_col: Column, attr: str):
@@ -139,10 +136,6 @@ def _rule(product_col: Column, attr: str):
     return out
 
 
-CRITERIA = ("Industry Classification Match", "Revenue Within Appetite Range",
-            "Business Size (Employees > 1)", "Private Company Status")
-
-
 def criteria_columns() -> dict[str, Column]:
     """Targeting criteria, each a boolean column; the per-product appetite is a CASE on product."""
     p = F.col("product")
@@ -156,7 +149,7 @@ def criteria_columns() -> dict[str, Column]:
             F.coalesce(revenue_ok, F.lit(False)),
             F.coalesce(F.col("employees") > T.MIN_EMPLOYEES, F.lit(False)),
             F.coalesce(F.col("ownership") == "private", F.lit(False)))
-    return dict(zip(CRITERIA, cols))
+    return dict(zip(T.CRITERIA, cols))
 
 
 def account_stages(flags: DataFrame, threshold: float = T.QUALIFICATION_THRESHOLD) -> DataFrame:
@@ -239,7 +232,7 @@ def rejections(stages: DataFrame) -> DataFrame:
 
 def criteria_match(stages: DataFrame) -> DataFrame:
     """A10: each criterion alone on the qualified accounts, plus ALL; with match grade."""
-    names = list(CRITERIA)
+    names = list(T.CRITERIA)
     q = stages.where(F.col("qualified"))
     aggs = [F.count(F.lit(1)).alias("qualified")]
     aggs += [F.count(F.when(F.col(f"crit_{i}"), True)).alias(f"m{i}") for i in range(len(names))]

@@ -309,7 +309,7 @@ def rejection_breakdown(spark, d):
     return K.rejections(_stages(spark, d))
 
 
-_CRIT_NAMES = list(K.CRITERIA)
+_CRIT_NAMES = list(T.CRITERIA)
 
 
 def _crit_sql() -> str:

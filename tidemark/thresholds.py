@@ -91,6 +91,12 @@ EXCLUSION_REASONS = (
     "Public Company",
 )
 
+# Row labels of the completeness and criteria tables, in their order.
+COMPLETENESS_FIELDS = ("Valid Business Identifier (D&B Number)", "Company Type Classification",
+                       "Annual Revenue Information", "Underwriting Risk Exclusions Check")
+CRITERIA = ("Industry Classification Match", "Revenue Within Appetite Range",
+            "Business Size (Employees > 1)", "Private Company Status")
+
 # ---------------------------------------------------------------------------
 # Inferred values (parameters; defaults read off the rendered reports)
 # ---------------------------------------------------------------------------
