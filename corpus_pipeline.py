@@ -13,38 +13,54 @@ a stage judges all rows its predecessor kept.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, jaccard_join, kd_sharding, line_quality, mixing
-from tidemark.llm.common import release, stage, table
+from tidemark.llm.common import STAGED, release, stage, table
 from tidemark.llm.queries import REPETITION, SHARDS
 
 
+_SCRATCH: list[str] = []
+
+
+def _stage(apply: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage's input is its predecessor's written result, so the predecessor's scratch tables can go when it begins."""
+    @functools.wraps(apply)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _SCRATCH)
+        before = len(STAGED)
+        out = apply(spark, docs, sf_dir)
+        _SCRATCH.extend(STAGED[before:])
+        return out
+
+    return run_stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
     return line_quality.clean(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
     return jaccard_join.one_of_each(docs)
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
     return mixing.mixed_documents(docs, repetition=REPETITION)
 
 
+@_stage
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
     return kd_sharding.sharded_documents(docs, n_shards=SHARDS)
 
 

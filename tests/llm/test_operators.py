@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import cases as K
 
 from tidemark.llm import decontam, jaccard_join, kd_sharding, license_scan, line_chunks, line_quality, mixing, pii_surrogates, span_dedup, token_store
-from tidemark.llm.common import choose_bands, grouped, release
+from tidemark.llm.common import STAGED, choose_bands, grouped, release
 
 BENCH = "item_id long, text string, rid string"
 
@@ -384,4 +384,4 @@ def test_pipeline_stages(spark, docs, tmp_path):
         if name != "shard":
             assert frame.columns == docs.columns
     assert frame.count() == corpus_pipeline.run(spark, sf).count()
-    release(spark)
+    release(spark, STAGED)

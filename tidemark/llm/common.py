@@ -22,7 +22,8 @@ from tidemark.session import checkpoint_dir
 
 #: ASCII white space; ``bytes.split()`` splits at exactly these bytes, so it yields the words ``[^\x20\x09-\x0D]+``.
 WHITE = b" \t\n\r\x0b\x0c"
-_STAGED: list[str] = []
+#: Scratch tables written so far, in order.
+STAGED: list[str] = []
 
 
 def ship(module: str) -> None:
@@ -43,14 +44,14 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not keep:
-        _STAGED.append(path)
+        STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far; call it once their results are written."""
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables (of ``STAGED``) whose results are written, and empty the list."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
