@@ -95,7 +95,8 @@ def changed_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
     # What follows the corpus in size is not broadcast, however small it is here: one plan at every size.
     held = stage(texts.join(holders.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"]), "chunks-held")
     again = stage(mapped(held, lambda c: cutter.table(c, True), fields + ", body binary", rows=128).join(twice, "key", "left_semi"), "chunks-again")
-    first = again.groupBy("key", "body").agg(F.min(F.struct("doc", "rid", "no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Written, so that AQE can split the rows of a hot chunk in the join below.
+    first = stage(again.groupBy("key", "body").agg(F.min(F.struct("doc", "rid", "no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "chunks-first")
     gone = (again.join(first, ["key", "body"]).where(F.struct("doc", "rid", "no") > F.col("first"))
             .groupBy("rid").agg(F.collect_list("no").alias("gone"), F.sum("lines").cast("long").alias("gone_lines")))
     return mapped(held.select("rid", "text").join(gone.hint("merge"), "rid"), cutter.cut, "rid long, gone_chunks long, gone_lines long, cut string", rows=128)
