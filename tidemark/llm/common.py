@@ -77,8 +77,8 @@ def text_bytes(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
 
 
-def mapped(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int = 512) -> DataFrame:
-    """``mapInArrow`` over slices of at most ``rows`` rows: ``fn`` gets and returns lists by column name."""
+def mapped(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str, rows: int = 512) -> DataFrame:
+    """``mapInArrow`` over slices of at most ``rows`` rows: ``fn`` gets lists and returns lists or numpy arrays by column name."""
     target = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

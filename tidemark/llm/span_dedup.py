@@ -141,21 +141,21 @@ def removed_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
     own = each.select("rid", "anchor").join(shared, "anchor", "left_semi").groupBy("rid").agg(F.collect_set("anchor").alias("anchors"))
     box = stage(texts.drop("doc_id").join(own, "rid").dropDuplicates(["rid"]).withColumn("no", F.monotonically_increasing_id()), "spans-box")
 
-    def windows(cols: dict[str, list]) -> dict[str, list]:
+    def windows(cols: dict[str, list]) -> dict[str, np.ndarray]:
         known = WordHashes()
-        out: dict[str, list] = {"w": [], "no": [], "doc": [], "at": []}
-        for no, doc, t, live in zip(cols["no"], cols["doc"], cols["text"], cols["anchors"], strict=True):
+        hashes, places = [], []
+        for t, live in zip(cols["text"], cols["anchors"], strict=True):
             h = known.of(t.split())
             at = np.flatnonzero(np.isin(signed(anchors(h, window, anchor)), np.array(live, np.int64)))
-            prefix = gram_hashes(h, window)[at]
-            out["w"] += signed(prefix).tolist()
-            out["at"] += at.tolist()
-            out["no"] += [no] * len(at)
-            out["doc"] += [doc] * len(at)
-        return out
+            hashes.append(signed(gram_hashes(h, window)[at]))
+            places.append(at.astype(np.int32))
+        n = [len(p) for p in places]
+        return {"w": np.concatenate(hashes), "no": np.repeat(np.array(cols["no"], np.int64), n), "doc": np.repeat(np.array(cols["doc"], np.int64), n),
+                "at": np.concatenate(places)}
 
     every = mapped(box.select("no", "doc", "text", "anchors"), windows, "w long, no long, doc long, at int", rows=64)
-    first = every.groupBy("w").agg(F.min("doc").alias("first"), F.max("doc").alias("hi")).where("first < hi").select("w", "first")
+    # Written, so that the join below reads it through an exchange of its own and AQE can split a hot window's rows.
+    first = stage(every.groupBy("w").agg(F.min("doc").alias("first"), F.max("doc").alias("hi")).where("first < hi").select("w", "first"), "spans-first")
     cited = stage(every.select("w", "no", "at").join(first, "w").groupBy("no").agg(F.collect_list(F.struct("first", "at")).alias("cited")), "spans-cited")
 
     def passages(cols: dict[str, list]) -> dict[str, list]:
