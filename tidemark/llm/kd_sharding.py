@@ -104,12 +104,12 @@ def _descend(rows: DataFrame, cuts: list[dict]) -> DataFrame:
 
 def assign(rows: DataFrame, n_dims: int, n_shards: int | None = None, target_bytes: int | None = None,
            tolerance: float = 0.0005) -> DataFrame:
-    """Adds ``shard`` (0 to n - 1) to staged rows with ``rid, size, tie`` and ``dims`` (array of keys)."""
+    """Adds ``shard`` (0 to n - 1) to staged slim rows with ``rid, size, tie`` and ``dims`` (array of keys)."""
     total = rows.agg(F.sum("size")).first()[0] or 0
     shards = n_shards or max(1, math.ceil(total / target_bytes))
-    rows = rows.withColumn("node", F.lit(1).cast("long"))
     if not total:
-        return rows.withColumn("shard", F.lit(0)).drop("node")
+        return rows.withColumn("shard", F.lit(0))
+    rows = stage(rows.withColumn("node", F.lit(1).cast("long")), "shard-nodes")
     inner = [(1, 0, shards)]  # (node, first shard, shards)
     leaves: list[tuple[int, int]] = []
     extent: list[int] | None = None
@@ -128,7 +128,8 @@ def assign(rows: DataFrame, n_dims: int, n_shards: int | None = None, target_byt
             if node in stats:
                 widest = max(range(n_dims), key=lambda i: (spans[node][i] / extent[i] if extent[i] else 0, -i))
                 asked.append({"node": node, "dim": widest, "target": stats[node]["w"] * (k // 2) // k, "lo": stats[node][f"min{widest}"], "hi": stats[node][f"max{widest}"]})
-        rows = _descend(rows, _cuts(rows, asked, tolerance * total / shards)) if asked else rows
+        # The slim rows are written level by level: every pass then has the same short plan, however deep the tree.
+        rows = stage(_descend(rows, _cuts(rows, asked, tolerance * total / shards)), "shard-nodes") if asked else rows
         inner = [y for node, first, k in inner for y in ((2 * node, first, k // 2), (2 * node + 1, first + k // 2, k - k // 2))]
     names = numbers(rows, leaves, "node long, shard int")
     return rows.join(F.broadcast(names), "node").drop("node")
