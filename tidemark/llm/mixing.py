@@ -49,19 +49,21 @@ def exponent(sources: DataFrame, *, entropy_share: float | None = None, repetiti
     if not count or count == 1 or least == most:
         return 1.0
     share = F.col("tokens") / F.lit(float(total))
-    while hi - lo > 10.0 ** -digits:
-        probes = [lo + (hi - lo) * i / (PROBES + 1) for i in range(1, PROBES + 1)]
+
+    def moments(probes: list[float]) -> list[tuple[float, float]]:
+        """For each exponent the sum of the powers, and of the powers times the logarithms: one aggregate over the sources."""
         got = live.agg(*[F.struct(F.sum(F.pow(share, F.lit(a))).alias("z"), F.sum(F.pow(share, F.lit(a)) * F.log(share)).alias("y")).alias(f"p{i}")
                          for i, a in enumerate(probes)]).first()
-        meets = []
-        for i, a in enumerate(probes):
-            z, y = got[i]["z"], got[i]["y"]
-            if entropy_share is not None:  # the entropy falls as the exponent grows
-                meets.append(math.log(z) - a * y / z <= entropy_share * math.log(count))
-            elif budget is None:
-                meets.append((most / least) ** (1 - a) <= repetition)
-            else:
-                meets.append(budget * (least / total) ** a / z / least <= repetition)
+        return [(x["z"], x["y"]) for x in got]
+
+    while hi - lo > 10.0 ** -digits:
+        probes = [lo + (hi - lo) * i / (PROBES + 1) for i in range(1, PROBES + 1)]
+        if entropy_share is not None:  # the entropy falls as the exponent grows
+            meets = [math.log(z) - a * y / z <= entropy_share * math.log(count) for a, (z, y) in zip(probes, moments(probes), strict=True)]
+        elif budget is None:  # the rates of two sources differ by their sizes alone
+            meets = [(most / least) ** (1 - a) <= repetition for a in probes]
+        else:
+            meets = [budget * (least / total) ** a / z / least <= repetition for a, (z, _) in zip(probes, moments(probes), strict=True)]
         first = meets.index(True) if True in meets else PROBES
         lo, hi = probes[first - 1] if first else lo, probes[first] if first < PROBES else hi
     return hi
