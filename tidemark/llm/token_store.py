@@ -22,6 +22,7 @@ one segment.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,28 +89,40 @@ class Boundaries:
         return out
 
 
+def _plain(run: bytes) -> tuple[bytes, bytes]:
+    """A run as (lower-case run, closing mark): the tokenizer lower-cases, and a mark after an ASCII letter or digit is a token of its own."""
+    mark = run[-1:] if len(run) > 1 and run[-1:] in (b".", b",") and run[-2:-1].isalnum() else b""
+    word = run[:-1] if mark else run
+    return word if b"<" in word else word.lower(), mark
+
+
 class ChunkEncoder:
     """Ids of a text by the tokenizer, remembered for each run of characters between ASCII white space.
 
-    Only for tokenizers that drop white space and never join across it; ``tests/llm`` holds it against whole texts.
+    Only for tokenizers that drop white space, never join across it, and lower-case; ``tests/llm`` holds it against whole texts.
     The memory is bounded: at ``limit`` runs it starts anew.
     """
 
     def __init__(self, path: str, dtype: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
-        self.tok, self.dtype, self.limit = Tokenizer.from_file(path), dtype, limit
+        self.tok, self.code, self.limit = Tokenizer.from_file(path), "H" if dtype == "<u2" else "I", limit
         self.known: dict[bytes, bytes] = {}
+        self.plain: dict[bytes, bytes] = {}
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self.known) >= self.limit:
-            self.known.clear()
-        new = list({w for words in texts for w in words if w not in self.known})
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
+        for memory in (self.known, self.plain):
+            if len(memory) >= self.limit:
+                memory.clear()
+        new = {w: _plain(w) for words in texts for w in words if w not in self.known}
+        bare = list({p for pair in new.values() for p in pair if p not in self.plain})
+        for at in range(0, len(bare), 4096):
+            some = bare[at:at + 4096]
             codes = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
             for w, e in zip(some, codes, strict=True):
-                self.known[w] = np.array(e.ids, self.dtype).tobytes()
+                self.plain[w] = array(self.code, e.ids).tobytes()
+        for w, (word, mark) in new.items():
+            self.known[w] = self.plain[word] + self.plain[mark] if mark else self.plain[word]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
