@@ -212,7 +212,8 @@ def _classes(docs: DataFrame, text: str, doc_id: str, recall: float, max_hashes:
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "jaccard-classes")
 
     member = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    full = member.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
+    # Written, so that AQE can split the members of a hot bucket in the join below.
+    full = stage(member.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1"), "jaccard-buckets")
     blocks = F.greatest(F.ceil(F.col("total") / unit_shingles), F.ceil(F.col("m") / unit_members)).cast("long")
     unit = (member.join(full, "bucket").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", "bucket"), "blocks"))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -220,7 +221,8 @@ def _classes(docs: DataFrame, text: str, doc_id: str, recall: float, max_hashes:
     screened = stage(grouped(unit.join(classes.select("rep", "bands", "sketch"), "rep"), ["bucket", "i", "j"], _screen(SIMILARITY[0] / SIMILARITY[1] - 0.2),
                              "bucket long, i long, j long, block long, rep long"), "jaccard-screened")
     wanted = screened.select(F.col("rep").alias("rid")).distinct()
-    grams = mapped(texts.select("rid", "text").join(wanted, "rid").dropDuplicates(["rid"]), sets, "rep long, grams binary")
+    # The wanted rows follow the corpus in size, so they are not broadcast, however few they are here: one plan at every size.
+    grams = mapped(texts.select("rid", "text").join(wanted.hint("merge"), "rid").dropDuplicates(["rid"]), sets, "rep long, grams binary")
     checked = stage(grouped(screened.join(classes.select("rep", "mult", "bands"), "rep").join(grams, "rep"), ["bucket", "i", "j"], _verify,
                             "rep long, links long, root long"), "jaccard-links")
     label = components(checked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
