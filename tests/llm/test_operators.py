@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import cases as K
 
-from tidemark.llm import decontam, jaccard_join, kd_sharding, license_scan, line_chunks, line_quality, mixing, pii_surrogates, span_dedup, token_store
+from tidemark.llm import decontam, jaccard_join, kd_sharding, license_scan, license_texts, line_chunks, line_quality, mixing, pii_surrogates, span_dedup, token_store
 from tidemark.llm.common import STAGED, choose_bands, grouped, release
 
 BENCH = "item_id long, text string, rid string"
@@ -316,6 +316,24 @@ def test_license_scan_against_every_window(spark, docs):
     assert license_scan.scan(K.empty(spark)).count() == 0
 
 
+def test_license_scan_knows_whole_texts_and_near_copies(spark):
+    texts = license_texts.shipped()
+    near = texts["GPL-2 (text)"].split()
+    near[500] = "changed"
+    cases = {"GPL-2 (text)": " ".join(near), "LGPL-2.1 (text)": texts["LGPL-2.1 (text)"], "MPL-2.0 (text)": texts["MPL-2.0 (text)"], "ISC (text)": texts["ISC (text)"],
+             "Unlicense (text)": texts["Unlicense (text)"], "CC0-1.0 (text)": texts["CC0-1.0 (text)"], "BSD-3-Clause (text)": texts["BSD-3-Clause (text)"],
+             "AGPL-3.0-or-later (header)": "Foo " + texts["AGPL-3.0-or-later (header)"], "CC-BY-SA-4.0": texts["CC-BY-SA-4.0"],
+             "MIT": "x y distributed under the MIT license z", "Apache-2.0": "Licensed under the Apache Software License, version 2.0!", "CC-BY-NC-4.0": "Shared under CC BY-NC 4.0."}
+    df = spark.createDataFrame([(k, "a b c " + v + " d e f") for k, v in cases.items()], "doc_id string, text string")
+    got = collections.defaultdict(set)
+    for r in license_scan.scan(df).collect():
+        got[r["doc_id"]].add(r["license"])
+    assert all(k in got[k] for k in cases), got
+    assert [got[k] for k in ("MIT", "Apache-2.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0")] == [{"MIT"}, {"Apache-2.0"}, {"CC-BY-NC-4.0"}, {"CC-BY-SA-4.0"}]
+    assert got["BSD-3-Clause (text)"] == {"BSD-3-Clause (text)", "BSD (text)"} and got["AGPL-3.0-or-later (header)"] == {"AGPL-3.0-or-later (header)"}
+    assert license_scan.scan(spark.createDataFrame([(1, "Licensed under CC BY-SA 4.0; GNU General Public License")], "doc_id long, text string")).collect()[0]["license"] == "CC-BY-SA-4.0 (short)"
+
+
 # --- op10
 
 def test_mix_meets_the_repetition_limit_and_loses_nothing(docs, rows):
