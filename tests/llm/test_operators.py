@@ -301,6 +301,14 @@ def test_line_quality_against_python(spark, docs, rows):
     assert line_quality.judge(K.empty(spark)).count() == 0 and line_quality.clean(K.empty(spark)).count() == 0
 
 
+def test_line_quality_absolute_limit(spark):
+    body = lambda i: " ".join(f"t{i}x{j}" for j in range(30))
+    data = [(i, body(i) + ("\nshare this page" if i < 30 else ""), "crawl") for i in range(400)]  # 7.5 % of the host's documents
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    cut = lambda **limits: {r["doc_id"] for r in line_quality.judge(df, **limits).where("removed_words > 0").collect()}
+    assert cut() == set() and cut(max_docs=30) == set() and cut(max_docs=29) == cut(max_docs=5) == set(range(30))
+
+
 # --- op9
 
 def test_license_scan_against_every_window(spark, docs):

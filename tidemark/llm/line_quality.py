@@ -79,24 +79,28 @@ def _measure(cols: dict[str, list]) -> dict[str, list]:
     return out
 
 
-def frequent_lines(slim: DataFrame, max_share: float, min_docs: int) -> DataFrame:
-    """(host, line, n_docs) of the lines in more distinct documents of their host than both limits allow."""
+def frequent_lines(slim: DataFrame, max_share: float, min_docs: int, max_docs: int | None = None) -> DataFrame:
+    """(host, line, n_docs) of the lines in more distinct documents of their host than both limits allow, or than ``max_docs``."""
+    over = (F.col("n_docs") > min_docs) & (F.col("n_docs") > F.lit(max_share) * F.col("host_docs"))
+    if max_docs is not None:
+        over |= F.col("n_docs") > max_docs
     distinct = slim.groupBy("host", "text_key", "text_len").agg(F.first("line_hash").alias("line_hash"))
     hosts = slim.groupBy("host", "text_key", "text_len").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("host_docs"))
     return (distinct.select("host", F.explode(F.array_distinct("line_hash")).alias("line"))
             .groupBy("host", "line").agg(F.count("*").alias("n_docs"))
-            .where(F.col("n_docs") > min_docs)
+            .where(F.col("n_docs") > (min_docs if max_docs is None else min(min_docs, max_docs)))
             .join(hosts, "host")
-            .where(F.col("n_docs") > F.lit(max_share) * F.col("host_docs"))
+            .where(over)
             .select("host", "line", "n_docs"))
 
 
 def judge(docs: DataFrame, text: str = "text", host: str | None = "source", id_col: str | None = "doc_id", *,
-          max_share: float = 0.10, min_docs: int = 10, min_words: int = 20, min_left: float = 0.5,
+          max_share: float = 0.10, min_docs: int = 10, max_docs: int | None = None, min_words: int = 20, min_left: float = 0.5,
           max_repeat: float = 0.30, with_docs: bool = False) -> DataFrame:
     """One row for each document: counts, ``removed_words``, ``base_failed``, ``kept``.
 
     A line goes when more than ``min_docs`` and more than ``max_share`` of the host's distinct documents hold it.
+    The share grows with the host without bound; with ``max_docs`` a line in more distinct documents than that goes too, whatever its share.
     A document is depleted when fewer than ``min_words`` words, or less than ``min_left`` of its words, are left.
     ``with_docs`` adds the documents' columns as ``c0, c1, ...`` and ``removed_lines`` (line numbers from 0).
     """
@@ -118,7 +122,7 @@ def judge(docs: DataFrame, text: str = "text", host: str | None = "source", id_c
     slim = stage(mapped(source.select("rid", "host", F.xxhash64(F.coalesce("t", F.lit(""))).alias("text_key"),
                                       F.length(F.coalesce("t", F.lit(""))).cast("long").alias("text_len"), text_bytes("t").alias("text"), *carried),
                         measure, fields), "quality-slim")
-    bad = stage(frequent_lines(slim, max_share, min_docs), "quality-lines")
+    bad = stage(frequent_lines(slim, max_share, min_docs, max_docs), "quality-lines")
     hits = (slim.select("rid", "host", F.explode(F.arrays_zip("line_hash", "line_at", "line_words")).alias("x"))
             .select("rid", "host", F.col("x.line_hash").alias("line"), F.col("x.line_at").alias("at"), F.col("x.line_words").alias("n"))
             .join(bad.select("host", "line"), ["host", "line"])
