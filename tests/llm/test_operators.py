@@ -115,6 +115,29 @@ def test_permutation_is_one_to_one():
     assert sorted(pii_surrogates.permute(b"k", "t", i, 1000) for i in range(1000)) == list(range(1000))
 
 
+@pytest.mark.parametrize(("text", "kind", "raw"), [
+    ("4111 1111 1111 1111 123", "card", "4111 1111 1111 1111"), ("4111 1111 1111 1111 12/25", "card", "4111 1111 1111 1111"),
+    ("4111-1111-1111-1111 123", "card", "4111-1111-1111-1111"), ("4111111111111111 999", "card", "4111111111111111"),
+    ("12345 4111 1111 1111 1111", "card", "4111 1111 1111 1111"), ("378282246310005 1234", "card", "378282246310005"),
+    *[(x, "phone", x) for x in ("+14155552671", "(415)555-2671", "1-800-555-1234", "+33 1 23 45 67 89", "+49 30 12345678", "+9 (999) 999-9999",
+                                "+1 (503) 555-8963", "503-555-8963", "01 23 45 67 89", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+1.415.555.2671")],
+    ("2001:db8::ff00:42:8329", "ip6", "2001:db8::ff00:42:8329"), ("DE89 3704 0044 0532 0130 00", "iban", "DE89 3704 0044 0532 0130 00"),
+    ("GB29NWBK60161331926819", "iban", "GB29NWBK60161331926819"), ("123-45-6789", "ssn", "123-45-6789")])
+def test_shapes_of_numbers(text, kind, raw):
+    whole = f"reach {text}, please"
+    (a, b, k, norm), *rest = pii_surrogates.find(whole)
+    assert (k, whole[a:b], rest) == (kind, raw, [])
+    made = pii_surrogates.rendered(raw, kind, pii_surrogates.surrogate(b"k", kind, norm, 0))
+    assert made != raw and (kind == "ip6" or re.sub("[0-9]", "0", made) == re.sub("[0-9]", "0", raw))
+    assert kind == "phone" or pii_surrogates.find(whole[:a] + made + whole[b:])[0][2] == kind
+
+
+def test_numbers_that_are_nobodys():
+    assert pii_surrogates.find("at 12:30:45 std::vector a::b 1.2.3, 2024-12-04, 1234567 and 10 20 30 40 50") == []
+    norm = lambda t: pii_surrogates.find(t)[0][3]
+    assert norm("+14155552671") == norm("1-415-555-2671") == norm("+1 (415) 555-2671") and norm("+33123456789") == norm("+33 1 23 45 67 89")
+
+
 # --- op3
 
 def test_kd_shards(spark, docs, rows):

@@ -1,13 +1,15 @@
 """PII surrogates (2): detected entities get keyed, type-consistent replacements.
 
-Entities: e-mail addresses, phone numbers, payment card numbers (Luhn), IPv4 addresses, and persons named after a
-courtesy title. The normalised entity (letter case, separators and titles aside) is the unit of
+Entities: e-mail addresses, phone numbers, payment card numbers (Luhn), IPv4 and IPv6 addresses, IBANs (mod 97), US social security
+numbers, and persons named after a courtesy title; other national numbers are not known here. A card is
+also found among neighbouring numbers (a CVV, an expiry), at the ends of its digit groups. Phones are grouped forms with
+an area code, a trunk prefix ``1`` or ``0``, or an international ``+`` form, in groups or not. The normalised entity (letter case, separators and titles aside) is the unit of
 coreference: one entity has one surrogate in the whole corpus, and different entities of a type
 have different surrogates.
 
 * Digits are replaced by a keyed Feistel permutation of the digit strings of their length, so different
   numbers can't collide; grouping, separators and the country code stay, a card keeps its issuer digit and passes Luhn, the
-  octets of an address stay within 0-255. E-mail local parts keep their shape (letters, digits, marks); their domains go to ``example.*``.
+  octets of an address stay within 0-255, an IBAN keeps country and letters and gets valid check digits. E-mail local parts keep their shape (letters, digits, marks); their domains go to ``example.*``.
 * A person's given name comes from a list of the title's gender and the name's script, family names are built from
   syllables of that script, in the letter case of the original. Each attempt is keyed.
 * Collision check: surrogates are grouped over the corpus (map-side first). An entity whose surrogate is also
@@ -24,8 +26,10 @@ document, the others are computed in place.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
+import ipaddress
 import re
 
 from pyspark.sql import DataFrame
@@ -54,8 +58,16 @@ _WORD = r"[^\W\d_][^\W\d_’'-]+"
 PATTERNS = [
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,62}[\w+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])", re.ASCII)),
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", re.ASCII)),
-    ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII)),
-    ("phone", re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-])", re.ASCII)),
+    ("ip6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)", re.ASCII)),
+    ("iban", re.compile(r"(?<![\w-])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])", re.ASCII)),
+    ("card", re.compile(r"(?<![\w.-])\d+(?:[ -]\d+)*(?![\w-])", re.ASCII)),
+    ("ssn", re.compile(r"(?<![\w.+-])(?!000|666|9)\d{3}([- ])(?!00)\d{2}\1(?!0000)\d{4}(?![\w-])", re.ASCII)),
+    ("phone", re.compile(r"(?<![\w.+-])(?:"
+                         r"(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
+                         r"|\+\d{7,15}"
+                         r"|\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?(?:\(\d{1,5}\)|\d{1,5})(?:(?:[ .-]\d{2}){3,5}|[ .-]?\d{2,4}[ .-]\d{3,4}|[ .-]\d{5,9})"
+                         r"|0\d(?:[ .-]\d{2}){4}"
+                         r")(?![\w-])", re.ASCII)),
     ("person", re.compile(rf"\b({'|'.join(sorted(TITLES, key=len, reverse=True))})\.? ({_WORD}(?: {_WORD}){{0,2}})")),
 ]
 
@@ -67,17 +79,83 @@ def luhn_ok(digits: str) -> bool:
     return total % 10 == 0
 
 
+#: Country codes of one and two digits; the others have three.
+_COUNTRY = re.compile("1|7|2[07]|3[0123469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
+
+
+def _cards(m: re.Match[str]) -> list[tuple[int, int]]:
+    """Places of card numbers in a run of digit groups: 13 to 19 digits that pass Luhn, from its first group, or from a later one in groups like a card's."""
+    groups = [(g.start() + m.start(), g.end() + m.start()) for g in re.finditer(r"\d+", m.group(), re.ASCII)]
+    out, i = [], 0
+    while i < len(groups):
+        total, ends, plain = 0, [], True
+        for j in range(i, len(groups)):
+            n = groups[j][1] - groups[j][0]
+            total += n
+            plain &= n >= 3
+            if total > 19:
+                break
+            if total >= 13 and (i == 0 or plain and m.string[groups[i][0]] in "23456"):
+                ends.append(j)
+        j = next((j for j in reversed(ends) if luhn_ok("".join(m.string[a:b] for a, b in groups[i:j + 1]))), None)
+        if j is not None:
+            out.append((groups[i][0], groups[j][1]))
+        i = i + 1 if j is None else j + 1
+    return out
+
+
+def _iban(raw: str) -> str | None:
+    """The longest part at a group end that passes mod 97."""
+    while True:
+        body = raw.replace(" ", "")
+        if 15 <= len(body) <= 34 and int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97 == 1:
+            return raw
+        raw, blank, _ = raw.rpartition(" ")
+        if not blank:
+            return None
+
+
+def _ip6(raw: str) -> str | None:
+    groups = [g for g in raw.split(":") if g]
+    if "::" in raw and len(groups) < 3 and not re.match("(?i)fe[89ab]|f[cd]|[23]", groups[0] if groups and len(groups[0]) == 4 else ""):
+        return None  # like a::b in a program
+    try:
+        return ipaddress.IPv6Address(raw).exploded
+    except ValueError:
+        return None
+
+
+def _phone(raw: str) -> str:
+    """``+country rest`` if the country is told, else the digits."""
+    digits = re.sub(r"\D", "", raw, flags=re.ASCII)
+    if raw[0] != "+":
+        return "+1 " + digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
+    told = re.match(r"\+(\d{1,3})\D", raw, re.ASCII)
+    country = told.group(1) if told else (_COUNTRY.match(digits) or re.match("...", digits)).group()
+    return f"+{country} {digits[len(country):]}"
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normalised entity) in order, without overlaps; earlier types win."""
     taken: list[tuple[int, int, str, str]] = []
+
+    def take(a: int, b: int, kind: str, norm: str) -> None:
+        at = bisect.bisect(taken, (a,))
+        if (at == len(taken) or b <= taken[at][0]) and (at == 0 or taken[at - 1][1] <= a):
+            taken.insert(at, (a, b, kind, norm))
+
     numbers = _DIGIT.search(text)
     for kind, pattern in PATTERNS:
-        if (kind == "email" and "@" not in text) or (kind in ("ip", "card", "phone") and not numbers):
+        if (kind == "email" and "@" not in text) or (kind in ("ip", "iban", "card", "ssn", "phone") and not numbers) or (kind == "ip6" and ":" not in text):
             continue
         for m in pattern.finditer(text):
             a, b, raw = m.start(), m.end(), m.group()
             digits = re.sub(r"\D", "", raw, flags=re.ASCII)
-            if (kind == "card" and not luhn_ok(digits)) or (kind == "ip" and any(int(x) > 255 or x != str(int(x)) for x in raw.split("."))):
+            if kind == "card":
+                for a, b in _cards(m) if len(digits) > 12 else ():
+                    take(a, b, kind, re.sub(r"\D", "", text[a:b], flags=re.ASCII))
+                continue
+            if kind == "ip" and any(int(x) > 255 or x != str(int(x)) for x in raw.split(".")):
                 continue
             if kind == "person":
                 names = []
@@ -89,11 +167,16 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                     continue
                 a, b = m.start(2), m.start(2) + len(" ".join(names))
                 norm = TITLES[m.group(1)] + "|" + " ".join(names).casefold()
+            elif kind == "ip6":
+                norm = _ip6(raw)
+            elif kind == "iban":
+                raw = _iban(raw)
+                norm, b = raw and raw.replace(" ", ""), a + len(raw or "")
             else:
-                norm = raw.lower() if kind in ("email", "ip") else digits
-            if all(b <= x[0] or a >= x[1] for x in taken):
-                taken.append((a, b, kind, norm))
-    return sorted(taken)
+                norm = raw.lower() if kind in ("email", "ip") else _phone(raw) if kind == "phone" else digits
+            if norm:
+                take(a, b, kind, norm)
+    return taken
 
 
 def _prf(key: bytes, *parts: object) -> int:
@@ -143,8 +226,20 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
             n = n * 256 + int(octet)
         n = permute(key, tweak, n, 2**32)
         return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+    if kind == "ip6":
+        return ipaddress.IPv6Address(permute(key, tweak, int(ipaddress.IPv6Address(norm)), 2**128)).exploded
     if kind == "phone":
-        return norm[:-10] + _digits(key, tweak, norm[-10:])
+        country, blank, number = norm.rpartition(" ")
+        return country + blank + number[:-10] + _digits(key, tweak, number[-10:])
+    if kind == "ssn":
+        area, group, serial = int(norm[:3]), int(norm[3:5]), int(norm[5:])
+        n = permute(key, tweak, ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1, 898 * 99 * 9999)
+        area = n // (99 * 9999) + 1
+        return f"{area + (area > 665):03}{n // 9999 % 99 + 1:02}{n % 9999 + 1:04}"
+    if kind == "iban":
+        made = iter(_digits(key, tweak + re.sub("[0-9]", "0", norm[4:]), re.sub("[^0-9]", "", norm[4:])))
+        body = "".join(next(made) if c.isdigit() else c for c in norm[4:])
+        return norm[:2] + f"{98 - int(''.join(str(int(c, 36)) for c in body + norm[:2] + '00')) % 97:02}" + body
     if kind == "card":
         body = norm[0] + _digits(key, tweak, norm[1:-1])
         return next(body + d for d in "0123456789" if luhn_ok(body + d))
@@ -175,9 +270,15 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
 
 def rendered(raw: str, kind: str, made: str) -> str:
     """The surrogate in the format of the original: grouping and separators, or letter case."""
-    if kind in ("phone", "card"):
+    if kind == "iban":
         it = iter(made)
+        return "".join(c if c == " " else next(it) for c in raw)
+    if kind in ("phone", "card", "ssn"):
+        it = iter(re.sub("[^0-9]", "", made))
         return "".join(next(it) if c.isdigit() else c for c in raw)
+    if kind == "ip6":
+        made = str(ipaddress.IPv6Address(made)) if len(raw) < 39 else made
+        return made.upper() if re.search("[A-F]", raw) else made
     if kind == "person":
         names = made.partition("|")[2].split(" ")
         return " ".join(n.upper() if r.isupper() else n[0].upper() + n[1:] for r, n in zip(raw.split(" "), names, strict=True))
