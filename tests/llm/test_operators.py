@@ -111,6 +111,13 @@ def test_surrogates_of_different_entities_differ(spark, monkeypatch):
     assert all(len(v) == 1 for v in made.values()) and len({next(iter(v)) for v in made.values()}) == len(names)
 
 
+def test_more_names_than_the_first_attempt_has(spark, monkeypatch):
+    monkeypatch.setattr(pii_surrogates, "SYLLABLES", {k: ["ba"] * 15 + ["ra"] for k in pii_surrogates.SYLLABLES})  # 16 family names at the first attempt
+    names = [f"Mr {chr(65 + i // 26)}{chr(97 + i % 26)}zz" for i in range(120)]
+    out = pii_surrogates.pseudonymise(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "doc_id long, text string"), b"k").collect()
+    assert len({r["text"] for r in out}) == 120
+
+
 def test_permutation_is_one_to_one():
     assert sorted(pii_surrogates.permute(b"k", "t", i, 1000) for i in range(1000)) == list(range(1000))
 
