@@ -111,6 +111,20 @@ def test_surrogates_of_different_entities_differ(spark, monkeypatch):
     assert all(len(v) == 1 for v in made.values()) and len({next(iter(v)) for v in made.values()}) == len(names)
 
 
+def test_names_keep_their_surrogate_without_title(spark):
+    texts = ["Dr Jane Doe met Mr John Smith. Jane Doe's plan: Smith pays, said JOHN SMITH; a smith forges.", "Mrs Jane Doe, later Ms Doe's", "Doe of nobody", "Mr O’Neil-Roe spoke, O’Neil-Roe left",
+             "السيد محمد علي، ثم محمد علي", "王小明先生来了，王小明走了", "श्री मोहन शर्मा, शर्मा"]
+    out = [r for r in pii_surrogates.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b"k").orderBy("doc_id").collect()]
+    names = [[e["surrogate"] for e in r["entities"]] for r in out]
+    jane, john, jane2, smith, shout = names[0]
+    assert jane == jane2 == names[1][0] and jane.split()[0] in pii_surrogates.GIVEN["latin", "f"] and names[1][1] == jane.split()[1]
+    assert smith == john.split()[1] and shout == john.upper() and out[0]["text"].endswith("a smith forges.") and f"{jane}'s plan" in out[0]["text"]
+    assert names[2] == [] and out[2]["text"] == texts[2]
+    assert [len(set(x)) for x in names[3:6]] == [1, 1, 1] and all(len(x) == 2 for x in names[3:]) and names[6][1] == names[6][0].split()[1]
+    assert [pii_surrogates._script(x[0]) for x in names[4:]] == ["arabic", "han", "devanagari"]
+    assert not any(w in r["text"] for r, w in zip(out[3:], ("Neil", "محمد", "王小明", "शर्मा"), strict=True))
+
+
 def test_more_names_than_the_first_attempt_has(spark, monkeypatch):
     monkeypatch.setattr(pii_surrogates, "SYLLABLES", {k: ["ba"] * 15 + ["ra"] for k in pii_surrogates.SYLLABLES})  # 16 family names at the first attempt
     names = [f"Mr {chr(65 + i // 26)}{chr(97 + i % 26)}zz" for i in range(120)]

@@ -1,7 +1,8 @@
 """PII surrogates (2): detected entities get keyed, type-consistent replacements.
 
 Entities: e-mail addresses, phone numbers, payment card numbers (Luhn), IPv4 and IPv6 addresses, IBANs (mod 97), US social security
-numbers, and persons named after a courtesy title; other national numbers are not known here. A card is
+numbers, and persons named after a courtesy title (before a Chinese one); other national numbers are not known here. The full names and
+surnames of a document's titled persons are entities wherever they stand in it. A card is
 also found among neighbouring numbers (a CVV, an expiry), at the ends of its digit groups. Phones are grouped forms with
 an area code, a trunk prefix ``1`` or ``0``, or an international ``+`` form, in groups or not. The normalised entity (letter case, separators and titles aside) is the unit of
 coreference: one entity has one surrogate in the whole corpus, and different entities of a type
@@ -10,14 +11,18 @@ have different surrogates.
 * Digits are replaced by a keyed Feistel permutation of the digit strings of their length, so different
   numbers can't collide; grouping, separators and the country code stay, a card keeps its issuer digit and passes Luhn, the
   octets of an address stay within 0-255, an IBAN keeps country and letters and gets valid check digits. E-mail local parts keep their shape (letters, digits, marks); their domains go to ``example.*``.
-* A person's given name comes from a list of the title's gender and the name's script, family names are built from
-  syllables of that script, in the letter case of the original. Each attempt is keyed.
+* A person's given name comes from a list of the person's gender and the name's script, family names are built from
+  syllables of that script, in the letter case of the original. Each family name has one surrogate in the corpus, so "Ms Doe", "Jane Doe" and "Doe"
+  agree; the first name is keyed on the whole name, without its title. The gender is settled per name over the corpus: a title that tells it
+  wins over one that doesn't, two that differ leave it open. Each attempt is keyed.
 * Collision check: surrogates are grouped over the corpus (map-side first). An entity whose surrogate is also
   another entity's, or is itself an entity of the corpus, takes the next attempt; the least entity stays. Each attempt draws names and
   mail hosts from a space 256 and 100 times as large, so a few rounds leave no collision at any corpus size, and distinctness and coreference
   hold exactly; an error is raised if ``MAX_ATTEMPTS`` don't do (numbers of a length, nearly all of which occur).
 
-Defined results: a null text stays null, an empty text stays empty, both with no entities; repeated rows get equal replacements; an
+Defined results: in scripts without case up to two words after a title count as the name, in Chinese up to four characters that stand
+between a break and the title (none if there are more); a person's first name alone, initials and names
+that no title introduces in the document are not found; a null text stays null, an empty text stays empty, both with no entities; repeated rows get equal replacements; an
 empty table gives an empty result; a null key is refused; other columns are carried, whatever their names.
 
 Plan: one pass finds the distinct entities (reduced in each slice and map-side); only entities, never texts, are
@@ -43,21 +48,36 @@ ship(__name__)
 #: Courtesy titles and the gender they tell (m, f, or x for either).
 TITLES = {"Mr": "m", "Mister": "m", "Sir": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Dr": "x", "Prof": "x",
           "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f", "Señorita": "f", "Monsieur": "m", "Madame": "f", "Mademoiselle": "f",
-          "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
+          "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
+          "السيد": "m", "السيدة": "f", "الدكتور": "m", "الدكتورة": "f", "מר": "m", "גברת": "f", "श्री": "m", "श्रीमती": "f"}
+#: Chinese titles, which follow the name.
+SUFFIXES = {"先生": "m", "女士": "f", "小姐": "f", "太太": "f"}
 #: Given names by script and gender.
 GIVEN = {("latin", "m"): "Adrian Bruno Cedric Daniel Emil Felix Gregor Hugo Ivan Julian".split(),
          ("latin", "f"): "Alice Bianca Clara Diana Elena Flora Greta Helena Irene Julia".split(),
          ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис".split(), ("cyrillic", "f"): "Анна Вера Дарья Елена Ирина".split(),
-         ("greek", "m"): "Αντώνης Γιώργος Δημήτρης Νίκος Πέτρος".split(), ("greek", "f"): "Άννα Βασιλική Ελένη Μαρία Σοφία".split()}
+         ("greek", "m"): "Αντώνης Γιώργος Δημήτρης Νίκος Πέτρος".split(), ("greek", "f"): "Άννα Βασιλική Ελένη Μαρία Σοφία".split(),
+         ("arabic", "m"): "أحمد خالد سامي عمر يوسف".split(), ("arabic", "f"): "أمل سارة ليلى مريم هدى".split(),
+         ("hebrew", "m"): "אברהם דוד יוסף משה שמואל".split(), ("hebrew", "f"): "אסתר דינה לאה מרים רבקה".split(),
+         ("devanagari", "m"): "अजय करण मोहन राजन विजय".split(), ("devanagari", "f"): "अनिता कविता गीता मीरा सीता".split(),
+         ("han", "m"): "伟 强 军 勇 杰".split(), ("han", "f"): "芳 娜 敏 静 丽".split()}
 #: Syllables of family names by script.
 SYLLABLES = {"latin": "ba den for gal hin kor lem mar nor pel ras sol tam ver win zel".split(),
              "cyrillic": "ба ве гор дем жал зор кор лан мир нов пол рад сол тар фед шум".split(),
-             "greek": "βα γε δη ζα θο κα λε μα νι πα ρο σα τε φω χα ψι".split()}
+             "greek": "βα γε δη ζα θο κα λε μα νι πα ρο σα τε φω χα ψι".split(),
+             "arabic": "با تا جا حا دا را سا شا صا طا فا قا كا لا ما نا".split(),
+             "hebrew": "בא גא דא הא זא חא טא כא לא מא נא סא פא צא קא רא".split(),
+             "devanagari": "का खा गा चा जा ता दा ना पा बा मा या रा ला वा सा".split(),
+             "han": "安 白 程 丁 方 高 何 江 林 马 宁 石 唐 文 谢 叶".split()}
 
 MAX_ATTEMPTS = 24
 
 _DIGIT = re.compile("[0-9]")
-_WORD = r"[^\W\d_][^\W\d_’'-]+"
+_MARK = "\u0300-\u036f\u0591-\u05bd\u064b-\u065f\u0900-\u0903\u093a-\u094f\u0951-\u0957"  # combining marks aren't \\w
+_WORD = rf"[^\W\d_](?:[^\W\d_]|[{_MARK}]|[’'-](?=[^\W\d_]))*"
+_HAN = "\u3400-\u9fff"
+_NAME = re.compile(rf"(?<![\w{_MARK}]){_WORD}")
+_SUFFIXED = re.compile(rf"(?<![{_HAN}])([{_HAN}]{{1,4}}?)({'|'.join(SUFFIXES)})")
 PATTERNS = [
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,62}[\w+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])", re.ASCII)),
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", re.ASCII)),
@@ -138,6 +158,53 @@ def _phone(raw: str) -> str:
     return f"+{country} {digits[len(country):]}"
 
 
+def _names(words: list[str]) -> list[str]:
+    """The leading words that can be a name: capitalised, or in a script without case (two at most)."""
+    out: list[str] = []
+    for w in words:
+        if w[0].islower() or len(w) == 1 and w.isascii() or (out and not w[0].isupper() and len(out) == 2):
+            break
+        out.append(re.sub("[’']s$", "", w))
+        if out[-1] != w:
+            break
+    return out
+
+
+def _mentions(text: str, persons: set[str]) -> list[tuple[int, int, str]]:
+    """Full names and surnames of the document's titled persons, wherever they stand."""
+    wanted: dict[str, str] = {}
+    for norm in sorted(persons):  # of f, m and x the last is kept where a title tells nothing
+        gender, _, name = norm.partition("|")
+        words = name.split(" ")
+        if wanted.get(name, "x|")[0] == "x":
+            wanted[name] = norm
+        wanted.setdefault(words[-1], f"x|{words[-1]}")
+    if not wanted:
+        return []
+    han = sorted((n for n in wanted if _script(n) == "han"), key=len, reverse=True)
+    out = [(m.start(), m.end(), wanted[m.group()]) for m in re.finditer("|".join(map(re.escape, han)), text)] if han else []
+    tokens = [(m.start(), m.end()) for m in _NAME.finditer(text)]
+    i = 0
+    while i < len(tokens):
+        step = 1
+        if not text[tokens[i][0]].islower():
+            for n in (3, 2, 1):
+                if i + n > len(tokens) or any(text[tokens[j][1]:tokens[j + 1][0]].strip() or text[tokens[j + 1][0]].islower() for j in range(i, i + n - 1)):
+                    continue
+                (a, _), (_, b) = tokens[i], tokens[i + n - 1]
+                norm = wanted.get(" ".join(text[a:b].split()).casefold())
+                possessive = re.search("[’']s$", text[a:b]) if norm is None else None
+                if possessive:
+                    b = a + possessive.start()
+                    norm = wanted.get(" ".join(text[a:b].split()).casefold())
+                if norm is not None:
+                    out.append((a, b, norm))
+                    step = n
+                    break
+        i += step
+    return out
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normalised entity) in order, without overlaps; earlier types win."""
     taken: list[tuple[int, int, str, str]] = []
@@ -161,11 +228,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "ip" and any(int(x) > 255 or x != str(int(x)) for x in raw.split(".")):
                 continue
             if kind == "person":
-                names = []
-                for w in m.group(2).split(" "):
-                    if not w[0].isupper():
-                        break
-                    names.append(w)
+                names = _names(m.group(2).split(" "))
                 if not names:
                     continue
                 a, b = m.start(2), m.start(2) + len(" ".join(names))
@@ -179,6 +242,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 norm = raw.lower() if kind in ("email", "ip") else _phone(raw) if kind == "phone" else digits
             if norm:
                 take(a, b, kind, norm)
+    for m in _SUFFIXED.finditer(text) if any(x in text for x in SUFFIXES) else ():
+        take(m.start(1), m.end(1), "person", SUFFIXES[m.group(2)] + "|" + m.group(1))
+    for a, b, norm in _mentions(text, {n for _, _, k, n in taken if k == "person"}):
+        take(a, b, "person", norm)
     return taken
 
 
@@ -203,13 +270,12 @@ def _digits(key: bytes, tweak: str, digits: str) -> str:
     return str(permute(key, f"{tweak}{len(digits)}", int(digits), 10 ** len(digits))).zfill(len(digits)) if digits else ""
 
 
+_SCRIPTS = (("Ͱ", "Ͽ", "greek"), ("ἀ", "῿", "greek"), ("Ѐ", "ӿ", "cyrillic"), ("\u0590", "\u05ff", "hebrew"), ("\u0600", "\u06ff", "arabic"),
+            ("\u0900", "\u097f", "devanagari"), ("\u3400", "\u9fff", "han"))
+
+
 def _script(name: str) -> str:
-    for c in name:
-        if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿":
-            return "greek"
-        if "Ѐ" <= c <= "ӿ":
-            return "cyrillic"
-    return "latin"
+    return next((script for c in name for low, high, script in _SCRIPTS if low <= c <= high), "latin")
 
 
 def _family(n: int, script: str, attempt: int) -> str:
@@ -220,8 +286,12 @@ def _family(n: int, script: str, attempt: int) -> str:
     return out.capitalize()
 
 
-def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
-    """The normalised surrogate of an entity; distinct for distinct numbers, checked over the corpus for all."""
+def surrogate(key: bytes, kind: str, norm: str, attempt: int, gender: str = "x") -> str:
+    """The normalised surrogate of an entity; distinct for distinct numbers, checked over the corpus for all.
+
+    ``family`` is one family name. A ``person`` has a first name, given here with the unchanged family names: their surrogates differ for
+    different names, so two persons' surrogates are equal just if these are.
+    """
     tweak = f"{kind}/{attempt}"
     if kind == "ip":
         n = 0
@@ -255,21 +325,40 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
             n //= size
         host = f"host{n % 10 ** (4 + 2 * attempt)}.example." + (domain.rpartition(".")[2] if domain.rpartition(".")[2] in ("com", "net", "org") else "com")
         return "".join(out) + "@" + host
-    gender, _, names = norm.partition("|")
-    script = _script(names)
     n = _prf(key, tweak, norm)
-    out = []
-    words = names.split(" ")
-    for i in range(len(words)):
-        if i == 0 and len(words) > 1:
-            pool = GIVEN[script, gender] if gender != "x" else GIVEN[script, "m"] + GIVEN[script, "f"]
-            out.append(pool[n % len(pool)])
-            n //= len(pool)
-        else:
-            size = 16 ** (4 + 2 * attempt)
-            out.append(_family(n % size, script, attempt))
-            n //= size
-    return gender + "|" + " ".join(out).casefold()
+    if kind == "family":
+        return _family(n % 16 ** (4 + 2 * attempt), _script(norm), attempt).casefold()
+    first, *rest = norm.split(" ")
+    script = _script(first)
+    pool = GIVEN[script, gender] if gender != "x" else GIVEN[script, "m"] + GIVEN[script, "f"]
+    given = pool[n % len(pool)]
+    for _ in range(2 * attempt):
+        n //= 16
+        given += SYLLABLES[script][n % 16]
+    return "\x1f".join([given.casefold(), *rest])
+
+
+def parts(norm: str) -> list[tuple[str, str, str]]:
+    """(kind, norm, gender) of what a person's name is made of: its first name beside the others, and each family name."""
+    gender, _, name = norm.partition("|")
+    words = name.split(" ")
+    return ([("person", name, gender)] if len(words) > 1 else []) + [("family", w, "x") for w in (words[1:] or words)]
+
+
+def units(entities: list[tuple[int, int, str, str]]) -> set[tuple[str, str, str]]:
+    """(kind, norm, gender) of all that gets a surrogate of its own."""
+    return {u for _, _, kind, norm in entities for u in (parts(norm) if kind == "person" else [(kind, norm, "x")])}
+
+
+def made_for(key: bytes, kind: str, norm: str, later: dict[str, dict]) -> str:
+    """The settled surrogate; a person's is its first name's and its family names'."""
+    def one(kind: str, norm: str, gender: str) -> str:
+        at = later.get(f"{kind}\x1f{norm}")
+        return surrogate(key, kind, norm, at["attempt"] if at else 0, at["gender"] if at else gender)
+
+    if kind != "person":
+        return one(kind, norm, "x")
+    return " ".join(one(*p).partition("\x1f")[0] for p in parts(norm))
 
 
 def rendered(raw: str, kind: str, made: str) -> str:
@@ -284,29 +373,29 @@ def rendered(raw: str, kind: str, made: str) -> str:
         made = str(ipaddress.IPv6Address(made)) if len(raw) < 39 else made
         return made.upper() if re.search("[A-F]", raw) else made
     if kind == "person":
-        names = made.partition("|")[2].split(" ")
-        return " ".join(n.upper() if r.isupper() else n[0].upper() + n[1:] for r, n in zip(raw.split(" "), names, strict=True))
+        names = iter(made.split(" "))
+        return "".join(r if r.isspace() else (lambda n: n.upper() if r.isupper() and len(r) > 1 else n[0].upper() + n[1:])(next(names)) for r in re.split(r"(\s+)", raw))
     return made.upper() if raw.isupper() else made
 
 
 def _settle(found: DataFrame, key: bytes) -> DataFrame:
-    """(kind, norm, attempt) of the entities that need a later attempt than the first."""
+    """(kind, norm, attempt, gender) of the entities that need a later attempt than the first, or a gender that not all their titles tell."""
     def make(cols: dict[str, list]) -> dict[str, list]:
-        return {"kind": cols["kind"], "norm": cols["norm"], "attempt": cols["attempt"],
-                "made": [surrogate(key, k, n, a) for k, n, a in zip(cols["kind"], cols["norm"], cols["attempt"], strict=True)]}
+        each = zip(cols["kind"], cols["norm"], cols["attempt"], cols["gender"], strict=True)
+        return {c: cols[c] for c in ("kind", "norm", "gender", "mixed", "attempt")} | {"made": [surrogate(key, k, n, a, g) for k, n, a, g in each]}
 
-    fields = "kind string, norm string, attempt int, made string"
+    fields = "kind string, norm string, gender string, mixed boolean, attempt int, made string"
     table = stage(mapped(found.withColumn("attempt", F.lit(0)), make, fields), "pii-made")
     for _ in range(MAX_ATTEMPTS):
         least = table.groupBy("kind", "made").agg(F.min(F.struct("attempt", "norm")).alias("first"))
         real = found.select("kind", F.col("norm").alias("made"), F.lit(True).alias("real"))
         judged = table.join(least, ["kind", "made"]).join(real, ["kind", "made"], "left")
         judged = judged.withColumn("again", F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "norm")))
-        judged = stage(judged.select("kind", "norm", "attempt", "made", "again"), "pii-judged")
+        judged = stage(judged.select("kind", "norm", "gender", "mixed", "attempt", "made", "again"), "pii-judged")
         if judged.where("again").isEmpty():
-            return judged.where("attempt > 0").select("kind", "norm", "attempt")
+            return judged.where("attempt > 0 or mixed").select("kind", "norm", "attempt", "gender")
         table = stage(judged.where("not again").drop("again").unionByName(
-            mapped(judged.where("again").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")), make, fields)), "pii-made")
+            mapped(judged.where("again").select("kind", "norm", "gender", "mixed", (F.col("attempt") + 1).alias("attempt")), make, fields)), "pii-made")
     raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
 
 
@@ -317,23 +406,26 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     place = f"c{docs.columns.index(text)}"
 
     def entities(cols: dict[str, list]) -> dict[str, list]:
-        got = {(k, n) for t in cols["text"] if t for _, _, k, n in find(t)}
-        return {"kind": [k for k, _ in got], "norm": [n for _, n in got]}
+        got = {u for t in cols["text"] if t for u in units(find(t))}
+        return {c: [u[i] for u in got] for i, c in enumerate(("kind", "norm", "gender"))}
 
-    found = stage(mapped(docs.select(docs[text].alias("text")), entities, "kind string, norm string").distinct(), "pii-found")
+    told = mapped(docs.select(docs[text].alias("text")), entities, "kind string, norm string, gender string").groupBy("kind", "norm").agg(
+        F.collect_set("gender").alias("told"))
+    known = F.array_remove("told", "x")
+    found = stage(told.select("kind", "norm", F.when(F.size(known) == 1, known[0]).otherwise("x").alias("gender"), (F.size("told") > 1).alias("mixed")), "pii-found")
     later = stage(_settle(found, key), "pii-later")
     box = boxed(docs)
     if later.isEmpty():
-        ready = box.withColumn("later", F.lit(None).cast("map<string,int>"))
+        ready = box.withColumn("later", F.lit(None).cast("map<string,struct<attempt:int,gender:string>>"))
     else:
         box = stage(box, "pii-docs")
 
         def holders(cols: dict[str, list]) -> dict[str, list]:
-            rows = [(r, k, n) for r, t in zip(cols["rid"], cols["text"], strict=True) if t for k, n in {(k, n) for _, _, k, n in find(t)}]
+            rows = [(r, k, n) for r, t in zip(cols["rid"], cols["text"], strict=True) if t for k, n in {u[:2] for u in units(find(t))}]
             return {"rid": [x[0] for x in rows], "kind": [x[1] for x in rows], "norm": [x[2] for x in rows]}
 
         mine = (mapped(box.select("rid", F.col(place).alias("text")), holders, "rid long, kind string, norm string").join(later, ["kind", "norm"])
-                .groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "norm"), "attempt"))).alias("later")))
+                .groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "norm"), F.struct("attempt", "gender")))).alias("later")))
         ready = box.join(mine, "rid", "left")
     kinds = {f.name: f.dataType.simpleString() for f in ready.schema if f.name not in ("rid", "later")}
 
@@ -341,9 +433,9 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
         out = {c: list(cols[c]) for c in kinds} | {"entities": []}
         for i, (t, late) in enumerate(zip(cols[place], cols["later"], strict=True)):
             got, at, parts = [], 0, []
-            attempts = dict(late or ())
+            settled = dict(late or ())
             for a, b, kind, norm in find(t) if t else ():
-                made = rendered(t[a:b], kind, surrogate(key, kind, norm, attempts.get(f"{kind}\x1f{norm}", 0)))
+                made = rendered(t[a:b], kind, made_for(key, kind, norm, settled))
                 parts += [t[at:a], made]
                 at = b
                 got.append({"start": a, "end": b, "kind": kind, "surrogate": made})
