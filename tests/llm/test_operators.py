@@ -314,6 +314,42 @@ def test_proximity(spark):
     assert [(r["rid"], r["n_terms"]) for r in decontam.proximity(index, wanted, 3, 2).collect()] == [(1, 2)]
 
 
+def test_proximity_matches_of_documents(spark, docs, rows):
+    fold = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    texts = [r[1] for r in rows if r[1] and len(K.words(r[1])) > 60]
+    held = [fold(t) for t in texts]
+    items = [[("absentword" if i % 13 == 6 else w) for i, w in enumerate(held[0][:39])], [x for i, w in enumerate(held[2][:26]) for x in ([w, "inserted"] if i % 13 == 5 else [w])],
+             held[4][:20], held[6][:4], ["nowhere"] * 20, list(reversed(held[8][:26]))]
+    bench = spark.createDataFrame([(i, " ".join(x), "x") for i, x in enumerate(items)], BENCH)
+    folded = [fold(r[1]) for r in rows]
+    df = collections.Counter(w for d in folded for w in set(d))
+
+    def near(words, q):
+        at = collections.defaultdict(list)
+        for p, w in enumerate(words):
+            at[w].append(p)
+        n = min(13, len(q))
+        for s in range(len(q) - n + 1) if n >= 5 else ():
+            places = {}
+            for i in range(s, s + n):
+                if df[q[i]]:
+                    places.setdefault(q[i], i)
+            chosen = sorted(places.values(), key=lambda i: (df[q[i]], i))[:5]
+            on = [(p - i, i) for i in chosen for p in at[q[i]]]
+            if any(len({i for e, i in on if d <= e <= d + 2}) >= 4 for d, _ in on):
+                return True
+        return False
+
+    want = collections.Counter((r[0], ",".join(str(k) for k, q in enumerate(items) if near(w, q))) for r, w in zip(rows, folded, strict=True))
+    for size in (2_000_000, 40):
+        got = decontam.contamination(docs, bench, block_words=size, near=True).collect()
+        assert collections.Counter((r["doc_id"], ",".join(r["near_items"])) for r in got) == want
+    assert any("0" in x for _, x in want) and any("1" in x for _, x in want)
+    changed = [r for r in got if "0" in r["near_items"]]
+    assert changed and all(r["n_hit"] == 0 and r["n_near"] == len(r["near_items"]) for r in changed if r["near_items"] == ["0"])
+    assert decontam.contamination(docs, spark.createDataFrame([], BENCH), near=True).where("n_near > 0").count() == 0
+
+
 # --- op8
 
 def test_line_quality_against_python(spark, docs, rows):

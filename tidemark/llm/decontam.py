@@ -6,7 +6,11 @@ The index stores the postings (term, document, position) of the chosen terms.  A
 intersected by adjusting each position by the term's offset in the item: occurrences of one phrase lie on one
 diagonal (document position minus item position), and a window can only occur where
 all of its chosen terms meet on a diagonal.  Documents with such a window are compared word by
-word, which gives the exact phrase matches.  ``proximity`` reads the same index with slack between diagonals.
+word, which gives the exact phrase matches.
+
+With ``near`` the same index also gives proximity matches, so that a changed, added or left out word hides nothing: of each window of
+``near_terms`` words or more, the ``near_terms`` rarest different words that the corpus has are chosen, and a document matches it nearly if
+``near_least`` of them stand on diagonals that differ by ``slack`` at most.  ``contaminated`` follows the exact matches alone.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 
@@ -83,6 +87,22 @@ def seeds(items: list[tuple[str, list[bytes]]], df: dict[bytes, int], span: int,
     return out
 
 
+def near_seeds(items: list[tuple[str, list[bytes]]], df: dict[bytes, int], span: int, near_terms: int, near_least: int) -> list[tuple[bytes, int, int, int]]:
+    """(term, item number, position in the item, window) of the rarest different terms of each window; words that no document has are passed over."""
+    out = []
+    for k, (_, words) in enumerate(items):
+        n = min(span, len(words))
+        for start in range(len(words) - n + 1) if n >= near_terms else ():
+            first: dict[bytes, int] = {}
+            for i in range(start, start + n):
+                if words[i] in df:
+                    first.setdefault(words[i], i)
+            chosen = sorted(first.values(), key=lambda i: (df[words[i]], i))[:near_terms]
+            if len(chosen) >= near_least:
+                out += [(words[i], k, i, start) for i in chosen]
+    return out
+
+
 def build_index(texts: DataFrame, terms: frozenset[bytes]) -> DataFrame:
     """Positional postings (term, rid, pos) of the given terms over all documents."""
     def post(cols: dict[str, list]) -> dict[str, list]:
@@ -111,28 +131,49 @@ def candidates(index: DataFrame, wanted: DataFrame, terms_per_window: int, n_ter
 
 def proximity(index: DataFrame, wanted: DataFrame, slack: int, at_least: int) -> DataFrame:
     """(rid, item, start, n_terms): documents where ``at_least`` chosen terms of a window lie within ``slack`` words of the phrase's places."""
-    rows = index.join(wanted, "term").select("rid", "item", "start", (F.col("pos") - F.col("at")).alias("diagonal"), "at").distinct()
+    on = [c for c in ("term", "item", "at") if c in index.columns]  # an index may be narrowed to items and their places
+    rows = index.join(wanted, on).select("rid", "item", "start", (F.col("pos") - F.col("at")).alias("diagonal"), "at").distinct()
     near = Window.partitionBy("rid", "item", "start").orderBy("diagonal").rangeBetween(0, slack)
     return (rows.withColumn("n", F.size(F.collect_set("at").over(near))).groupBy("rid", "item", "start")
             .agg(F.max("n").alias("n_terms")).where(F.col("n_terms") >= at_least))
 
 
+def near_matches(index: DataFrame, near: DataFrame, slack: int, at_least: int) -> DataFrame:
+    """(rid, item) of proximity matches; documents with too few of an item's terms go before the windows are spread out."""
+    places = near.select("term", "item", "at").distinct()
+    some = (index.select("rid", "term").distinct().join(places.select("term", "item").distinct(), "term")
+            .groupBy("rid", "item").agg(F.count("*").alias("n")).where(F.col("n") >= at_least).select("rid", "item"))
+    kept = stage(index.join(places, "term").join(some, ["rid", "item"]).select("rid", "term", "pos", "item", "at"), "decontam-near")
+    return proximity(kept, near, slack, at_least).select("rid", "item").distinct()
+
+
 def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_cols: tuple[str, ...] = ("doc_id",), item_id: str = "item_id",
-                  item_text: str = "text", span: int = SPAN, terms_per_window: int = 3, block_words: int = 2_000_000, per_hits: int = 20) -> DataFrame:
-    """Per document: ``id_cols``, ``rid``, n_words, n_hit, n_items, items_sha256, contaminated.
+                  item_text: str = "text", span: int = SPAN, terms_per_window: int = 3, block_words: int = 2_000_000, per_hits: int = 20,
+                  near: bool = False, near_terms: int = 5, near_least: int = 4, slack: int = 2) -> DataFrame:
+    """Per document: ``id_cols``, ``rid``, n_words, n_hit, n_items, items_sha256, contaminated; with ``near`` also n_near and near_items.
 
+    ``near_items`` are the ids of items with a proximity match (exact ones among them), n_near their number.
     ``rid`` is a hash of the row's id columns and text; rows alike in them are judged alike.
     """
     spark = docs.sparkSession
     texts = docs.select(*[docs[c] for c in id_cols], F.xxhash64(*[docs[c] for c in id_cols], docs[text]).alias("rid"), text_bytes(docs[text]).alias("text"))
     found: DataFrame | None = None
+    nearly: DataFrame | None = None
     for items in _item_blocks(bench, item_id, item_text, block_words):
         vocabulary = frozenset(w for _, words in items for w in words)
         df = {bytes(r["term"]): r["df"] for r in document_frequency(texts, vocabulary).toLocalIterator()}  # no more than the block's words
         wanted = seeds(items, df, span, terms_per_window)
+        loose = near_seeds(items, df, span, near_terms, near_least) if near else []
+        if not wanted and not loose:
+            continue
+        index = stage(build_index(texts, frozenset(w[0] for w in [*wanted, *loose])), "decontam-index")
+        if loose:
+            near_rows = spark.createDataFrame([(bytearray(t), k, i, s) for t, k, i, s in loose], "term binary, item int, at int, start int")
+            ids = spark.createDataFrame([(k, name) for k, (name, _) in enumerate(items)], "item int, name string")
+            named = near_matches(index, near_rows, slack, near_least).join(ids, "item").select("rid", "name")
+            nearly = named if nearly is None else nearly.unionByName(named)
         if not wanted:
             continue
-        index = stage(build_index(texts, frozenset(w[0] for w in wanted)), "decontam-index")
         seed_rows = spark.createDataFrame([(bytearray(t), k, i, s) for t, k, i, s in wanted], "term binary, item int, at int, start int")
         n_terms = seed_rows.groupBy("item", "start").agg(F.count("*").alias("n_terms"))
         suspects = stage(candidates(index, seed_rows, terms_per_window, n_terms).select("rid", "item").distinct(), "decontam-found")
@@ -177,10 +218,20 @@ def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_c
         found = found.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.flatten(F.collect_list("found")).alias("found"))
         out = out.join(stage(found, "decontam-hits"), "rid", "left")
     names = F.array_sort(F.coalesce("found", F.array().cast("array<string>")))
+    if near:
+        if nearly is None:
+            out = out.withColumn("near_items", F.array().cast("array<string>"))
+        else:
+            by_rid = nearly.groupBy("rid").agg(F.array_sort(F.collect_set("name")).alias("near_items"))
+            out = out.join(stage(by_rid, "decontam-nearly"), "rid", "left").withColumn("near_items", F.coalesce("near_items", F.array().cast("array<string>")))
+        out = out.withColumn("n_near", F.size("near_items").cast("long"))
+        extra = ["n_near", "near_items"]
+    else:
+        extra = []
     return (out.withColumn("n_hit", F.when(F.col("hit").isNull(), 0).otherwise(F.size("hit")).cast("long"))
             .withColumn("n_items", F.size(names).cast("long")).withColumn("items_sha256", F.sha2(F.array_join(names, ","), 256))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (per_hits * F.col("n_hit") >= F.col("n_words")))
-            .drop("hit", "found"))
+            .select(*[F.col(f"`{c}`") for c in id_cols], "rid", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *extra))
 
 
 def clean(docs: DataFrame, bench: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

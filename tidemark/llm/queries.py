@@ -52,6 +52,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rid")
 
 
+def op7_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
+    return near.select("doc_id", "n_words", "n_hit", "contaminated", "n_near", F.array_join("near_items", ",").alias("near_items"))
+
+
 def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents"))
 
@@ -66,7 +71,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_store, op2_pii_surrogates, op3_kd_sharding, op4_line_chunks, op5_jaccard_join, op6_span_dedup,
-                            op7_decontamination, op8_line_quality, op9_license_scan, op10_temperature_mixing)
+                            op7_decontamination, op7_proximity, op8_line_quality, op9_license_scan, op10_temperature_mixing)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
