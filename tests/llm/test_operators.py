@@ -350,6 +350,19 @@ def test_proximity_matches_of_documents(spark, docs, rows):
     assert decontam.contamination(docs, spark.createDataFrame([], BENCH), near=True).where("n_near > 0").count() == 0
 
 
+def test_items_without_id_and_in_several_blocks(spark):
+    body = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, body), (2, "other words " * 20)], "doc_id long, text string")
+    words = body.split()
+    bench = spark.createDataFrame([(None, " ".join(words[:15])), (None, "nothing like it"), (7, " ".join(words[12:30])), (7, " ".join(words[10:28]))], "item_id long, text string")
+    for size in (2_000_000, 1):
+        one, two = decontam.contamination(df, bench, block_words=size, near=True).orderBy("doc_id").collect()
+        assert (one["n_hit"], one["n_items"], one["items_sha256"], one["contaminated"]) == (30, 2, hashlib.sha256(b"7").hexdigest(), True)
+        assert (one["near_items"], one["n_near"]) == (["7"], 2) and (two["n_hit"], two["n_items"], two["n_near"]) == (0, 0, 0)
+    only = decontam.contamination(df, bench.where("item_id is null")).orderBy("doc_id").collect()
+    assert [(r["n_hit"], r["n_items"], r["contaminated"]) for r in only] == [(15, 1, True), (0, 0, False)]
+
+
 # --- op8
 
 def test_line_quality_against_python(spark, docs, rows):

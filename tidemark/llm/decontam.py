@@ -15,7 +15,8 @@ With ``near`` the same index also gives proximity matches, so that a changed, ad
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 
 Defined results: a null or empty text has no words; an item without words never occurs; items
-alike in text are each counted; repeated documents are judged alike; an empty table on either side gives no hits; other columns
+alike in text are each counted, by their ids: items of one id count once in n_items, so do those without id, which match like any other but
+have nothing to give to items_sha256 and near_items; repeated documents are judged alike; an empty table on either side gives no hits; other columns
 are ignored.
 
 Scale: the test set is the stated query set and is taken in blocks of at most
@@ -45,12 +46,12 @@ def fold_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def _item_blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> list[list[tuple[str, list[bytes]]]]:
+def _item_blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> list[list[tuple[str | None, list[bytes]]]]:
     """The test items' words, in blocks; read a block at a time."""
     blocks, held, size = [], [], 0
     for r in bench.select(bench[item_id].cast("string").alias("i"), text_bytes(bench[text]).alias("t")).orderBy("i").toLocalIterator():
         words = fold_words(bytes(r["t"]))
-        if words and r["i"] is not None:
+        if words:
             held.append((r["i"], words))
             size += len(words)
         if size >= block_words:
@@ -179,7 +180,7 @@ def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_c
         suspects = stage(candidates(index, seed_rows, terms_per_window, n_terms).select("rid", "item").distinct(), "decontam-found")
         here = suspects.groupBy("rid").agg(F.collect_list("item").alias("items"))
 
-        phrases_of: list[tuple[str, dict[tuple[bytes, ...], None]]] = []
+        phrases_of: list[tuple[str | None, dict[tuple[bytes, ...], None]]] = []
         for name, words in items:
             n = min(span, len(words))
             phrases_of.append((name, dict.fromkeys(tuple(words[i:i + n]) for i in range(len(words) - n + 1))))
@@ -201,7 +202,7 @@ def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_c
                 if names:
                     out["rid"].append(rid)
                     out["hit"].append([i for i, c in enumerate(cover) if c])
-                    out["found"].append(sorted(names))
+                    out["found"].append(list(names))
             return out
 
         hits = mapped(texts.select("rid", "text").join(here, "rid"), compare, "rid long, hit array<int>, found array<string>").dropDuplicates(["rid"])
@@ -215,16 +216,16 @@ def contamination(docs: DataFrame, bench: DataFrame, *, text: str = "text", id_c
     if found is None:
         out = out.withColumns({"hit": F.array().cast("array<int>"), "found": F.array().cast("array<string>")})
     else:
-        found = found.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.flatten(F.collect_list("found")).alias("found"))
+        found = found.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
         out = out.join(stage(found, "decontam-hits"), "rid", "left")
     names = F.array_sort(F.coalesce("found", F.array().cast("array<string>")))
     if near:
         if nearly is None:
-            out = out.withColumn("near_items", F.array().cast("array<string>"))
+            out = out.withColumns({"near_items": F.array().cast("array<string>"), "n_near": F.lit(0).cast("long")})
         else:
-            by_rid = nearly.groupBy("rid").agg(F.array_sort(F.collect_set("name")).alias("near_items"))
-            out = out.join(stage(by_rid, "decontam-nearly"), "rid", "left").withColumn("near_items", F.coalesce("near_items", F.array().cast("array<string>")))
-        out = out.withColumn("n_near", F.size("near_items").cast("long"))
+            by_rid = nearly.groupBy("rid").agg(F.array_sort(F.collect_set("name")).alias("near_items"), F.max(F.col("name").isNull().cast("int")).alias("unnamed"))
+            out = (out.join(stage(by_rid, "decontam-nearly"), "rid", "left").withColumn("near_items", F.coalesce("near_items", F.array().cast("array<string>")))
+                   .withColumn("n_near", (F.size("near_items") + F.coalesce("unnamed", F.lit(0))).cast("long")))
         extra = ["n_near", "near_items"]
     else:
         extra = []
