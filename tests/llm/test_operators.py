@@ -476,6 +476,19 @@ def test_entropy_target_and_budget(spark, docs, rows):
     assert mixing.mixed_documents(docs, repetition=2.0).columns == docs.columns
 
 
+def test_exponents_over_one_and_targets_out_of_reach(spark):
+    made = lambda *tokens: spark.createDataFrame([(str(i), t) for i, t in enumerate(tokens)], "skey string, tokens long")
+    share = lambda a: (lambda p: -(p * np.log(p)).sum() / np.log(3))(np.array([1000, 800, 500]) ** a / (np.array([1000.0, 800, 500]) ** a).sum())
+    a = mixing.exponent(made(1000, 800, 500), entropy_share=0.5)
+    assert a > 1 and abs(share(a) - 0.5) < 1e-6
+    assert mixing.exponent(made(1000, 100), repetition=2.0, budget=2200) == pytest.approx(1) and mixing.exponent(made(5, 5), entropy_share=1.0) == 1
+    assert mixing.exponent(made(5, 5), repetition=2.0, budget=20) == 1
+    for sources, target in [(made(5, 5), {"entropy_share": 0.5}), (made(1000, 100), {"repetition": 2.0, "budget": 2300}), (made(5, 5), {"repetition": 2.0, "budget": 21}),
+                            (made(9, 9, 1), {"entropy_share": 0.5}), (made(1000, 100), {"repetition": 0.5})]:
+        with pytest.raises(ValueError):
+            mixing.exponent(sources, **target)
+
+
 # --- shared
 
 def test_grouped_streams_over_batches(spark):

@@ -30,6 +30,8 @@ from pyspark.sql.window import Window
 from .common import boxed, stage, unboxed
 
 PROBES = 9
+#: The greatest exponent tried: beyond it only the largest sources are left.
+MOST = 1024.0
 
 
 def n_words(text: str | Column) -> Column:
@@ -39,14 +41,19 @@ def n_words(text: str | Column) -> Column:
 
 def exponent(sources: DataFrame, *, entropy_share: float | None = None, repetition: float | None = None,
              budget: int | None = None, digits: int = 9) -> float:
-    """The exponent nearest 0 (the flattest mixture) that meets the target.
+    """The exponent nearest 0 (the flattest mixture) that meets the target; over 1 where the sources' own shares don't. An error if none does.
 
     ``entropy_share``: the entropy is this share of the greatest possible.  ``repetition``: no source passes more often.
     """
     live = sources.where("tokens > 0")
     lo, hi = 0.0, 1.0
     total, count, least, most = live.agg(F.sum("tokens"), F.count("*"), F.min("tokens"), F.max("tokens")).first()
-    if not count or count == 1 or least == most:
+    if not count:
+        return 1.0
+    if count == 1 or least == most:  # any exponent gives the same mixture
+        if (entropy_share is not None and count > 1 and entropy_share < 1 - 1e-12) or (
+                entropy_share is None and repetition is not None and budget is not None and budget > repetition * total * (1 + 1e-12)):
+            raise ValueError("sources of equal size give one mixture, which misses the target")
         return 1.0
     share = F.col("tokens") / F.lit(float(total))
 
@@ -56,14 +63,25 @@ def exponent(sources: DataFrame, *, entropy_share: float | None = None, repetiti
                          for i, a in enumerate(probes)]).first()
         return [(x["z"], x["y"]) for x in got]
 
-    while hi - lo > 10.0 ** -digits:
-        probes = [lo + (hi - lo) * i / (PROBES + 1) for i in range(1, PROBES + 1)]
+    def meet(probes: list[float]) -> list[bool]:
         if entropy_share is not None:  # the entropy falls as the exponent grows
-            meets = [math.log(z) - a * y / z <= entropy_share * math.log(count) for a, (z, y) in zip(probes, moments(probes), strict=True)]
-        elif budget is None:  # the rates of two sources differ by their sizes alone
-            meets = [(most / least) ** (1 - a) <= repetition for a in probes]
-        else:
-            meets = [budget * (least / total) ** a / z / least <= repetition for a, (z, _) in zip(probes, moments(probes), strict=True)]
+            return [math.log(z) - a * y / z <= entropy_share * math.log(count) for a, (z, y) in zip(probes, moments(probes), strict=True)]
+        if budget is None:  # the rates of two sources differ by their sizes alone
+            return [(most / least) ** (1 - a) <= repetition for a in probes]
+        # the source passed most often is the smallest up to an exponent of 1, and the largest beyond
+        return [budget * max((t / total) ** a / z / t for t in (least, most)) <= repetition * (1 + 1e-12) for a, (z, _) in zip(probes, moments(probes), strict=True)]
+
+    if budget is None and entropy_share is None and repetition < 1:
+        raise ValueError("no exponent passes every source once and none more than repetition")
+    if budget is not None and entropy_share is None and budget > repetition * total * (1 + 1e-12):
+        raise ValueError("the budget is over repetition times all tokens: no exponent meets the repetition limit")
+    while entropy_share is not None and not meet([hi])[0]:
+        lo, hi = hi, 2 * hi
+        if hi > MOST:
+            raise ValueError(f"no exponent up to {MOST} meets entropy_share {entropy_share}")
+    while hi - lo > 10.0 ** -digits * max(1.0, hi):
+        probes = [lo + (hi - lo) * i / (PROBES + 1) for i in range(1, PROBES + 1)]
+        meets = meet(probes)
         first = meets.index(True) if True in meets else PROBES
         lo, hi = probes[first - 1] if first else lo, probes[first] if first < PROBES else hi
     return hi
