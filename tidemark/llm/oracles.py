@@ -52,3 +52,40 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - removed_words >= 20 AND n_words - removed_words >= 0.5 * n_words AS kept
 FROM m"""
+
+#: Turns in order, the rebuilt conversations, every prefix as a list, and subtree sums by joining nodes to all their prefixes.
+CONVERSATION_TRIE = """
+WITH RECURSIVE bits(i, v, step) AS (
+  SELECT i, CAST(i AS BIGINT), 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc(c, s, k, v) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) x
+  UNION ALL SELECT c, s, k + 1, xor(crc.v >> 8, bits.v) FROM crc JOIN bits ON bits.step = 8 AND bits.i = xor(crc.v, ord(substr(s, k, 1))) & 255 WHERE k <= length(s)),
+heads AS (SELECT c, xor(v, 4294967295) % 6 AS h FROM crc WHERE k = length(s) + 1),
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      substr(sha256(concat_ws(' ', CAST(length(coalesce(role, '')) AS VARCHAR), coalesce(role, ''), coalesce(text, ''))), 1, 32)) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+parts AS (
+  SELECT heads.c, 0 AS part, t.pos, t.role, t.text FROM heads JOIN turns t ON t.c = heads.c - heads.c % 100 AND t.pos < heads.h
+  UNION ALL SELECT heads.c, 1, t.pos, t.role, t.text FROM heads JOIN turns t ON t.c = heads.c AND t.pos >= heads.h),
+whole AS (
+  SELECT heads.c, coalesce(list({'role': p.role, 'text': p.text} ORDER BY p.part, p.pos) FILTER (WHERE p.pos IS NOT NULL), []) AS s
+  FROM heads LEFT JOIN parts p ON p.c = heads.c GROUP BY heads.c),
+prefixes AS (SELECT c, len(s) AS size, d, list_slice(s, 1, d) AS prefix FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM whole) x),
+nodes AS (
+  SELECT prefix, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE size = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, d),
+linked AS (SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)),
+counted AS (
+  SELECT l.*, coalesce(k.n, 0) AS n_children FROM linked l
+  LEFT JOIN (SELECT parent_conv_id AS c, depth - 1 AS d, count(*) AS n FROM linked WHERE depth > 0 GROUP BY 1, 2) k ON k.c = l.conv_id AND k.d = l.depth),
+sums AS (
+  SELECT list_slice(prefix, 1, d) AS top, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+    sum(CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(prefix[depth].text) END) AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) x GROUP BY 1)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, c.parent_conv_id, CAST(c.n_convs AS BIGINT) AS n_convs, CAST(c.n_children AS BIGINT) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s ON s.top = c.prefix"""

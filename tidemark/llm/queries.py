@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, kd_sharding, license_scan, line_chunks, line_quality, mixing, oracles, pii_surrogates, span_dedup, token_store
+from . import (conversation_trie, decontam, jaccard_join, kd_sharding, lattice_lm, license_scan, line_chunks, line_quality, mixing, oracles, periodic_runs,
+               pii_surrogates, span_dedup, token_store)
 from .common import table
 
 #: Mixing: no source passes more than this often, and every source at least once.
@@ -23,6 +24,12 @@ def _word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _pieces() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_store(table(spark, sf_dir, "documents"), _word_bpe()))
 
@@ -69,10 +76,26 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), repetition=REPETITION)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.repeated_tails(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digest(periodic_runs.find_runs(docs))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.shared_heads(turns))
+
+
+def op13_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_texts(table(spark, sf_dir, "documents"), _pieces())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_store, op2_pii_surrogates, op3_kd_sharding, op4_line_chunks, op5_jaccard_join, op6_span_dedup,
-                            op7_decontamination, op7_proximity, op8_line_quality, op9_license_scan, op10_temperature_mixing)
+                            op7_decontamination, op7_proximity, op8_line_quality, op9_license_scan, op10_temperature_mixing, op11_periodic_runs,
+                            op12_conversation_trie, op13_lattice_lm)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {"op6_span_dedup": oracles.SPAN_DEDUP, "op7_decontamination": oracles.DECONTAMINATION, "op8_line_quality": oracles.LINE_QUALITY}
+ORACLES: dict[str, str] = {"op6_span_dedup": oracles.SPAN_DEDUP, "op7_decontamination": oracles.DECONTAMINATION, "op8_line_quality": oracles.LINE_QUALITY,
+                           "op12_conversation_trie": oracles.CONVERSATION_TRIE}
