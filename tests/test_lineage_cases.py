@@ -1,5 +1,7 @@
 """Lineage loop and flattening on tiny graphs."""
 
+import random
+
 
 from tidemark.operators import lineage as L
 
@@ -78,3 +80,78 @@ def test_paths_through_column(spark):
                                "src string, src_col string, dst string, dst_col string")
     got = sorted(tuple(r) for r in L.paths_through(ce, "B", "c1").collect())
     assert got == [("A", "c1", "B", "c1"), ("B", "c1", "C", "c2")]
+
+
+def _reach(edges, starts):
+    """Brute force: fewest hops from any of the starts."""
+    depth, frontier, hop = dict.fromkeys(starts, 0), set(starts), 0
+    while frontier:
+        hop += 1
+        frontier = {b for a, b in edges if a in frontier} - depth.keys()
+        depth |= dict.fromkeys(frontier, hop)
+    return depth
+
+
+def _root_nodes(edges):
+    """Brute force: nodes of the strongly connected components that no edge enters."""
+    nodes = {x for e in edges for x in e}
+    down = {n: set(_reach(edges, [n])) for n in nodes}
+    same = {n: {m for m in down[n] if n in down[m]} for n in nodes}
+    return {n for n in nodes if not any(b in same[n] and a not in same[n] for a, b in edges)}
+
+
+def test_every_node_of_a_graph_with_cycles_is_reached(spark):
+    rng = random.Random(5)
+    graphs = [[(0, 1), (1, 2), (2, 0), (2, 3), (4, 3), (5, 6), (6, 5), (6, 4), (7, 7), (7, 8), (9, 9)]]
+    graphs += [[(rng.randrange(30), rng.randrange(30)) for _ in range(n)] for n in (18, 34)]
+    for g in graphs:
+        e = spark.createDataFrame([(f"n{a:02}", f"n{b:02}") for a, b in g], "src string, dst string")
+        for direction, edges in (("down", g), ("up", [(b, a) for a, b in g])):
+            got = {int(r["node"][1:]): r["depth"] for r in L.trace_all(e, direction).collect()}
+            assert got == _reach(edges, _root_nodes(edges)) and got.keys() == {x for pair in g for x in pair}
+
+
+def test_rounds_of_several_hops_equal_single_hops(spark, monkeypatch):
+    rng = random.Random(8)
+    g = [(rng.randrange(40), rng.randrange(40)) for _ in range(70)]
+    e = spark.createDataFrame([(str(a), str(b)) for a, b in g], "src string, dst string")
+    starts = spark.createDataFrame([("3", "3"), ("7", "7")], "root string, node string")
+    want = {(r, n, d) for r in (3, 7) for n, d in _reach(g, [r]).items()}
+    for hops in (1, 3, 4):
+        monkeypatch.setattr(L, "HOPS", hops)
+        assert {(int(r["root"]), int(r["node"]), r["depth"]) for r in L.trace_keyed(e, starts).collect()} == want
+        limited = {(int(r["root"]), int(r["node"]), r["depth"]) for r in L.trace_keyed(e, starts, max_depth=2).collect()}
+        assert limited == {x for x in want if x[2] <= 2}
+
+
+CALLS = "query_id long, parent_query_id long, role string"
+
+
+def test_five_levels_of_calls(spark):
+    #  1 -> 2 -> 3 -> 4 -> 5 -> 6, 2 -> 7; 8 alone; 10 <-> 11 in a circle with 12 below
+    parent = {1: None, 2: 1, 3: 2, 4: 3, 5: 4, 6: 5, 7: 2, 8: None, 10: 11, 11: 10, 12: 10}
+    calls = spark.createDataFrame([(q, p, f"r{q % 2}") for q, p in parent.items()], CALLS)
+    closure = L.call_closure(calls)
+    want = set()
+    for q in (1, 2, 3, 4, 5, 6, 7, 8):
+        up, level = parent[q], 1
+        while up is not None:
+            want.add((up, q, level))
+            up, level = parent[up], level + 1
+    assert {tuple(r) for r in closure.select("procedure", "query_id", "level").collect()} == want
+    log = spark.createDataFrame([(6, [("deep",)], [("out",)]), (7, [("side",), ("deep",)], []), (1, [("top",)], None), (8, [("x",)], [])],
+                                "query_id long, reads array<struct<object:string>>, writes array<struct<object:string>>")
+    objects = L.proc_objects(closure, L.touched_objects(log))
+    got = {(r["access"], r["object"]): (r["queries"], r["nearest_level"]) for r in objects.where("procedure = 1").collect()}
+    assert got == {("read", "top"): (1, 0), ("read", "side"): (1, 2), ("read", "deep"): (2, 2), ("write", "out"): (1, 5)}
+    profile = {r["parent_query_id"]: tuple(r)[1:] for r in L.proc_profile(calls, closure, objects).collect()}
+    assert profile[1] == (1, "r0", 2, 6, 5, 3, 1) and profile[2] == (2, "r1", 7, 5, 4, 2, 1) and profile[5] == (1, "r0", 6, 1, 1, 1, 1)
+    assert profile.keys() == {1, 2, 3, 4, 5}
+
+
+def test_calls_without_parents_and_long_chains(spark):
+    assert L.call_closure(spark.createDataFrame([(1, None, "r")], CALLS)).count() == 0
+    assert L.call_closure(spark.createDataFrame([], CALLS)).count() == 0
+    chain = spark.createDataFrame([(i, i - 1 if i else None, "r") for i in range(70)], CALLS)
+    got = L.call_closure(chain).collect()
+    assert len(got) == 70 * 69 // 2 and all(r["query_id"] - r["procedure"] == r["level"] for r in got)

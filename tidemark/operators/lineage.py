@@ -22,8 +22,12 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..functions import scalar as S
+from ..functions.sqltext import clause_facts
 from ..session import checkpoint_dir, reliable_checkpoint
 
+#: Hops of a trace that are written together.
+HOPS = 4
+
 
 # --------------------------------------------------------------------------- flatten + edges (S3, L1, L2)
 
@@ -81,10 +85,10 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
                 max_depth: int | None = None) -> DataFrame:
     """Multi-source trace keyed by root: (root, node, depth), depth = fewest hops from that root.
 
-    ``starts`` has columns ``root`` and ``node`` (usually equal).  Each round:
-    frontier ⋈ edges on node → new (root, node) pairs → anti join with the
-    visited set → reliable checkpoint.  Rows per round = genuinely new pairs
-    only, and the driver sees just each round's row count.  Spark picks the joins by the sides' bytes.
+    ``starts`` has columns ``root`` and ``node`` (usually equal).  Each hop:
+    frontier ⋈ edges on node → new (root, node) pairs → anti join with the visited set.  A round writes
+    ``HOPS`` hops with one reliable checkpoint; hops of a round share their exchanges.
+    Rows per hop = genuinely new pairs only, and the driver sees just each hop's row count.  Spark picks the joins by the sides' bytes.
 
     The visited set is a list of tables, each at least twice the next: a round's table is merged
     with those not larger than twice its size.  So a chain of any length rewrites a row a
@@ -98,37 +102,101 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
     seen = [(frontier.count(), frontier)]
     depth = 0
     while seen[-1][0] > 0 and (max_depth is None or depth < max_depth):
-        depth += 1
+        hops = HOPS if max_depth is None else min(HOPS, max_depth - depth)
         visited = functools.reduce(DataFrame.unionByName, [t.select("root", "node") for _, t in seen])
-        # The round's row count is observed while the checkpoint is written (no extra job).
+        found, last = [], frontier
+        for hop in range(1, hops + 1):
+            last = (last.join(e, "node").select("root", F.col("next").alias("node")).distinct()
+                    .join(visited, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth + hop)))
+            visited = visited.unionByName(last.select("root", "node"))
+            found.append(last)
+        depth += hops
+        # The row counts are observed while the checkpoint is written (no extra job).
         obs = Observation()
-        frontier = reliable_checkpoint(frontier.join(e, "node")
-                                       .select("root", F.col("next").alias("node"))
-                                       .distinct()
-                                       .join(visited, ["root", "node"], "left_anti")
-                                       .withColumn("depth", F.lit(depth))
-                                       .observe(obs, F.count(F.lit(1)).alias("rows")))
-        n, table, merged = obs.get["rows"], frontier, False
+        rounds = reliable_checkpoint(functools.reduce(DataFrame.unionByName, found).observe(
+            obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("depth") == depth).alias("last")))
+        n, table, merged = obs.get["rows"], rounds, False
         if n == 0:
             break
         while seen and seen[-1][0] <= 2 * n:
             more, older = seen.pop()
             n, table, merged = n + more, older.unionByName(table), True
         seen.append((n, reliable_checkpoint(table) if merged else table))
+        if obs.get["last"] == 0:
+            break
+        frontier = rounds.where(F.col("depth") == depth)
     return functools.reduce(DataFrame.unionByName, [t for _, t in seen])
 
 
 def source_nodes(edges: DataFrame) -> DataFrame:
-    """Nodes with no incoming edge (where downstream traces start); a component whose nodes all lie on
-    cycles has none, so a caller names its roots there."""
-    return edges.select(F.col("src").alias("node")).distinct().join(
-        edges.select(F.col("dst").alias("node")), "node", "left_anti")
+    """Nodes that no other node leads to (where downstream traces start); see ``root_components`` for those on cycles."""
+    e = edges.where(F.col("src") != F.col("dst"))
+    return edges.select(F.col("src").alias("node")).distinct().join(e.select(F.col("dst").alias("node")), "node", "left_anti")
 
 
 def sink_nodes(edges: DataFrame) -> DataFrame:
-    """Nodes with no outgoing edge (where upstream traces start)."""
-    return edges.select(F.col("dst").alias("node")).distinct().join(
-        edges.select(F.col("src").alias("node")), "node", "left_anti")
+    """Nodes that lead to no other node (where upstream traces start)."""
+    return source_nodes(_reversed(edges))
+
+
+def _reversed(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+
+
+def smallest_ancestors(edges: DataFrame) -> DataFrame:
+    """(node, label): the smallest node from which each node is reached, itself included.
+
+    Labels travel along the edges; a round joins the edges with the labels that changed in the round before."""
+    checkpoint_dir(edges.sparkSession)
+    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
+    labels = changed = reliable_checkpoint(nodes.select("node", F.col("node").alias("label")))
+    while True:
+        told = (changed.join(edges.withColumnRenamed("src", "node"), "node")
+                .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("told")))
+        obs = Observation()
+        labels = reliable_checkpoint(
+            labels.join(told, "node", "left").select("node", F.least("label", "told").alias("label"),
+                                                     F.coalesce(F.col("told") < F.col("label"), F.lit(False)).alias("less"))
+            .observe(obs, F.count_if("less").alias("rows")))
+        if obs.get["rows"] == 0:
+            return labels.select("node", "label")
+        changed, labels = labels.where("less").select("node", "label"), labels.select("node", "label")
+
+
+def cyclic_roots(edges: DataFrame) -> DataFrame:
+    """(node, component): the nodes of strongly connected components that no edge enters from outside, in a graph where every node has
+    a predecessor; ``component`` is the smallest node.
+
+    A component without incoming edges is reached from itself only, so all its nodes carry its smallest node as label and lead back to it.
+    Of the labels that name themselves, those whose component an edge enters are dropped."""
+    labels = smallest_ancestors(edges)
+    inside = (edges.join(labels.select(F.col("node").alias("src"), F.col("label").alias("a")), "src")
+              .join(labels.select(F.col("node").alias("dst"), F.col("label").alias("b")), "dst").where(F.col("a") == F.col("b")).select("src", "dst"))
+    back = trace(inside, labels.where(F.col("node") == F.col("label")).select("node"), "up").select("node")
+    members = reliable_checkpoint(labels.join(back, "node", "left_semi").select("node", F.col("label").alias("component")))
+    entered = (edges.join(members.select(F.col("node").alias("dst"), "component"), "dst")
+               .join(members.select(F.col("node").alias("src"), F.col("component").alias("own")), "src", "left")
+               .where(~F.col("own").eqNullSafe(F.col("component"))).select("component").distinct())
+    return members.join(entered, "component", "left_anti").select("node", "component")
+
+
+def trace_all(edges: DataFrame, direction: str = "down") -> DataFrame:
+    """L3 / L4 from the roots of the whole graph: every node with its fewest hops from a root component.
+
+    The graph's strongly connected components form an acyclic graph; its roots are the components that no edge enters, and all their nodes have depth 0.
+    Single nodes are found first; only what they don't reach, which must lie on or behind cycles, is searched for cyclic roots.
+    """
+    e = reliable_checkpoint((edges if direction == "down" else _reversed(edges)).select("src", "dst").distinct())
+    found = reliable_checkpoint(trace(e, source_nodes(e), "down"))
+    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
+    obs = Observation()
+    rest = reliable_checkpoint(nodes.join(found, "node", "left_anti").observe(obs, F.count(F.lit(1)).alias("rows")))
+    if obs.get["rows"] == 0:
+        return found
+    # a predecessor of an unreached node is unreached, so these edges are whole
+    behind = reliable_checkpoint(e.join(rest.withColumnRenamed("node", "dst"), "dst", "left_semi").where(F.col("src") != F.col("dst")))
+    more = trace(e, cyclic_roots(behind).select("node"), "down")
+    return found.unionByName(more).groupBy("node").agg(F.min("depth").alias("depth"))
 
 
 def paths_through(col_edges: DataFrame, obj: str, column: str) -> DataFrame:
@@ -196,24 +264,10 @@ def blast_radius(edges: DataFrame, health: DataFrame, roots: DataFrame | None =
 
 # --------------------------------------------------------------------------- query text and procedures
 
-# Snippet patterns (group 1 is the snippet): any case and white space, qualified or quoted names, optional
-# aliases; a snippet ends before the next clause, a semicolon or the end of the text.
-_NAME = r'[\w.$"`\[\]]+'
-_NEXT = r"(?=\s+(?:(?:NATURAL|INNER|CROSS|LEFT|RIGHT|FULL)\b|JOIN\b|WHERE\b|GROUP\s+BY\b|HAVING\b|WINDOW\b|QUALIFY\b|ORDER\s+BY\b|LIMIT\b|UNION\b|INTERSECT\b|EXCEPT\b)|\s*;|\s*\)?\s*$)"
-JOIN_PATTERN = rf"(?is)\bJOIN\s+{_NAME}(?:\s+(?:AS\s+)?(?!ON\b)\w+)?\s+ON\s+(.+?){_NEXT}"
-WHERE_PATTERN = rf"(?is)\bWHERE\s+(.+?){_NEXT}"
-CASE_PATTERN = r"(?is)\b(CASE\b.+?\bEND)\b"
-
-
 def sql_text_facts(qtext: DataFrame) -> DataFrame:
-    """JOIN conditions, WHERE filters and CASE expressions of each query, one row per snippet."""
-    t = F.col("text")
-    arr = F.array(
-        F.struct(F.lit("join").alias("kind"), F.regexp_extract_all(t, F.lit(JOIN_PATTERN), 1).alias("items")),
-        F.struct(F.lit("filter").alias("kind"), F.regexp_extract_all(t, F.lit(WHERE_PATTERN), 1).alias("items")),
-        F.struct(F.lit("case").alias("kind"), F.regexp_extract_all(t, F.lit(CASE_PATTERN), 1).alias("items")))
-    x = qtext.select("query_id", F.inline(arr))
-    return x.select("query_id", "kind", F.explode("items").alias("fact"))
+    """JOIN conditions, WHERE filters and CASE expressions of each query, one row per snippet
+    (see ``functions.sqltext`` for what counts as one)."""
+    return qtext.select("query_id", F.inline(clause_facts(F.col("text"))))
 
 
 def facts_by_query(facts: DataFrame) -> DataFrame:
@@ -237,20 +291,76 @@ def edge_logic(flat: DataFrame, facts: DataFrame) -> DataFrame:
 
 def proc_children(qlog: DataFrame) -> DataFrame:
     """Parent procedure ↔ child queries (self join on parent id)."""
-    parents = qlog.where(F.col("parent_query_id").isNull()).select(F.col("query_id").alias("parent_query_id"),
-                                                                   F.col("role").alias("parent_role"))
+    parents = qlog.select(F.col("query_id").alias("parent_query_id"), F.col("role").alias("parent_role"))
     kids = qlog.where(F.col("parent_query_id").isNotNull()).select(
         "parent_query_id", F.col("query_id").alias("child_query_id"), F.col("role").alias("child_role"))
     return parents.join(kids, "parent_query_id", "inner")
 
 
-def proc_profile(qlog: DataFrame) -> DataFrame:
-    """Per procedure — children, distinct child roles (sorted), last child."""
-    pc = proc_children(qlog)
-    return pc.groupBy("parent_query_id").agg(
+def call_closure(qlog: DataFrame) -> DataFrame:
+    """Every (procedure, query_id, level) of the call forest: all queries below a procedure, at any depth.
+
+    Path doubling: a jump table leads each query to its ancestor 2^k calls up, and pairs up to 2^k levels apart
+    become pairs up to 2^(k+1) apart in one join, so a chain of d calls takes log2(d) rounds.  A query that
+    still has an ancestor after as many calls as there are queries lies on or below a circle of calls; such queries are left out.
+    """
+    spark = qlog.sparkSession
+    checkpoint_dir(spark)
+    first = reliable_checkpoint(qlog.where(F.col("parent_query_id").isNotNull())
+                                .select("query_id", F.col("parent_query_id").alias("up")).distinct())
+    jumps, n, reach = [first], first.count(), 1
+    while reach <= n:
+        obs = Observation()
+        step = jumps[-1].withColumnRenamed("up", "mid").join(
+            jumps[-1].select(F.col("query_id").alias("mid"), "up"), "mid").select("query_id", "up")
+        step = reliable_checkpoint(step.observe(obs, F.count(F.lit(1)).alias("rows")))
+        if obs.get["rows"] == 0:
+            break
+        jumps.append(step)
+        reach *= 2
+    if reach > n:  # whoever still has an ancestor is on or below a circle
+        endless = jumps.pop().select("query_id")
+        first = reliable_checkpoint(first.join(endless, "query_id", "left_anti"))
+    pairs = first.select(F.col("up").alias("procedure"), "query_id", F.lit(1).alias("level"))
+    for k, jump in enumerate(jumps):
+        far = (jump.join(pairs.select(F.col("query_id").alias("up"), "procedure", "level"), "up")
+               .select("procedure", "query_id", (F.col("level") + 2 ** k).alias("level")))
+        pairs = reliable_checkpoint(pairs.unionByName(far))
+    return pairs
+
+
+def touched_objects(log: DataFrame) -> DataFrame:
+    """(query_id, access, object): each object that a query reads or writes, once."""
+    def side(column: str, access: str) -> DataFrame:
+        return log.select("query_id", F.lit(access).alias("access"), F.explode(column).alias("x")).select("query_id", "access", F.col("x.object").alias("object"))
+    return side("reads", "read").unionByName(side("writes", "write")).where(F.col("object").isNotNull()).distinct()
+
+
+def proc_objects(closure: DataFrame, touched: DataFrame) -> DataFrame:
+    """The objects that a procedure touches by itself (level 0) or through the queries below it, one row per
+    procedure, access and object, with the number of such queries and the nearest level.
+
+    Each pair of procedure and query is one row, so a procedure above very many queries is spread and partially aggregated."""
+    own = closure.select("procedure").distinct().select("procedure", F.col("procedure").alias("query_id"), F.lit(0).alias("level"))
+    return (closure.unionByName(own).join(touched, "query_id")
+            .groupBy("procedure", "access", "object")
+            .agg(F.count(F.lit(1)).alias("queries"), F.min("level").alias("nearest_level")))
+
+
+def proc_profile(qlog: DataFrame, closure: DataFrame, objects: DataFrame) -> DataFrame:
+    """Per procedure — direct children, their roles (sorted) and the last one; queries below it at all levels, the number
+    of levels; objects read and written by it or below it."""
+    direct = proc_children(qlog).groupBy(F.col("parent_query_id").alias("procedure")).agg(
         F.count(F.lit(1)).alias("children"),
         F.array_join(F.array_sort(F.collect_set("child_role")), ",").alias("child_roles"),
         F.max("child_query_id").alias("last_child_query_id"))
+    below = closure.groupBy("procedure").agg(F.count(F.lit(1)).alias("descendants"), F.max("level").alias("levels"))
+    access = objects.groupBy("procedure").agg(F.count_if(F.col("access") == "read").alias("objects_read"),
+                                              F.count_if(F.col("access") == "write").alias("objects_written"))
+    zero = F.lit(0).cast("bigint")
+    return (direct.join(below, "procedure").join(access, "procedure", "left")
+            .select(F.col("procedure").alias("parent_query_id"), "children", "child_roles", "last_child_query_id", "descendants", "levels",
+                    F.coalesce("objects_read", zero).alias("objects_read"), F.coalesce("objects_written", zero).alias("objects_written")))
 
 
 def catalog_objects(meta: DataFrame, cols: DataFrame) -> DataFrame:

@@ -154,6 +154,9 @@ VIEWS: dict[str, str] = {
   SELECT 'T' || CAST(p_partkey AS VARCHAR) AS object,
     CASE p_partkey % 3 WHEN 0 THEN 'table' WHEN 1 THEN 'view' ELSE 'procedure' END AS kind,
     p_brand AS owner FROM part""",
+    "call_log": """
+  SELECT p_partkey AS query_id, CASE WHEN p_partkey >= 4 THEN CAST(floor(p_partkey / 4.0) AS BIGINT) END AS parent_query_id,
+    ['select', 'insert', 'merge'][CAST(p_size % 3 + 1 AS INTEGER)] AS role FROM part WHERE p_partkey > 0""",
     "query_log": """
   SELECT conv_id * 100 + turn AS query_id, CASE WHEN turn > 0 THEN conv_id * 100 END AS parent_query_id,
     role, conv_id FROM conversations""",
@@ -251,11 +254,16 @@ VIEWS["node_health"] = f"""
 VIEWS["facts"] = """
   SELECT query_id, kind, unnest(items) AS fact FROM (
     SELECT p_partkey AS query_id, unnest(['join', 'filter', 'case']) AS kind, unnest([
-      CASE p_partkey % 4 WHEN 0 THEN ['a.c1 = b.c1'] WHEN 1 THEN ['a.c1 = b.c2'] WHEN 2 THEN ['a.c1 = b.c1', 'b.c2 = c.c2']
+      CASE p_partkey % 6 WHEN 0 THEN ['a.c1 = b.c1'] WHEN 1 THEN ['a.c1 = b.c2'] WHEN 2 THEN ['a.c1 = b.c1', 'b.c2 = c.c2'] WHEN 3 THEN ['USING (c1)']
+        WHEN 4 THEN ['t.c1 = s.c1 AND s.c2 IN (SELECT c2 FROM T' || CAST(p_partkey AS VARCHAR) || ' WHERE c3 = ' || CAST(p_size AS VARCHAR) || ')']
         ELSE ['a.c1 = T' || CAST(CAST(floor(p_partkey / 2.0) AS BIGINT) AS VARCHAR) || '.c1'] END,
-      CASE p_partkey % 4 WHEN 0 THEN ['a.c3 >= ' || CAST(p_size AS VARCHAR) || ' AND b.c2 IS NOT NULL']
-        WHEN 1 THEN ['a.c3 < ' || CAST(p_size AS VARCHAR)] WHEN 2 THEN ['c.c3 = ' || CAST(p_size AS VARCHAR)] ELSE [] END,
-      CASE p_partkey % 4 WHEN 0 THEN ['CASE WHEN a.c2 > ' || CAST(p_size AS VARCHAR) || ' THEN ''big'' ELSE ''small'' END'] ELSE [] END]) AS items
+      CASE p_partkey % 6 WHEN 0 THEN ['a.c3 >= ' || CAST(p_size AS VARCHAR) || ' AND b.c2 IS NOT NULL']
+        WHEN 1 THEN ['a.c3 < ' || CAST(p_size AS VARCHAR)] WHEN 2 THEN ['c.c3 = ' || CAST(p_size AS VARCHAR)]
+        WHEN 3 THEN ['c3 < ' || CAST(p_size AS VARCHAR), 's.c1 <> '' WHERE '' ' || chr(10) || ' AND b.c1 > 0']
+        WHEN 4 THEN ['c3 = ' || CAST(p_size AS VARCHAR)] ELSE [] END,
+      CASE p_partkey % 6 WHEN 0 THEN ['CASE WHEN a.c2 > ' || CAST(p_size AS VARCHAR) || ' THEN ''big'' ELSE ''small'' END']
+        WHEN 3 THEN ['CASE s.c3 WHEN ''END'' THEN 1 ELSE 2 END',
+          'CASE WHEN s.c2 > ' || CAST(p_size AS VARCHAR) || ' THEN CASE s.c3 WHEN ''END'' THEN 1 ELSE 2 END ELSE 0 END'] ELSE [] END]) AS items
     FROM part WHERE p_partkey > 0) x"""
 VIEWS["facts_by_query"] = """
   SELECT query_id,

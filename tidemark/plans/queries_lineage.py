@@ -65,8 +65,7 @@ t(node, depth) AS (SELECT node, 0 FROM roots
                    UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON e.src = t.node)
 SELECT node, MIN(depth) AS depth FROM t GROUP BY node""")
 def lineage_downstream(spark, d):
-    e = reliable_checkpoint(_edges(spark, d))  # one edge build for the roots and the loop
-    return L.trace(e, L.source_nodes(e), "down")
+    return L.trace_all(_edges(spark, d), "down")
 
 
 @query("lineage_upstream", sql="""
@@ -76,8 +75,7 @@ t(node, depth) AS (SELECT node, 0 FROM roots
                    UNION SELECT e.src, t.depth + 1 FROM t JOIN e ON e.dst = t.node)
 SELECT node, MIN(depth) AS depth FROM t GROUP BY node""")
 def lineage_upstream(spark, d):
-    e = reliable_checkpoint(_edges(spark, d))
-    return L.trace(e, L.sink_nodes(e), "up")
+    return L.trace_all(_edges(spark, d), "up")
 
 
 @query("lineage_column_path", sql=f"""
@@ -150,18 +148,46 @@ def sql_text_facts(spark, d):
 
 @query("join_proc_children", sql="""
 SELECT p.query_id AS parent_query_id, p.role AS parent_role, k.query_id AS child_query_id, k.role AS child_role
-FROM query_log p JOIN query_log k ON k.parent_query_id = p.query_id WHERE p.parent_query_id IS NULL""")
+FROM query_log p JOIN query_log k ON k.parent_query_id = p.query_id""")
 def join_proc_children(spark, d):
     return L.proc_children(B.query_log(spark, d))
 
 
-@query("procedure_profile", sql="""
-SELECT p.query_id AS parent_query_id, COUNT(*) AS children,
-  array_to_string(list_sort(list(DISTINCT k.role)), ',') AS child_roles, MAX(k.query_id) AS last_child_query_id
-FROM query_log p JOIN query_log k ON k.parent_query_id = p.query_id WHERE p.parent_query_id IS NULL
-GROUP BY p.query_id""")
+_CALLS = """
+calls(procedure, query_id, level) AS (SELECT parent_query_id, query_id, 1 FROM call_log WHERE parent_query_id IS NOT NULL
+  UNION ALL SELECT calls.procedure, k.query_id, calls.level + 1 FROM calls JOIN call_log k ON k.parent_query_id = calls.query_id)"""
+_OBJECTS = f"""{_CALLS},
+touched AS (SELECT query_id, 'read' AS access, src AS object FROM lineage_edges UNION SELECT query_id, 'write', dst FROM lineage_edges),
+scope AS (SELECT * FROM calls UNION SELECT procedure, procedure, 0 FROM calls),
+objects AS (SELECT procedure, access, object, COUNT(DISTINCT query_id) AS queries, MIN(level) AS nearest_level
+            FROM scope JOIN touched USING (query_id) GROUP BY procedure, access, object)"""
+
+
+@query("procedure_calls", sql=f"WITH RECURSIVE {_CALLS} SELECT procedure, query_id, level FROM calls")
+def procedure_calls(spark, d):
+    """Every query below a procedure, at all levels of the call forest."""
+    return L.call_closure(B.call_log(spark, d))
+
+
+@query("procedure_objects", sql=f"WITH RECURSIVE {_OBJECTS} SELECT * FROM objects")
+def procedure_objects(spark, d):
+    """The objects each procedure reads and writes, by itself and through the queries below it."""
+    return L.proc_objects(L.call_closure(B.call_log(spark, d)), L.touched_objects(B.access_log(spark, d)))
+
+
+@query("procedure_profile", sql=f"""
+WITH RECURSIVE {_OBJECTS},
+below AS (SELECT procedure, COUNT(*) AS descendants, MAX(level) AS levels FROM calls GROUP BY procedure),
+direct AS (SELECT parent_query_id, COUNT(*) AS children, array_to_string(list_sort(list(DISTINCT role)), ',') AS child_roles,
+             MAX(query_id) AS last_child_query_id FROM call_log WHERE parent_query_id IS NOT NULL GROUP BY parent_query_id),
+access AS (SELECT procedure, COUNT(*) FILTER (WHERE access = 'read') AS objects_read, COUNT(*) FILTER (WHERE access = 'write') AS objects_written
+           FROM objects GROUP BY procedure)
+SELECT d.*, b.descendants, b.levels, COALESCE(a.objects_read, 0) AS objects_read, COALESCE(a.objects_written, 0) AS objects_written
+FROM direct d JOIN below b ON b.procedure = d.parent_query_id LEFT JOIN access a ON a.procedure = d.parent_query_id""")
 def procedure_profile(spark, d):
-    return L.proc_profile(B.query_log(spark, d))
+    calls = B.call_log(spark, d)
+    closure = L.call_closure(calls)
+    return L.proc_profile(calls, closure, L.proc_objects(closure, L.touched_objects(B.access_log(spark, d))))
 
 
 @query("join_edge_logic", sql="""

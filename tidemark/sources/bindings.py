@@ -282,13 +282,21 @@ def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("role"), F.col("conv_id"))
 
 
+def call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call forest over the queries of the access log: query k is called by query k / 4; 1, 2 and 3 are called by none."""
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_size").where(F.col("p_partkey") > 0)
+    k = F.col("p_partkey")
+    role = F.when(F.col("p_size") % 3 == 0, F.lit("select")).when(F.col("p_size") % 3 == 1, F.lit("insert")).otherwise(F.lit("merge"))
+    return p.select(k.alias("query_id"), F.when(k >= 4, F.floor(k / 4.0).cast("bigint")).alias("parent_query_id"), role.alias("role"))
+
+
 def query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL text per lineage query, built from part keys (exercises text fact extraction)."""
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_size").where(F.col("p_partkey") > 0)
     k = F.col("p_partkey").cast("string")
     half = F.floor(F.col("p_partkey") / 2.0).cast("bigint").cast("string")
     sz = F.col("p_size").cast("string")
-    shape = F.col("p_partkey") % 4
+    shape = F.col("p_partkey") % 6
     plain = F.concat(
         F.lit("INSERT INTO T"), half, F.lit(" SELECT a.c1, CASE WHEN a.c2 > "), sz,
         F.lit(" THEN 'big' ELSE 'small' END AS c2 FROM T"), k, F.lit(" a JOIN T"), k,
@@ -298,7 +306,14 @@ def query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.concat(F.lit("SELECT a.c1\nFROM T"), k, F.lit(" a\nJOIN T"), half, F.lit(" b ON a.c1 = b.c1\nJOIN T"), k,
                      F.lit(" c\n  ON b.c2 = c.c2\nWHERE c.c3 = "), sz, F.lit("\nLIMIT 5;"))
     bare = F.concat(F.lit("SELECT * FROM T"), k, F.lit(" a JOIN s.T"), half, F.lit(" ON a.c1 = T"), half, F.lit(".c1"))
-    text = F.when(shape == 0, plain).when(shape == 1, lower).when(shape == 2, lines).otherwise(bare)
+    nested = F.concat(
+        F.lit("INSERT INTO T"), half, F.lit(" /* WHERE old */ SELECT s.c1, CASE WHEN s.c2 > "), sz,
+        F.lit(" THEN CASE s.c3 WHEN 'END' THEN 1 ELSE 2 END ELSE 0 END FROM (SELECT c1, c2, c3 FROM T"), k, F.lit(" WHERE c3 < "), sz,
+        F.lit(") s JOIN (SELECT c1 FROM T"), half, F.lit(") b USING (c1) WHERE s.c1 <> ' WHERE ' -- JOIN x ON y\n AND b.c1 > 0"))
+    merge = F.concat(F.lit("MERGE INTO T"), half, F.lit(" t USING T"), k, F.lit(" s ON t.c1 = s.c1 AND s.c2 IN (SELECT c2 FROM T"), k,
+                     F.lit(" WHERE c3 = "), sz, F.lit(") WHEN MATCHED AND s.c3 > 1 THEN UPDATE SET c2 = s.c2"))
+    text = (F.when(shape == 0, plain).when(shape == 1, lower).when(shape == 2, lines).when(shape == 3, nested).when(shape == 4, merge)
+            .otherwise(bare))
     return p.select(F.col("p_partkey").alias("query_id"), text.alias("text"))
 
 
