@@ -47,7 +47,8 @@ def test_log_is_reduced_before_it_is_aggregated(spark):
     with contextlib.redirect_stdout(buf):
         R.changes(R.load_claims(spark, SF_SMALL, wide=False), T.CLAIMS_RUN_DATE).explain()
     plan = buf.getvalue()
-    assert plan.count("LeftSemi") >= 2 and "c_name" not in plan
+    # the queue's claimants are staged; the log meets their keys below its aggregation
+    assert plan.count("LeftSemi") >= 1 and "Scan ExistingRDD" in plan and "c_name" not in plan
 
 
 def test_dense_and_sparse_surrogates(spark):

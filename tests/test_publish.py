@@ -14,22 +14,24 @@ from tidemark.sources.sinks import current_run, published_history, write_report
 def test_run_publishes_last_and_continues_sequence(spark):
     out = tempfile.mkdtemp(prefix="tidemark-test-run-")
     t = R.load_claims(spark, SF_SMALL, wide=True)
-    first = R.run_recovery(spark, t, T.CLAIMS_RUN_DATE, out, run_id="run-a")
+    first = R.run_recovery(spark, t, T.CLAIMS_RUN_DATE, out, run_id="run-a", parts=4, buckets=4)
     assert current_run(spark, out) == "run-a"
     summary = {r["step"]: r["row_count"] for r in spark.read.parquet(first["summary"]).collect()}
     n = summary["history"]
     assert n == summary["closed"] + summary["reopened"] == summary["updated"]
-    snap = spark.read.parquet(first["snapshot"])
-    assert snap.count() == t.claimant.count()
+    snap = R.published_master(spark, out)
+    want = R.apply_changes(t.claimant, R.changes(t, T.CLAIMS_RUN_DATE))
+    assert snap.columns == want.columns and sorted(map(str, snap.collect())) == sorted(map(str, want.collect()))
 
-    # Second run on the published snapshot: nothing left to change, history keeps its numbers.
-    t2 = R.ClaimTables(claimant=snap, stage=t.stage, queue=t.queue, xref=t.xref)
-    R.run_recovery(spark, t2, T.CLAIMS_RUN_DATE, out, run_id="run-b")
+    # Second run on the published master: nothing left to change, history keeps its numbers.
+    t2 = R.ClaimTables(claimant=None, stage=t.stage, queue=t.queue, xref=t.xref)
+    R.run_recovery(spark, t2, T.CLAIMS_RUN_DATE, out, run_id="run-b", parts=4, buckets=4)
     assert current_run(spark, out) == "run-b"
     hist = published_history(spark, out)
     assert hist.count() == n
     seq = hist.agg(F.min("sequence_number"), F.max("sequence_number"), F.countDistinct("sequence_number")).collect()[0]
     assert (seq[0], seq[1], seq[2]) == (1, n, n)
+    assert R.published_master(spark, out).count() == t.claimant.count()
 
 
 def test_failure_raises_fixed_error_and_publishes_nothing(spark):
@@ -43,7 +45,7 @@ def test_failure_raises_fixed_error_and_publishes_nothing(spark):
     assert current_run(spark, out) is None
 
 
-@pytest.mark.parametrize("step", ["write_snapshot", "write_history", "run_summary", "publish"])
+@pytest.mark.parametrize("step", ["write_master", "write_history", "run_summary", "publish"])
 def test_failure_at_any_step_leaves_nothing_visible(spark, monkeypatch, step):
     out = tempfile.mkdtemp(prefix="tidemark-test-step-")
     t = R.load_claims(spark, SF_SMALL, wide=True)

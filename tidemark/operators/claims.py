@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
@@ -99,23 +99,27 @@ def txn_order_key(acc="accounting_dt", voucher="voucher_number", tdate="transact
     return key.cast("decimal(38,0)")
 
 
-def txn_summary(stage: DataFrame, keys: DataFrame | None = None, codes=T.RECOVERY_TXN_CODES) -> DataFrame:
+def txn_summary(stage: DataFrame, keys: DataFrame | None = None, codes=T.RECOVERY_TXN_CODES, latest: bool = True) -> DataFrame:
     """W1 + A1 in one aggregation: one shuffle of the transaction log instead of two.
 
     The newest closing transaction is the maximum packed ordering key among
     closing codes; its last 8 digits are that row's transaction date.  Partial
     aggregation runs map-side, so a key3 with many transactions is reduced to
     one row per task before the shuffle.  ``keys`` (distinct key3) limits the log to
-    the rows that are wanted before it is aggregated.
+    the rows that are wanted before it is aggregated.  Over a log kept in buckets of key3 (``sources.bucketed``) neither the limit nor the
+    aggregation moves a row of it.  ``latest=False`` asks for A1 only.
     """
     log = _as_claimant_key3(stage)
     if keys is not None:
         log = log.join(keys, KEY3, "left_semi")
+    high = F.max("transaction_date").alias("max_transaction_date")
+    if not latest:
+        return log.groupBy(*KEY3).agg(high)
     is_closing = F.col("transaction_code").isin(*codes)
-    latest = F.max(F.when(is_closing, txn_order_key())).alias("_latest")
+    newest = F.max(F.when(is_closing, txn_order_key())).alias("_latest")
     slot = F.col("_latest") % F.lit(10 ** _DATE_DIGITS)
     return (log.groupBy(*KEY3)
-            .agg(latest, F.max("transaction_date").alias("max_transaction_date"))
+            .agg(newest, high)
             .select(*KEY3,
                     F.when(slot > 0, slot - 1).cast("int").alias("latest_txn_date"),
                     F.col("_latest").isNotNull().alias("has_recovery_txn"),
@@ -162,16 +166,19 @@ def exists_flag(df: DataFrame, stage: DataFrame, codes=T.RECOVERY_TXN_CODES, col
               .withColumn(col, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
-def apply_updates(target: DataFrame, src: DataFrame, key: str, set_cols) -> DataFrame:
+def apply_updates(target: DataFrame, src: DataFrame, key: str, set_cols, matched: Observation | None = None) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET, as a left join + match flag.
 
     A matched row takes the source value even when it is NULL (a match flag,
     not coalesce); unmatched rows pass through unchanged.  Column order of the
-    target is kept.  Spark picks the join by the source's bytes (at run time with AQE).
+    target is kept.  Spark picks the join by the source's bytes (at run time with AQE); a target
+    in buckets of the key is not moved by any of them.  ``matched`` observes the number of updated rows (``rows``).
     """
     renamed = src.select(F.col(key), *[F.col(c).alias(f"_src_{c}") for c in set_cols],
                          F.lit(True).alias("_matched"))
     joined = target.join(renamed, key, "left")
+    if matched is not None:
+        joined = joined.observe(matched, F.count("_matched").alias("rows"))
     out = []
     for c in target.columns:
         if c in set_cols:
