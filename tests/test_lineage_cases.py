@@ -155,3 +155,42 @@ def test_calls_without_parents_and_long_chains(spark):
     chain = spark.createDataFrame([(i, i - 1 if i else None, "r") for i in range(70)], CALLS)
     got = L.call_closure(chain).collect()
     assert len(got) == 70 * 69 // 2 and all(r["query_id"] - r["procedure"] == r["level"] for r in got)
+
+
+def test_reach_sketches_estimate_the_exact_trace(spark):
+    rng = random.Random(11)
+    n = 220
+    g = {(rng.randrange(n), rng.randrange(n)) for _ in range(2 * n)} | {(i, i + 1) for i in range(0, 40)} | {(40, 0)}
+    e = spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in g], "src string, dst string")
+    want = {f"n{a}": len(_reach([x for x in g if x[0] != x[1]], [a])) - 1 for a in {x for p in g for x in p}}
+    small = {r["node"]: (r["reach"], r["exact"]) for r in L.reach_sizes(L.reach_sketches(e, 32), 32).collect()}
+    assert small.keys() == want.keys()
+    assert all(small[k][0] == want[k] for k in want if want[k] + 1 < 32) and all(small[k][1] == (want[k] + 1 < 32) for k in want)
+    errors = [abs(small[k][0] - want[k]) / want[k] for k in want if not small[k][1]]
+    assert errors and sum(errors) / len(errors) < 2 / 32 ** 0.5
+    whole = {r["node"]: r["reach"] for r in L.reach_sizes(L.reach_sketches(e, 1000), 1000).collect()}
+    assert whole == want
+    health = spark.createDataFrame([("n0", 1), ("lonely", 2), ("n5", 0)], "object string, failing_tests long")
+    assert {tuple(r) for r in L.impact_sizes(e, health, 1000).collect()} == {("n0", want["n0"], True), ("lonely", 0, True)}
+
+
+def test_column_paths_with_dots_in_names(spark):
+    ce = spark.createDataFrame([("db.T", "c", "X", "x"), ("db", "T.c", "Y", "y")], "src string, src_col string, dst string, dst_col string")
+    assert [tuple(r) for r in L.paths_through(ce, "db.T", "c").collect()] == [("db.T", "c", "X", "x")]
+
+
+def test_catalog_of_the_session(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tidemark_test")
+    try:
+        spark.sql(f"CREATE TABLE tidemark_test.a (k INT, `odd name` STRING) USING parquet LOCATION '{tmp_path}/a'")
+        spark.sql(f"CREATE TABLE tidemark_test.b (x DOUBLE) USING parquet LOCATION '{tmp_path}/b'")
+        spark.sql("CREATE VIEW tidemark_test.v AS SELECT k FROM tidemark_test.a")
+        meta, cols = L.session_catalog(spark, ["tidemark_test"])
+        got = {r["object"]: r for r in L.catalog_objects(meta, cols).collect()}
+        assert {k: (r["kind"], r["n_columns"], r["columns"]) for k, r in got.items()} == {
+            "tidemark_test.a": ("table", 2, "k,odd name"), "tidemark_test.b": ("table", 1, "x"), "tidemark_test.v": ("view", 1, "k")}
+        assert got["tidemark_test.a"]["owner"]
+        assert ("tidemark_test.b", "x", "double") in {tuple(r) for r in cols.collect()}
+        assert "tidemark_test.a" in {r["object"] for r in L.session_catalog(spark)[0].collect()}
+    finally:
+        spark.sql("DROP DATABASE tidemark_test CASCADE")

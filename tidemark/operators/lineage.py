@@ -17,7 +17,8 @@ from __future__ import annotations
 import datetime as _dt
 import functools
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
@@ -201,12 +202,13 @@ def trace_all(edges: DataFrame, direction: str = "down") -> DataFrame:
 
 def paths_through(col_edges: DataFrame, obj: str, column: str) -> DataFrame:
     """Every column edge on some path through (obj, column): edges among its ancestors
-    (and itself) plus edges among its descendants (and itself)."""
-    node = F.concat_ws(".", F.col("src"), F.col("src_col"))
-    nxt = F.concat_ws(".", F.col("dst"), F.col("dst_col"))
-    ce = col_edges.select("src", "src_col", "dst", "dst_col", node.alias("a"), nxt.alias("b"))
+    (and itself) plus edges among its descendants (and itself).  A node is the pair of object and column, so names with dots don't mix."""
+    def node(o, c):
+        return F.struct(o.alias("object"), c.alias("column"))
+
+    ce = col_edges.select("src", "src_col", "dst", "dst_col", node(F.col("src"), F.col("src_col")).alias("a"), node(F.col("dst"), F.col("dst_col")).alias("b"))
     g = ce.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    me = col_edges.sparkSession.range(1).select(F.lit(f"{obj}.{column}").alias("node"))
+    me = col_edges.sparkSession.range(1).select(node(F.lit(obj), F.lit(column)).alias("node"))
     up = trace(g, me, "up").select("node")
     down = trace(g, me, "down").select("node")
     on_up = (ce.join(up.withColumnRenamed("node", "a"), "a", "left_semi")
@@ -216,6 +218,40 @@ def paths_through(col_edges: DataFrame, obj: str, column: str) -> DataFrame:
     return on_up.unionByName(on_down).select("src", "src_col", "dst", "dst_col").distinct()
 
 
+def reach_sketches(edges: DataFrame, k: int = T.REACH_SKETCH_SIZE) -> DataFrame:
+    """(node, hash): for every node the ``k`` smallest hashes of the nodes it leads to, itself included (a bottom-k sketch).
+
+    Sketches travel against the edges: a round hands the hashes that were new in the last one to the nodes before, and each node keeps its ``k``
+    smallest.  Keeping the smallest is idempotent, so cycles and shared paths need no care; no pair of nodes is ever made.  The
+    limit by node is a WindowGroupLimit, so a node with very many successors is cut down before the shuffle.
+    """
+    spark = edges.sparkSession
+    checkpoint_dir(spark)
+    e = reliable_checkpoint(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
+    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
+    held = reliable_checkpoint(nodes.select("node", F.xxhash64("node").alias("hash"), F.lit(True).alias("new")))
+    smallest = Window.partitionBy("node").orderBy("hash")
+    while True:
+        told = (held.where("new").withColumnRenamed("node", "dst").join(e, "dst").select(F.col("src").alias("node"), "hash").distinct()
+                .join(held.select("node", "hash"), ["node", "hash"], "left_anti").withColumn("new", F.lit(True)))
+        both = held.withColumn("new", F.lit(False)).unionByName(told)
+        obs = Observation()
+        held = reliable_checkpoint(both.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= k).drop("place")
+                                   .observe(obs, F.count_if("new").alias("rows")))
+        if obs.get["rows"] == 0:
+            return held.select("node", "hash")
+
+
+def reach_sizes(sketches: DataFrame, k: int = T.REACH_SKETCH_SIZE) -> DataFrame:
+    """(node, reach, exact): how many other nodes each node leads to; exact below ``k`` nodes, else estimated with a
+    relative error of about 1 / sqrt(k) by where the k-th smallest of evenly spread hashes lies."""
+    n, span = F.count(F.lit(1)), 2.0 ** 64
+    agg = sketches.groupBy("node").agg(n.alias("n"), F.max("hash").alias("last"))
+    share = (F.col("last").cast("double") + F.lit(2.0 ** 63)) / F.lit(span)
+    return agg.select("node", F.when(F.col("n") < k, F.col("n") - 1).otherwise(F.round(F.lit(k - 1.0) / share) - 1).cast("bigint").alias("reach"),
+                      (F.col("n") < k).alias("exact"))
+
+
 # --------------------------------------------------------------------------- data quality
 
 def latest_dq(dq: DataFrame) -> DataFrame:
@@ -254,14 +290,21 @@ def failing_nodes(health: DataFrame) -> DataFrame:
 
 
 def blast_radius(edges: DataFrame, health: DataFrame, roots: DataFrame | None = None) -> DataFrame:
-    """Downstream objects of every failing node, keyed by the failing root, with hops.
-    ``roots`` (column ``node``) limits it to the failing nodes of interest."""
+    """Downstream objects of every failing node, keyed by the failing root, with hops: one row for each pair.
+    ``roots`` (column ``node``) limits it to the failing nodes of interest; ``impact_sizes`` is the overview of all."""
     fail = failing_nodes(health)
     fail = fail if roots is None else fail.join(roots.select("node"), "node", "left_semi")
     t = trace_keyed(edges, fail.select(F.col("node").alias("root"), "node"), "down")
     return t.where(F.col("depth") > 0).select("root", "node", F.col("depth").alias("hops"))
 
 
+def impact_sizes(edges: DataFrame, health: DataFrame, k: int = T.REACH_SKETCH_SIZE) -> DataFrame:
+    """L6 as an overview: one row for each failing node with the number of objects downstream of it (0 for one without edges)."""
+    reach = reach_sizes(reach_sketches(edges, k), k)
+    return failing_nodes(health).join(reach, "node", "left").select(
+        F.col("node").alias("root"), F.coalesce("reach", F.lit(0).cast("bigint")).alias("reach"), F.coalesce("exact", F.lit(True)).alias("exact"))
+
+
 # --------------------------------------------------------------------------- query text and procedures
 
 def sql_text_facts(qtext: DataFrame) -> DataFrame:
@@ -368,3 +411,29 @@ def catalog_objects(meta: DataFrame, cols: DataFrame) -> DataFrame:
     c = cols.groupBy("object").agg(F.count(F.lit(1)).alias("n_columns"),
                                    F.array_join(F.array_sort(F.collect_list("column_name")), ",").alias("columns"))
     return meta.join(c, "object", "left")
+
+
+def session_catalog(spark: SparkSession, databases: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """S4 from the session's catalogue: (objects, columns) for ``catalog_objects``.
+
+    Objects are (object ``db.name``, kind table / view, owner; the database's owner where a table has none), columns (object,
+    column_name, data_type).  What is read is metadata only, one look-up a table; a table that goes meanwhile is left out."""
+    objects, columns = [], []
+    for db in databases if databases is not None else [d.name for d in spark.catalog.listDatabases()]:
+        of_db = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED `{db}`").collect()}
+        for t in spark.catalog.listTables(db):
+            if t.isTemporary:
+                continue
+            name = f"{db}.{t.name}"
+            quoted = ".".join("`" + x.replace("`", "``") + "`" for x in (db, t.name))
+            try:
+                found = spark.catalog.listColumns(quoted)
+                facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()}
+            except AnalysisException as e:
+                if e.getCondition() not in ("TABLE_OR_VIEW_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND.WITHOUT_SUGGESTION"):
+                    raise
+                continue
+            objects.append((name, "view" if t.tableType == "VIEW" else "table", facts.get("Owner") or of_db.get("Owner") or None))
+            columns += [(name, c.name, c.dataType) for c in found]
+    return (spark.createDataFrame(objects, "object string, kind string, owner string"),
+            spark.createDataFrame(columns, "object string, column_name string, data_type string"))

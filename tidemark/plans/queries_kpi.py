@@ -5,12 +5,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
+from pyspark.sql import functions as F
 
 from .. import thresholds as T
 from ..operators import kpi as K
 from ..session import work_dir
 from ..sources import bindings as B
+from ..sources.rollup import DailyRollup
+from ..sources.tables import read_table
 from . import reports as Rp
 from .registry import query
 
@@ -185,6 +189,19 @@ def kpi_comparison(spark, d):
     return Rp.kpi_comparison(_recent_daily(spark, d), RUN, B.expected_series(spark)).select(*[c.strip() for c in CMP_COLS.split(",")])
 
 
+@query("kpi_comparison_rollup", sql=f"WITH {COMPARE_SQL} SELECT {CMP_COLS} FROM cmp")
+def kpi_comparison_rollup(spark, d):
+    """K1 from daily rollups: a tenth of the events arrives late, and the report reads the days of its window only."""
+    events = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
+    late = F.col("event_id") % 10 == 0
+    root = work_dir(spark, f"rollup-{uuid.uuid4().hex[:8]}")
+    DailyRollup(root, lambda days: B.daily_counts(events.where(~late & B.on_days("ts", days)))).refresh(spark, events.where(~late))
+    rollup = DailyRollup(root, lambda days: B.daily_counts(events.where(B.on_days("ts", days))))
+    rollup.refresh(spark, events.where(late))
+    daily = rollup.read(spark, RUN - _dt.timedelta(days=T.ROLLING_LONG_DAYS), RUN)
+    return Rp.kpi_comparison(daily, RUN, B.expected_series(spark)).select(*[c.strip() for c in CMP_COLS.split(",")])
+
+
 @query("kpi_anomalies", sql=f"WITH {COMPARE_SQL} SELECT {ANOM_COLS} FROM cmp")
 def kpi_anomalies(spark, d):
     return _anomalies(spark, d)
@@ -439,6 +456,32 @@ def status_combo_matrix(spark, d):
     return K.status_matrix(B.quotes(spark, d))
 
 
+_PERIOD = QRUN - _dt.timedelta(days=T.ROLLING_LONG_DAYS)
+_IN_PERIOD = f"quoted_on >= DATE '{_PERIOD}' AND quoted_on <= DATE '{QRUN}'"
+
+
+@query("status_combo_period", sql=f"""
+WITH {BASKET_SQL.replace("FROM quotes", f"FROM quotes WHERE {_IN_PERIOD}")}
+SELECT status, {", ".join(f"CAST(SUM(n) FILTER (WHERE combo = '{c}') AS BIGINT) AS {K.PIVOT_NAMES[c]}"
+                          for c in T.PRODUCT_COMBOS)}
+FROM baskets GROUP BY status""")
+def status_combo_period(spark, d):
+    """A15 for the report month: the period reaches the scan."""
+    return K.status_matrix(B.quotes(spark, d, _PERIOD, QRUN))
+
+
+@query("combo_volume_period", sql=f"""
+WITH held AS (SELECT account_id, quoted_on >= DATE '{_PERIOD}' AS now, list_sort(list(DISTINCT product)) AS p FROM quotes
+              WHERE quoted_on > DATE '{_PERIOD}' - INTERVAL {T.ROLLING_LONG_DAYS + 2} DAY AND quoted_on <= DATE '{QRUN}' GROUP BY 1, 2),
+names AS (SELECT unnest(['Crime', 'EPL', 'Fid', 'C+E', 'C+F', 'E+F', 'All 3']) AS combo,
+  unnest([['Crime'], ['EPL'], ['Fiduciary'], ['Crime', 'EPL'], ['Crime', 'Fiduciary'], ['EPL', 'Fiduciary'], ['Crime', 'EPL', 'Fiduciary']]) AS p),
+vol AS (SELECT combo, COUNT(*) FILTER (WHERE now) AS accounts, COUNT(*) FILTER (WHERE NOT now) AS prev_accounts FROM names LEFT JOIN held USING (p) GROUP BY combo)
+SELECT combo, accounts, prev_accounts, accounts - prev_accounts AS delta_abs, round({var_sql('accounts', 'prev_accounts')}, 1) AS delta_pct FROM vol""")
+def combo_volume_period(spark, d):
+    """K5 for the report month against the days before it."""
+    return Rp.combo_volume_period(B.quotes(spark, d, _PERIOD - (QRUN - _PERIOD) - _dt.timedelta(days=1), QRUN), _PERIOD, QRUN)
+
+
 @query("aging_alert", sql=f"""
 SELECT quote_id, account_id, product, CAST(date_diff('day', quoted_on, DATE '{QRUN}') AS INTEGER) AS days_waiting
 FROM quotes WHERE status = 'Waiting Pickup' AND quoted_on <= DATE '{QRUN}'

@@ -100,6 +100,16 @@ def impact_blast_radius(spark, d):
     return L.blast_radius(_edges(spark, d), _health(spark, d))
 
 
+@query("impact_sizes", sql="""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM flat),
+fail AS (SELECT object AS node FROM node_health WHERE failing_tests > 0),
+t(root, node) AS (SELECT node, node FROM fail UNION SELECT t.root, e.dst FROM t JOIN e ON e.src = t.node)
+SELECT root, COUNT(*) - 1 AS reach, TRUE AS exact FROM t GROUP BY root""")
+def impact_sizes(spark, d):
+    """L6's overview: every failing node reaches fewer nodes here than a sketch holds, so the sizes are exact."""
+    return L.impact_sizes(_edges(spark, d), _health(spark, d))
+
+
 @query("latest_dq_result", sql="SELECT * FROM latest_dq")
 def latest_dq_result(spark, d):
     return L.latest_dq(B.dq_results(spark, d))

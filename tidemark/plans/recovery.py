@@ -31,7 +31,7 @@ from ..functions.scalar import date_int_literal, fn_error_text, fn_reopen_status
 from ..operators.claims import (KEY3, apply_updates, assert_unique, latest_txn_or_null, queue_claimants,
                                 to_history, txn_summary)
 from ..operators.common import dense_surrogate, sparse_surrogate
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, staged_table
 from ..sources import bindings
 from ..sources.bucketed import BucketedTable, Manifest
 from ..sources.sinks import last_published, publish, published_history, published_runs, write_history
@@ -80,10 +80,11 @@ def change_candidates(t: ClaimTables, run_date: _dt.date, distinct: bool = True,
     """Queue claimants (those that ``where`` admits) with their transaction summary and both branch predicates.
 
     The claimants are staged, as both their keys and their rows are needed: the transaction log is reduced to the
-    candidates' keys (semi join) before it is aggregated, so a daily queue moves its own transactions and not the whole log.
+    candidates' keys (semi join) before it is aggregated, so a daily queue moves its own transactions and not the whole log.  The staged
+    table's size is known, so keys of a daily queue are broadcast; beyond the threshold, a log in buckets of key3 isn't moved either.
     ``latest=False`` leaves the closing transaction out (a reopening needs the newest date only)."""
     base = queue_claimants(t.queue, t.xref, t.claimant, distinct=distinct)
-    base = reliable_checkpoint(base if where is None else base.where(where))
+    base = staged_table(base if where is None else base.where(where), "recovery-candidates")
     j = base.join(txn_summary(t.stage, base.select(*KEY3).distinct(), latest=latest), KEY3, "left")
     reopen = any_open() & needs_reopen()
     tag = F.when(reopen, F.lit(T.UPDATE_REOPEN))

@@ -135,3 +135,18 @@ def combo_volume_trend(quotes: DataFrame) -> DataFrame:
     return (vol.withColumn("prev_accounts", prev)
                .withColumn("delta_abs", S.delta_abs("accounts", "prev_accounts"))
                .withColumn("delta_pct", S.variance_pct("accounts", "prev_accounts")))
+
+
+def combo_volume_period(quotes: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
+    """K5 for one period: accounts per product combination from ``start`` to ``end``, and the change against the period of
+    as many days right before it, in one pass over the quotes of both.  All seven combinations are shown, 0 where a period has none."""
+    before = start - (end - start) - _dt.timedelta(days=1)
+    rows = quotes.where(F.col("quoted_on").between(before, end))
+    held = rows.groupBy("account_id", (F.col("quoted_on") >= F.lit(start)).alias("now")).agg(F.bit_or(K.product_mask(F.col("product"))).alias("mask"))
+    vol = held.groupBy(K.combo_label(F.col("mask")).alias("combo")).agg(F.count_if("now").alias("now"), F.count_if(~F.col("now")).alias("before"))
+    grid = quotes.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in T.PRODUCT_COMBOS])).alias("combo"))
+    zero = F.lit(0).cast("bigint")
+    return (grid.join(vol, "combo", "left")
+            .select("combo", F.coalesce("now", zero).alias("accounts"), F.coalesce("before", zero).alias("prev_accounts"))
+            .withColumn("delta_abs", S.delta_abs("accounts", "prev_accounts"))
+            .withColumn("delta_pct", S.variance_pct("accounts", "prev_accounts")))

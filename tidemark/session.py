@@ -68,3 +68,14 @@ def reliable_checkpoint(df):
     DataFrame: its lineage is cut and it survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged_table(df, name: str):
+    """Write ``df`` as Parquet next to the shared checkpoint folder and read it back: lineage is cut as by a checkpoint, and
+    Spark knows the table's size, so that it can broadcast a small one instead of shuffling what it meets."""
+    import uuid
+
+    spark = df.sparkSession
+    path = work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

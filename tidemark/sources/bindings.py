@@ -177,8 +177,20 @@ def daily_metric(spark: SparkSession, sf_dir: str, start: _dt.date | None = None
     ``start`` / ``end`` (inclusive days) filter the raw timestamps before the scan."""
     ev = read_table(spark, sf_dir, "events", "ts", "user_id", "event_type")
     rng = _day_range("ts", start, end)
-    if rng is not None:
-        ev = ev.where(rng)
+    return daily_counts(ev if rng is None else ev.where(rng))
+
+
+def on_days(col: str, days: list[_dt.date]) -> Column:
+    """Whether a raw timestamp lies on one of the days, as one range for each stretch of days, so that the scan can skip the rest."""
+    cond, days = F.lit(False), sorted(set(days))
+    while days:
+        n = next((i for i in range(1, len(days)) if days[i] - days[i - 1] > _dt.timedelta(days=1)), len(days))
+        cond, days = cond | _day_range(col, days[0], days[n - 1]), days[n:]
+    return cond
+
+
+def daily_counts(ev: DataFrame) -> DataFrame:
+    """Raw events (ts, user_id, event_type) counted per (day, product, event type)."""
     k = F.col("user_id") % 3
     product = F.when(k == 0, F.lit("Crime")).when(k == 1, F.lit("EPL")).otherwise(F.lit("Fiduciary"))
     return (ev.groupBy(F.to_date("ts").alias("report_date"), product.alias("product"), F.col("event_type").alias("metric"))

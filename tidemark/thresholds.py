@@ -137,3 +137,6 @@ MIN_EMPLOYEES = 1
 # Report run dates of the test fixtures.
 CLAIMS_RUN_DATE = _dt.date(2001, 8, 1)
 EVENTS_RUN_DATE = _dt.date(2024, 1, 30)
+
+#: Hashes kept for each node to estimate how many nodes it leads to (relative error about 1 / sqrt).
+REACH_SKETCH_SIZE = 256
