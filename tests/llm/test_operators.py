@@ -73,6 +73,31 @@ def test_token_store(spark, docs, rows):
     want = collections.Counter((k, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in ids)
     assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
     assert token_store.read_documents(token_store.write_store(K.empty(spark), tokenizer())).count() == 0
+    for key in (0, 9, 20, 85):
+        assert sorted(r["ids"] for r in token_store.read_document(store, key).collect()) == sorted(x for k, x in ids if k == key)
+    assert token_store.read_document(store, 10**6).count() == 0
+
+
+def test_encoder_memory_is_bounded_and_cased_tokenizers_are_refused():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own, whole = token_store.ChunkEncoder(tokenizer(), "<u2", limit_bytes=2000), Tokenizer.from_file(tokenizer())
+    for k in range(40):
+        text = f"{'x' * 900}{k} word{k} Übung ǆ ß"
+        assert np.frombuffer(own.encode([text.encode()])[0], "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert own.held < 4000
+    with pytest.raises(ValueError, match="runs"):
+        token_store.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), "<u2")
+
+
+def test_every_text_of_a_table_is_encoded_like_the_whole(spark):
+    from tokenizers import Tokenizer
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    own, whole = token_store.ChunkEncoder(tokenizer(), "<u2"), Tokenizer.from_file(tokenizer())
+    for r, got in zip(rows, own.encode([r["text"].encode() for r in rows]), strict=True):
+        assert np.frombuffer(got, "<u2").tolist() == whole.encode(r["text"], add_special_tokens=False).ids
 
 
 # --- op2

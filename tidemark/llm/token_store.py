@@ -21,12 +21,13 @@ one segment.
 
 from __future__ import annotations
 
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,44 +92,118 @@ class Boundaries:
 
 def _plain(run: bytes) -> tuple[bytes, bytes]:
     """A run as (lower-case run, closing mark): the tokenizer lower-cases, and a mark after an ASCII letter or digit is a token of its own."""
-    mark = run[-1:] if len(run) > 1 and run[-1:] in (b".", b",") and run[-2:-1].isalnum() else b""
-    word = run[:-1] if mark else run
-    return word if b"<" in word else word.lower(), mark
+    mark = b""
+    if run[-1] in b".," and len(run) > 1 and run[-2:-1].isalnum():
+        run, mark = run[:-1], run[-1:]
+    return run if b"<" in run else run.lower(), mark
+
+
+#: Runs that are one word of the tokenizer whatever stands around them: letters that normalisation leaves as they are.
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: A text on which runs must give the ids of the whole.
+_PROBE = "The quick BROWN fox. 12.5 a-b, it's «Él» x,\ty\n z. <|tag|> naïve"
+
+
+class Codes:
+    """Ids of numbered words in one array."""
+
+    def __init__(self, dtype: str):
+        self.number: dict[bytes, int] = {}
+        self.parts, self.sizes = [np.empty(0, dtype)], [np.empty(0, np.int64)]
+
+    def add(self, words: list[bytes], sizes: list[int] | np.ndarray, ids: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        self.parts.append(ids)
+        self.sizes.append(np.asarray(sizes, np.int64))
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids each word has, all their ids)."""
+        self.parts, self.sizes = [np.concatenate(self.parts)], [np.concatenate(self.sizes)]
+        starts = np.cumsum(self.sizes[0]) - self.sizes[0]
+        sizes = self.sizes[0][numbers]
+        ends = np.cumsum(sizes)
+        at = np.repeat(starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return sizes, self.parts[0][at]
 
 
 class ChunkEncoder:
     """Ids of a text by the tokenizer, remembered for each run of characters between ASCII white space.
 
-    Only for tokenizers that drop white space, never join across it, and lower-case; ``tests/llm`` holds it against whole texts.
-    The memory is bounded: at ``limit`` runs it starts anew.
+    Only for tokenizers that drop white space, never join across it, and lower-case: a probe text is compared, and ``tests/llm`` holds whole
+    texts against it.  Texts are cut into runs and numbered by Arrow; new runs of plain letters are encoded many at a time, which the
+    mark of a word's last token takes apart again.  The memory is bounded: at ``limit`` runs or ``limit_bytes`` bytes of them it starts anew.
     """
 
-    def __init__(self, path: str, dtype: str, limit: int = 400_000):
+    def __init__(self, path: str, dtype: str, limit: int = 400_000, limit_bytes: int = 64 << 20):
         from tokenizers import Tokenizer
 
-        self.tok, self.code, self.limit = Tokenizer.from_file(path), "H" if dtype == "<u2" else "I", limit
-        self.known: dict[bytes, bytes] = {}
-        self.plain: dict[bytes, bytes] = {}
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        for memory in (self.known, self.plain):
-            if len(memory) >= self.limit:
-                memory.clear()
-        new = {w: _plain(w) for words in texts for w in words if w not in self.known}
-        bare = list({p for pair in new.values() for p in pair if p not in self.plain})
-        for at in range(0, len(bare), 4096):
-            some = bare[at:at + 4096]
-            codes = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for w, e in zip(some, codes, strict=True):
-                self.plain[w] = array(self.code, e.ids).tobytes()
-        for w, (word, mark) in new.items():
-            self.known[w] = self.plain[word] + self.plain[mark] if mark else self.plain[word]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self.learn(split)
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        self.tok, self.dtype, self.limit, self.limit_bytes = Tokenizer.from_file(path), dtype, limit, limit_bytes
+        self.last = np.zeros(self.tok.get_vocab_size(), bool)
+        self.last[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+        self._forget()
+        whole = self.tok.encode(_PROBE, add_special_tokens=False).ids
+        if np.frombuffer(self.encode([_PROBE.encode()])[0], dtype).tolist() != whole:
+            raise ValueError("the tokenizer doesn't treat runs between white space on their own, in lower case")
+
+    def _forget(self) -> None:
+        self.known, self.plain, self.held = Codes(self.dtype), Codes(self.dtype), 0
+        self.plain.add([b""], [0], np.empty(0, self.dtype))
+
+    def _encode_plain(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        letters = [bool(_LETTERS.fullmatch(t)) for t in texts] if self.last.any() else [False] * len(texts)
+        simple = [k for k, x in enumerate(letters) if x]
+        for at in range(0, len(simple), 512):
+            part = simple[at:at + 512]
+            ids = np.array(self.tok.encode_batch_fast([" ".join([texts[k] for k in part])], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                self.plain.add([words[k] for k in part], np.diff(ends, prepend=0), ids)
+            else:
+                letters = [x and k not in part for k, x in enumerate(letters)]
+        rest = [k for k, x in enumerate(letters) if not x]
+        for at in range(0, len(rest), 4096):
+            part = rest[at:at + 4096]
+            ids = [e.ids for e in self.tok.encode_batch_fast([texts[k] for k in part], add_special_tokens=False)]
+            self.plain.add([words[k] for k in part], [len(x) for x in ids], np.array([i for x in ids for i in x], self.dtype))
+
+    def _learn(self, words: list[bytes]) -> None:
+        pairs = [x for w in words for x in _plain(w)]
+        self._encode_plain([w for w in dict.fromkeys(pairs) if w not in self.plain.number])
+        sizes, ids = self.plain.gather(self.plain.numbers(pairs))
+        self.known.add(words, sizes.reshape(-1, 2).sum(axis=1), ids)
+        self.held += sum(map(len, words))
+
+    def encode(self, texts: list[bytes] | pa.Array) -> list[bytes]:
+        if len(self.known.number) >= self.limit or self.held >= self.limit_bytes:
+            self._forget()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        runs = pc.ascii_split_whitespace(texts.view(pa.string()))  # bytes are only looked at for white space
+        coded = runs.flatten().view(pa.binary()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w and w not in self.known.number]
+        if b"" in words and b"" not in self.known.number:
+            self.known.add([b""], [0], np.empty(0, self.dtype))
+        if new:
+            self._learn(new)
+        sizes, ids = self.known.gather(self.known.numbers(words)[coded.indices.to_numpy()])
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        bounds = ends[runs.offsets.to_numpy() - runs.offsets[0].as_py()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def _slices(texts: pa.Array, size: int = 8 << 20, rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Stretches of at most ``rows`` texts that end once they hold ``size`` bytes."""
+    length = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(length.tolist(), 1):
+        held += n
+        if held >= size or i - start >= rows or i == len(length):
+            yield start, i
+            start, held = i, 0
 
 
 def write_store(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", end_id: int = 1, vocabulary: int = 49_408,
@@ -159,9 +234,9 @@ def write_store(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id:
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                cols = batch.slice(at, 256)
-                for name, ids in zip(cols.column(0).to_pylist(), coder.encode(cols.column(1).to_pylist()), strict=True):
+            for at, to in _slices(batch.column(1)):
+                cols = batch.slice(at, to - at)
+                for name, ids in zip(cols.column(0).to_pylist(), coder.encode(cols.column(1)), strict=True):
                     n = len(ids) // width + 1
                     if held and size + n > segment_ids:
                         yield segment()
@@ -205,3 +280,20 @@ def read_documents(store: DataFrame) -> DataFrame:
     rows = mapped(store, read, "part int, doc_id long, in_part long, n_tokens long, ids_crc32 long", rows=1)
     return (rows.join(parts(store).select("part", F.col("start").alias("part_at")), "part")
             .select("doc_id", (F.col("part_at") + F.col("in_part")).alias("start"), "n_tokens", "ids_crc32"))
+
+
+def read_document(store: DataFrame, doc_id: int) -> DataFrame:
+    """(doc_id, ids) of one document (a row for each of its copies): its segment's boundaries are read by ``select``, not as a whole."""
+    def read(cols: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {"doc_id": [], "ids": []}
+        for k, names in enumerate(cols["doc_id"]):
+            ends = Boundaries(cols["n_docs"][k], cols["low_bits"][k], cols["low"][k], cols["high"][k], cols["samples"][k])
+            width = cols["width"][k]
+            for i, name in enumerate(names):
+                if name == doc_id:
+                    a, b = (ends.select(i - 1) if i else 0) * width, ends.select(i) * width
+                    out["doc_id"].append(name)
+                    out["ids"].append(np.frombuffer(cols["ids"][k][a:b], f"<u{width}").astype(np.int64).tolist())
+        return out
+
+    return mapped(store.where(F.array_contains("doc_id", F.lit(doc_id).cast("long"))), read, "doc_id long, ids array<long>", rows=1)
