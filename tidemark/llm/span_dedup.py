@@ -153,7 +153,8 @@ def removed_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
         return {"w": np.concatenate(hashes), "no": np.repeat(np.array(cols["no"], np.int64), n), "doc": np.repeat(np.array(cols["doc"], np.int64), n),
                 "at": np.concatenate(places)}
 
-    every = mapped(box.select("no", "doc", "text", "anchors"), windows, "w long, no long, doc long, at int", rows=64)
+    # Written once, as both its first documents and its rows are needed.
+    every = stage(mapped(box.select("no", "doc", "text", "anchors"), windows, "w long, no long, doc long, at int", rows=64), "spans-windows")
     # Written, so that the join below reads it through an exchange of its own and AQE can split a hot window's rows.
     first = stage(every.groupBy("w").agg(F.min("doc").alias("first"), F.max("doc").alias("hi")).where("first < hi").select("w", "first"), "spans-first")
     cited = stage(every.select("w", "no", "at").join(first, "w").groupBy("no").agg(F.collect_list(F.struct("first", "at")).alias("cited")), "spans-cited")
