@@ -124,6 +124,23 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert pii_surrogates.pseudonymise(K.empty(spark), key).count() == 0
 
 
+def test_surrogates_replace_columns_of_their_names(spark, tmp_path):
+    out = pii_surrogates.pseudonymise(K.frame(spark), b"k")
+    assert out.columns.count("entities") == 1 and set(out.columns) == {*K.frame(spark).columns, "n_entities"}
+    out.write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(K.odd_rows())
+
+
+def test_entropy_and_repetition_are_both_met_or_refused(spark):
+    sources = spark.createDataFrame([(1, 1000, 3), (2, 10, 2), (3, 200, 2)], "skey long, tokens long, docs long")
+    alone = mixing.exponent(sources, entropy_share=0.6)
+    assert mixing.exponent(sources, entropy_share=0.6, repetition=100.0) == alone
+    with pytest.raises(ValueError, match="over repetition"):
+        mixing.exponent(sources, entropy_share=0.999, repetition=2.0)
+    with pytest.raises(ValueError, match="over repetition"):
+        mixing.exponent(sources, entropy_share=0.6, repetition=1.5, budget=10_000)
+
+
 def test_surrogates_of_different_entities_differ(spark, monkeypatch):
     names = [f"Mr. Adam {a}{b}" for a in ("Bo", "Ce", "Du", "Fa") for b in ("ren", "lin", "mar", "tos", "wick")]
     df = spark.createDataFrame([(i, f"{n} met {names[i - 1]}") for i, n in enumerate(names)], "doc_id long, text string")

@@ -43,7 +43,8 @@ def exponent(sources: DataFrame, *, entropy_share: float | None = None, repetiti
              budget: int | None = None, digits: int = 9) -> float:
     """The exponent nearest 0 (the flattest mixture) that meets the target; over 1 where the sources' own shares don't. An error if none does.
 
-    ``entropy_share``: the entropy is this share of the greatest possible.  ``repetition``: no source passes more often.
+    ``entropy_share``: the entropy is this share of the greatest possible.  ``repetition``: no source passes more often.  With both, the
+    entropy settles the exponent, and it is an error if the mixture breaks the repetition limit.
     """
     live = sources.where("tokens > 0")
     lo, hi = 0.0, 1.0
@@ -84,6 +85,12 @@ def exponent(sources: DataFrame, *, entropy_share: float | None = None, repetiti
         meets = meet(probes)
         first = meets.index(True) if True in meets else PROBES
         lo, hi = probes[first - 1] if first else lo, probes[first] if first < PROBES else hi
+    if entropy_share is not None and repetition is not None:
+        z = moments([hi])[0][0]
+        # without a budget the source passed least often passes once
+        often = ((most / least) ** abs(1 - hi) if budget is None else budget * max((t / total) ** hi / z / t for t in (least, most)))
+        if often > repetition * (1 + 1e-9):
+            raise ValueError(f"the mixture of entropy_share {entropy_share} passes a source {often:.3g} times, over repetition {repetition}")
     return hi
 
 

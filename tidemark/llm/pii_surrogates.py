@@ -400,9 +400,12 @@ def _settle(found: DataFrame, key: bytes) -> DataFrame:
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """The documents in their own columns with surrogates in ``text``; then ``n_entities`` and ``entities`` (start, end in the original, kind, surrogate)."""
+    """The documents in their own columns with surrogates in ``text``; then ``n_entities`` and ``entities`` (start, end in the original, kind, surrogate).
+
+    Columns of the documents with these two names are left out, as the result's stand in their place."""
     if not key:
         raise ValueError("a key is needed")
+    docs = docs.drop("n_entities", "entities")
     place = f"c{docs.columns.index(text)}"
 
     def entities(cols: dict[str, list]) -> dict[str, list]:
