@@ -21,9 +21,13 @@ _JOIN = r"(?:INNER|(?:LEFT|RIGHT|FULL)(?:\s+(?:OUTER|SEMI|ANTI))?|SEMI|ANTI|ASOF
 _CROSS = r"CROSS\s+JOIN\b|NATURAL\s+(?:(?:INNER|(?:LEFT|RIGHT|FULL)(?:\s+OUTER)?)\s+)?JOIN\b"
 _STOP = (r"(?:GROUP|ORDER|SORT|CLUSTER|DISTRIBUTE|CONNECT)\s+BY\b|START\s+WITH\b|LATERAL\s+VIEW\b|HAVING\b|WINDOW\b|QUALIFY\b|LIMIT\b|OFFSET\b|FETCH\b|UNION\b"
          r"|INTERSECT\b|EXCEPT\b|MINUS\b|RETURNING\b|WHEN\b|SET\b|WHERE\b|FOR\s+UPDATE\b")
-#: Clause words count at the start of a word only; a dotted name is one token, so ``t.order`` is no clause.
+_WORD = r"(?:CASE|END|ON|USING|MERGE)\b"
+_CLAUSE = rf"(?:{_CROSS}|{_JOIN}|{_STOP}|{_WORD})"
+#: A run without any clause word, bracket or quote is one token (a possessive loop, which Java runs without recursion); a dotted name is one word,
+#: so ``t.order`` is no clause.
+_PLAIN = rf"(?:(?!{_CLAUSE}|\$\$)[\w$.]+|\s+|[^\w\s'\"`(),;$.\-/]|-(?!-)|/(?!\*))++"
 TOKEN = (r"(?is)--[^\n]*|/\*.*?(?:\*/|$)|\$\$.*?(?:\$\$|$)|'[^']*(?:'|$)|\"[^\"]*(?:\"|$)|`[^`]*(?:`|$)"
-         rf"|(?<![\w.$])(?:{_CROSS}|{_JOIN}|{_STOP})|[\w$.]+|\s+|.")
+         rf"|{_CLAUSE}|{_PLAIN}|.")
 
 _FRAME = "struct<open: string, kind: string, start: int, joins: int>"
 _FACT = "struct<kind: string, first: int, last: int>"
@@ -36,9 +40,9 @@ def _frame(open_: Column, kind: Column, start: Column, joins: Column) -> Column:
 def _mark(token: Column, i: Column) -> Column:
     """What a token does, at its place; null for the tokens that do nothing."""
     word = F.upper(token)
-    what = (F.when(token.isin("(", ")", ",", ";"), token)
-            .when(word.isin("CASE", "END", "ON", "USING", "WHERE", "MERGE"), F.lower(token))
-            .when(word.rlike(rf"^(?:{_CROSS}|{_JOIN}|{_STOP})$"), F.when(word.rlike(rf"^(?:{_JOIN})$"), F.lit("join")).otherwise(F.lit("stop"))))
+    clause = (F.when(word.isin("CASE", "END", "ON", "USING", "WHERE", "MERGE"), F.lower(token))
+              .when(word.rlike(rf"^(?:{_JOIN})$"), F.lit("join")).otherwise(F.lit("stop")))
+    what = F.when(token.isin("(", ")", ",", ";"), token).when(token.rlike(rf"(?i)^{_CLAUSE}$"), clause)
     return F.struct(what.alias("what"), i.cast("int").alias("at"))
 
 
@@ -85,7 +89,8 @@ def _step(state: Column, mark: Column) -> Column:
         .when((what == "end") & in_case, F.array(fact(top, at)))
         .when(~in_case & ends, closed(top, at - 1))
         .otherwise(none))
-    return F.struct(new_stack.alias("stack"), F.when(F.size(new_facts) > 0, F.concat(facts, new_facts)).otherwise(facts).alias("facts"))
+    may_end = what.isin(";", ")", "end") | (~in_case & ends)
+    return F.struct(new_stack.alias("stack"), F.when(may_end, F.concat(facts, new_facts)).otherwise(facts).alias("facts"))
 
 
 def clause_facts(text: Column) -> Column:
