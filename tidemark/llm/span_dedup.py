@@ -125,8 +125,9 @@ def removed_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
     texts = docs.select(F.xxhash64(docs[doc_id], docs[text]).alias("rid"), docs[doc_id].alias("doc_id"),
                         F.coalesce(docs[doc_id].cast("long"), least).alias("doc"), text_bytes(docs[text]).alias("text"))
 
+    known = WordHashes()  # each task has its own copy, for all its rows
+
     def sign(cols: dict[str, list]) -> dict[str, list]:
-        known = WordHashes()
         out: dict[str, list] = {"rid": cols["rid"], "doc_id": cols["doc_id"], "doc": cols["doc"], "n_words": [], "sha": [], "anchors": []}
         for t in cols["text"]:
             words = t.split()
@@ -142,7 +143,6 @@ def removed_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
     box = stage(texts.drop("doc_id").join(own, "rid").dropDuplicates(["rid"]).withColumn("no", F.monotonically_increasing_id()), "spans-box")
 
     def windows(cols: dict[str, list]) -> dict[str, np.ndarray]:
-        known = WordHashes()
         hashes, places = [], []
         for t, live in zip(cols["text"], cols["anchors"], strict=True):
             h = known.of(t.split())
