@@ -141,6 +141,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok, self.dtype, self.limit, self.limit_bytes = Tokenizer.from_file(path), dtype, limit, limit_bytes
+        self.letters = self._letters_only(path)
         self.last = np.zeros(self.tok.get_vocab_size(), bool)
         self.last[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
         self._forget()
@@ -148,6 +149,17 @@ class ChunkEncoder:
         if np.frombuffer(self.encode([_PROBE.encode()])[0], dtype).tolist() != whole:
             raise ValueError("the tokenizer doesn't treat runs between white space on their own, in lower case")
 
+    def _letters_only(self, path: str):
+        """The tokenizer without its normalisation and its splitting rules, which change nothing in words of plain letters between blanks (or the
+        whole tokenizer, should it differ on some)."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        short = Tokenizer.from_file(path)
+        short.normalizer = normalizers.Sequence([])
+        short.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        probe = "the quick brown fox straße éléphant ñandú øre ça zzyzx ÿ"
+        return short if short.encode(probe, add_special_tokens=False).ids == self.tok.encode(probe, add_special_tokens=False).ids else self.tok
+
     def _forget(self) -> None:
         self.known, self.plain, self.held = Codes(self.dtype), Codes(self.dtype), 0
         self.plain.add([b""], [0], np.empty(0, self.dtype))
@@ -158,7 +170,7 @@ class ChunkEncoder:
         simple = [k for k, x in enumerate(letters) if x]
         for at in range(0, len(simple), 512):
             part = simple[at:at + 512]
-            ids = np.array(self.tok.encode_batch_fast([" ".join([texts[k] for k in part])], add_special_tokens=False)[0].ids, self.dtype)
+            ids = np.array(self.letters.encode_batch_fast([" ".join([texts[k] for k in part])], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):
                 self.plain.add([words[k] for k in part], np.diff(ends, prepend=0), ids)
