@@ -83,8 +83,8 @@ VIEWS: dict[str, str] = {
     # One row a queue claimant: how many of its three statuses are closed or open (a missing one is neither), and its transactions.
     "decided": """
   SELECT qc.*, closing.transaction_date AS closed_on, newest.max_transaction_date AS last_on,
-    len(list_filter([salvage_status, subrogation_status, tp_deductible_status], x -> x IN ('C', 'F', 'W', 'N'))) AS n_closed,
-    len(list_filter([salvage_status, subrogation_status, tp_deductible_status], x -> x NOT IN ('C', 'F', 'W', 'N'))) AS n_open
+    len(list_filter([salvage_status, subrogation_status, tp_deductible_status], lambda x: x IN ('C', 'F', 'W', 'N'))) AS n_closed,
+    len(list_filter([salvage_status, subrogation_status, tp_deductible_status], lambda x: x NOT IN ('C', 'F', 'W', 'N'))) AS n_open
   FROM qc
   LEFT JOIN (SELECT business_unit AS originating_business_unit, * EXCLUDE (business_unit) FROM csc_latest) closing
     USING (originating_business_unit, claim_number, claimant_number)
