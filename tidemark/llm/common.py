@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ from tidemark.session import checkpoint_dir
 WHITE = b" \t\n\r\x0b\x0c"
 #: Scratch tables written so far, in order.
 STAGED: list[str] = []
+#: The folder behind each frame that ``stage`` returned.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def ship(module: str) -> None:
@@ -45,7 +48,15 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     df.write.parquet(path)
     if not keep:
         STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables behind frames from ``stage`` that nothing unwritten reads any more: what was made of them is written itself."""
+    for df in frames:
+        release(df.sparkSession, [_FOLDERS.pop(df)])
 
 
 def release(spark: SparkSession, paths: list[str]) -> None:

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, gram_hashes, grouped, mapped, ship, signed, stage, text_bytes
+from .common import WordHashes, discard, gram_hashes, grouped, mapped, ship, signed, stage, text_bytes
 
 ship(__name__)
 
@@ -158,6 +158,7 @@ def removed_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
     # Written, so that the join below reads it through an exchange of its own and AQE can split a hot window's rows.
     first = stage(every.groupBy("w").agg(F.min("doc").alias("first"), F.max("doc").alias("hi")).where("first < hi").select("w", "first"), "spans-first")
     cited = stage(every.select("w", "no", "at").join(first, "w").groupBy("no").agg(F.collect_list(F.struct("first", "at")).alias("cited")), "spans-cited")
+    discard(every, first)
 
     def passages(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"ref": [], "kind": [], "no": [], "at": [], "words": [], "n": []}
@@ -177,6 +178,7 @@ def removed_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *
         return out
 
     rows = stage(mapped(box.select("no", "doc", "text").join(cited, "no"), passages, "ref long, kind int, no long, at int, words binary, n int", rows=64), "spans-passages")
+    discard(cited)
     salts = (rows.where("kind = 1").groupBy("ref").agg(F.sum("n").alias("total"))
              .select("ref", F.ceil(F.col("total") / task_words).cast("long").alias("salts")))
     rows = rows.join(salts, "ref")
