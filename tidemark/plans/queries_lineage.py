@@ -5,8 +5,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import functions as F
+
 from .. import thresholds as T
 from ..operators import lineage as L
+from ..operators import reach_index as R
 from ..sources import bindings as B
 from ..session import reliable_checkpoint
 from .registry import query
@@ -90,6 +93,23 @@ def lineage_column_path(spark, d):
     return L.paths_through(reliable_checkpoint(L.column_edges(_flat(spark, d))), PATH_OBJECT, PATH_COLUMN)
 
 
+@query("lineage_path_sizes", sql="""
+WITH RECURSIVE ce AS (SELECT DISTINCT src || '.' || src_col AS a, src, dst || '.' || dst_col AS b, dst FROM flat),
+fail AS (SELECT object FROM node_health WHERE failing_tests > 0),
+clicks AS (SELECT a AS root FROM ce WHERE src IN (SELECT object FROM fail) UNION SELECT b FROM ce WHERE dst IN (SELECT object FROM fail)),
+up(root, node) AS (SELECT root, root FROM clicks UNION SELECT up.root, ce.a FROM up JOIN ce ON ce.b = up.node),
+down(root, node) AS (SELECT root, root FROM clicks UNION SELECT down.root, ce.b FROM down JOIN ce ON ce.a = down.node)
+SELECT root, COUNT(*) AS edges FROM (SELECT root, a, b FROM down JOIN ce ON ce.a = down.node
+                                     UNION SELECT root, a, b FROM up JOIN ce ON ce.b = up.node) GROUP BY root""")
+def lineage_path_sizes(spark, d):
+    """L5 for every column of the failing objects, from one reachability index: how many edges lie on paths through it."""
+    edges = reliable_checkpoint(L.column_edges(_flat(spark, d)))
+    columns = edges.select(F.col("src").alias("node"), F.col("src_col").alias("column")).union(edges.select("dst", "dst_col")).distinct()
+    clicks = columns.join(L.failing_nodes(_health(spark, d)), "node", "left_semi").withColumnRenamed("node", "object")
+    found = R.paths(R.build(edges), clicks)
+    return found.groupBy(F.concat_ws(".", "object", "column").alias("root")).agg(F.count(F.lit(1)).alias("edges"))
+
+
 @query("impact_blast_radius", sql="""
 WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM flat),
 fail AS (SELECT object AS node FROM node_health WHERE failing_tests > 0),
