@@ -27,13 +27,16 @@ _SCRATCH: list[str] = []
 
 
 def _stage(apply: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage's input is its predecessor's written result, so the predecessor's scratch tables can go when it begins."""
+    """A stage's input is its predecessor's written result, so the predecessor's scratch tables can go when it begins.
+
+    The last stage's tables stay: ``run`` returns its rows unwritten, and a later run mustn't take them away."""
     @functools.wraps(apply)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark, _SCRATCH)
         before = len(STAGED)
         out = apply(spark, docs, sf_dir)
-        _SCRATCH.extend(STAGED[before:])
+        if run_stage is not STAGES[-1][1]:
+            _SCRATCH.extend(STAGED[before:])
         return out
 
     return run_stage
