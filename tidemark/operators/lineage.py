@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from .. import thresholds as T
 from ..functions import scalar as S
 from ..functions.sqltext import clause_facts
-from ..session import checkpoint_dir, reliable_checkpoint
+from ..session import StagedRounds, checkpoint_dir, staged_table, reliable_checkpoint
 
-#: Hops of a trace that are written together.
-HOPS = 4
+#: Hops of a trace that are written together.  A hop's plan holds those of the hops before it several times over, each with joins that may be
+#: broadcast, so the driver holds a small multiple of one hop's joins only with one hop a job.
+HOPS = 1
 
 
 # --------------------------------------------------------------------------- flatten + edges (S3, L1, L2)
@@ -89,7 +90,7 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
     ``starts`` has columns ``root`` and ``node`` (usually equal).  Each hop:
     frontier ⋈ edges on node → new (root, node) pairs → anti join with the visited set.  A round writes
     ``HOPS`` hops with one reliable checkpoint; hops of a round share their exchanges.
-    Rows per hop = genuinely new pairs only, and the driver sees just each hop's row count.  Spark picks the joins by the sides' bytes.
+    Rows per hop = genuinely new pairs only, and the driver sees just each hop's row count.  The edges stay where they lie.
 
     The visited set is a list of tables, each at least twice the next: a round's table is merged
     with those not larger than twice its size.  So a chain of any length rewrites a row a
@@ -97,8 +98,11 @@ def trace_keyed(edges: DataFrame, starts: DataFrame, direction: str = "down",
     """
     checkpoint_dir(edges.sparkSession)
     a, b = ("src", "dst") if direction == "down" else ("dst", "src")
-    # The edge list is read by every round: materialise it once (reliable checkpoint).
-    e = reliable_checkpoint(edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct())
+    # The edge list is read by every round: materialise it once (reliable checkpoint), dealt by the node as a join wants it, so that no hop moves it.
+    # It is never broadcast: Spark knows no size of exploded rows, and what follows the graph in size must not pass the driver.
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = reliable_checkpoint(edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
+                            .repartition(parts, "node").sortWithinPartitions("node")).hint("merge")
     frontier = reliable_checkpoint(starts.select("root", "node").distinct().withColumn("depth", F.lit(0)))
     seen = [(frontier.count(), frontier)]
     depth = 0
@@ -150,12 +154,13 @@ def smallest_ancestors(edges: DataFrame) -> DataFrame:
     Labels travel along the edges; a round joins the edges with the labels that changed in the round before."""
     checkpoint_dir(edges.sparkSession)
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    labels = changed = reliable_checkpoint(nodes.select("node", F.col("node").alias("label")))
+    rounds = StagedRounds("labels")
+    labels = changed = rounds.next(nodes.select("node", F.col("node").alias("label")))
     while True:
-        told = (changed.join(edges.withColumnRenamed("src", "node"), "node")
+        told = (changed.join(edges.withColumnRenamed("src", "node").hint("merge"), "node")
                 .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("told")))
         obs = Observation()
-        labels = reliable_checkpoint(
+        labels = rounds.next(
             labels.join(told, "node", "left").select("node", F.least("label", "told").alias("label"),
                                                      F.coalesce(F.col("told") < F.col("label"), F.lit(False)).alias("less"))
             .observe(obs, F.count_if("less").alias("rows")))
@@ -356,7 +361,8 @@ def call_closure(qlog: DataFrame) -> DataFrame:
         obs = Observation()
         step = jumps[-1].withColumnRenamed("up", "mid").join(
             jumps[-1].select(F.col("query_id").alias("mid"), "up"), "mid").select("query_id", "up")
-        step = reliable_checkpoint(step.observe(obs, F.count(F.lit(1)).alias("rows")))
+        # staged, as Spark's estimate of a checkpoint's size would be squared each round (see StagedRounds); all jumps are read again below
+        step = staged_table(step.observe(obs, F.count(F.lit(1)).alias("rows")), "jumps")
         if obs.get["rows"] == 0:
             break
         jumps.append(step)
