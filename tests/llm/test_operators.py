@@ -91,6 +91,27 @@ def test_encoder_memory_is_bounded_and_cased_tokenizers_are_refused():
         token_store.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), "<u2")
 
 
+def test_remembered_words_take_little_and_stay_for_the_next_task():
+    import tracemalloc
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    own, n = token_store._kept_encoder(tokenizer(), "<u2"), 60_000
+    text = " ".join(f"{np.base_repr(i * 7919 + 10**7, 36).translate({48 + d: chr(97 + d) for d in range(10)})}{'.,-'[i % 3]}" for i in range(n)).encode()
+    tracemalloc.start()
+    try:
+        before, arrow = tracemalloc.get_traced_memory()[0], pa.total_allocated_bytes()
+        got = own.encode([text])
+        held, arrow = tracemalloc.get_traced_memory()[0] - before, pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert held + arrow < 120 * n
+    assert np.frombuffer(got[0], "<u2").tolist() == Tokenizer.from_file(tokenizer()).encode(text.decode(), add_special_tokens=False).ids
+    assert token_store._kept_encoder(tokenizer(), "<u2") is own and own.encode([text]) == got
+    assert token_store._kept_encoder(tokenizer(), "<u4") is not own and token_store._kept_encoder(tokenizer(), "<u2") is not own
+
+
 def test_every_text_of_a_table_is_encoded_like_the_whole(spark):
     from tokenizers import Tokenizer
 

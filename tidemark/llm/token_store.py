@@ -21,7 +21,8 @@ one segment.
 
 from __future__ import annotations
 
-import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -90,54 +91,65 @@ class Boundaries:
         return out
 
 
-def _plain(run: bytes) -> tuple[bytes, bytes]:
-    """A run as (lower-case run, closing mark): the tokenizer lower-cases, and a mark after an ASCII letter or digit is a token of its own."""
-    mark = b""
-    if run[-1] in b".," and len(run) > 1 and run[-2:-1].isalnum():
-        run, mark = run[:-1], run[-1:]
-    return run if b"<" in run else run.lower(), mark
+def _stems(runs: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Each run in lower case without its closing mark, and the mark (0, 1 or 2: none, full stop, comma): the tokenizer lower-cases, and a mark
+    after an ASCII letter or digit is a token of its own."""
+    at = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset:runs.offset + len(runs) + 1] if len(runs) else np.zeros(1, np.int32)
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)
+    long = np.flatnonzero(np.diff(at) > 1)
+    last, alnum = data[at[long + 1] - 1], _ALNUM[data[at[long + 1] - 2]]
+    mark = np.zeros(len(runs), np.int8)
+    mark[long] = np.where(alnum, (last == ord(".")) + 2 * (last == ord(",")), 0)
+    keep = np.ones(len(data), bool)
+    keep[at[1:][mark > 0] - 1] = False
+    offsets = at - np.concatenate(([0], np.cumsum(mark > 0))).astype(np.int32) - at[0]
+    stems = pa.Array.from_buffers(pa.string(), len(runs), [None, pa.py_buffer(offsets), pa.py_buffer(data[at[0]:at[-1]][keep[at[0]:at[-1]]])])
+    return pc.if_else(pc.match_substring(stems, "<"), stems, pc.ascii_lower(stems)), mark
 
 
+_ALNUM = np.array([bytes([i]).isalnum() for i in range(256)])
 #: Runs that are one word of the tokenizer whatever stands around them: letters that normalisation leaves as they are.
-_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+_LETTERS = "^[a-zß-öø-ÿ]+$"
 #: A text on which runs must give the ids of the whole.
 _PROBE = "The quick BROWN fox. 12.5 a-b, it's «Él» x,\ty\n z. <|tag|> naïve"
 
 
 class Codes:
-    """Ids of numbered words in one array."""
+    """Ids of numbered words: words, ends and ids in one array each, so a word takes a few bytes more than its own."""
 
     def __init__(self, dtype: str):
-        self.number: dict[bytes, int] = {}
-        self.parts, self.sizes = [np.empty(0, dtype)], [np.empty(0, np.int64)]
+        self.words, self.ends, self.ids = pa.array([], pa.string()), np.zeros(1, np.int64), np.empty(0, dtype)
 
-    def add(self, words: list[bytes], sizes: list[int] | np.ndarray, ids: np.ndarray) -> None:
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
-        self.parts.append(ids)
-        self.sizes.append(np.asarray(sizes, np.int64))
+    def add(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, ids))
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """-1 for those without a number."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(how many ids each word has, all their ids)."""
-        self.parts, self.sizes = [np.concatenate(self.parts)], [np.concatenate(self.sizes)]
-        starts = np.cumsum(self.sizes[0]) - self.sizes[0]
-        sizes = self.sizes[0][numbers]
-        ends = np.cumsum(sizes)
-        at = np.repeat(starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return sizes, self.parts[0][at]
+
+def _gather(ends: np.ndarray, ids: np.ndarray, numbers: np.ndarray, step: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(how many ids each numbered word has, all their ids); ``step`` words at a time, as the places take more memory than the ids."""
+    sizes = np.diff(ends)[numbers]
+    out = [ids[:0]]
+    for k in range(0, len(numbers), step):
+        n, starts = sizes[k:k + step], ends[numbers[k:k + step]]
+        to = np.cumsum(n)
+        out.append(ids[np.repeat(starts - (to - n), n) + np.arange(to[-1])])
+    return sizes, np.concatenate(out)
 
 
 class ChunkEncoder:
     """Ids of a text by the tokenizer, remembered for each run of characters between ASCII white space.
 
     Only for tokenizers that drop white space, never join across it, and lower-case: a probe text is compared, and ``tests/llm`` holds whole
-    texts against it.  Texts are cut into runs and numbered by Arrow; new runs of plain letters are encoded many at a time, which the
-    mark of a word's last token takes apart again.  The memory is bounded: at ``limit`` runs or ``limit_bytes`` bytes of them it starts anew.
+    texts against it.  Texts are cut into runs, and runs and their stems numbered, by Arrow; new stems of plain letters are encoded many at a time,
+    which the mark of a word's last token takes apart again.  The memory is bounded: at ``limit`` stems or ``limit_bytes`` bytes of them it starts anew.
     """
 
-    def __init__(self, path: str, dtype: str, limit: int = 400_000, limit_bytes: int = 64 << 20):
+    def __init__(self, path: str, dtype: str, limit: int = 800_000, limit_bytes: int = 32 << 20):
         from tokenizers import Tokenizer
 
         self.tok, self.dtype, self.limit, self.limit_bytes = Tokenizer.from_file(path), dtype, limit, limit_bytes
@@ -161,52 +173,71 @@ class ChunkEncoder:
         return short if short.encode(probe, add_special_tokens=False).ids == self.tok.encode(probe, add_special_tokens=False).ids else self.tok
 
     def _forget(self) -> None:
-        self.known, self.plain, self.held = Codes(self.dtype), Codes(self.dtype), 0
-        self.plain.add([b""], [0], np.empty(0, self.dtype))
-
-    def _encode_plain(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        letters = [bool(_LETTERS.fullmatch(t)) for t in texts] if self.last.any() else [False] * len(texts)
-        simple = [k for k, x in enumerate(letters) if x]
+        self.known, self.held = Codes(self.dtype), 0
+        self._learn(pa.array(["", ".", ","]))  # the numbers of _stems' marks
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """The numbers of new words."""
+        letters = pc.match_substring_regex(words, _LETTERS).to_numpy(zero_copy_only=False) & self.last.any()
+        order, sizes, found = [], [], []
+        simple = np.flatnonzero(letters)
         for at in range(0, len(simple), 512):
             part = simple[at:at + 512]
-            ids = np.array(self.letters.encode_batch_fast([" ".join([texts[k] for k in part])], add_special_tokens=False)[0].ids, self.dtype)
+            ids = np.array(self.letters.encode_batch_fast([" ".join(words.take(part).to_pylist())], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):
-                self.plain.add([words[k] for k in part], np.diff(ends, prepend=0), ids)
+                order.append(part)
+                sizes.append(np.diff(ends, prepend=0))
+                found.append(ids)
             else:
-                letters = [x and k not in part for k, x in enumerate(letters)]
-        rest = [k for k, x in enumerate(letters) if not x]
+                letters[part] = False
+        rest = np.flatnonzero(~letters)
         for at in range(0, len(rest), 4096):
             part = rest[at:at + 4096]
-            ids = [e.ids for e in self.tok.encode_batch_fast([texts[k] for k in part], add_special_tokens=False)]
-            self.plain.add([words[k] for k in part], [len(x) for x in ids], np.array([i for x in ids for i in x], self.dtype))
-
-    def _learn(self, words: list[bytes]) -> None:
-        pairs = [x for w in words for x in _plain(w)]
-        self._encode_plain([w for w in dict.fromkeys(pairs) if w not in self.plain.number])
-        sizes, ids = self.plain.gather(self.plain.numbers(pairs))
-        self.known.add(words, sizes.reshape(-1, 2).sum(axis=1), ids)
-        self.held += sum(map(len, words))
+            texts = [w.decode("utf-8", "replace") for w in words.take(part).view(pa.binary()).to_pylist()]
+            ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            order.append(part)
+            sizes.append(np.array([len(x) for x in ids], np.int64))
+            found.append(np.array([i for x in ids for i in x], self.dtype))
+        places, numbers = np.concatenate(order), np.empty(len(words), np.int64)
+        numbers[places] = np.arange(len(self.known.words), len(self.known.words) + len(words))
+        learnt = words.take(places)
+        self.known.add(learnt, np.concatenate(sizes), np.concatenate(found))
+        self.held += pc.sum(pc.binary_length(learnt)).as_py()
+        return numbers
 
     def encode(self, texts: list[bytes] | pa.Array) -> list[bytes]:
-        if len(self.known.number) >= self.limit or self.held >= self.limit_bytes:
+        if len(self.known.words) >= self.limit or self.held >= self.limit_bytes:
             self._forget()
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
         runs = pc.ascii_split_whitespace(texts.view(pa.string()))  # bytes are only looked at for white space
-        coded = runs.flatten().view(pa.binary()).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w and w not in self.known.number]
-        if b"" in words and b"" not in self.known.number:
-            self.known.add([b""], [0], np.empty(0, self.dtype))
-        if new:
-            self._learn(new)
-        sizes, ids = self.known.gather(self.known.numbers(words)[coded.indices.to_numpy()])
+        coded = runs.flatten().dictionary_encode()
+        stems, marks = _stems(coded.dictionary)
+        stems = stems.dictionary_encode()
+        numbers = self.known.numbers(stems.dictionary)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = self._learn(stems.dictionary.take(new))
+        pairs = np.stack((numbers[stems.indices.to_numpy()], marks), axis=1).reshape(-1)
+        sizes, ids = _gather(self.known.ends, self.known.ids, pairs)
+        ends = np.concatenate(([0], np.cumsum(sizes.reshape(-1, 2).sum(axis=1))))
+        sizes, ids = _gather(ends, ids, coded.indices.to_numpy())
         ends = np.concatenate(([0], np.cumsum(sizes)))
         bounds = ends[runs.offsets.to_numpy() - runs.offsets[0].as_py()].tolist()
         return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+def _kept_encoder(path: str, dtype: str) -> ChunkEncoder:
+    """The encoder of this Python worker (one at most), kept with its words for the tasks that follow: most words of a task come again in the next,
+    and loading the tokenizer takes a tenth of a task's time."""
+    kept = sys.modules.setdefault("_tidemark_kept_encoder", types.ModuleType("_tidemark_kept_encoder"))
+    if getattr(kept, "key", None) != (path, dtype):
+        kept.key, kept.encoder = None, None
+        kept.encoder = ChunkEncoder(path, dtype)
+        kept.key = (path, dtype)
+    return kept.encoder
+
+
 def _slices(texts: pa.Array, size: int = 8 << 20, rows: int = 4096) -> Iterator[tuple[int, int]]:
     """Stretches of at most ``rows`` texts that end once they hold ``size`` bytes."""
     length = pc.binary_length(texts).to_numpy(zero_copy_only=False)
@@ -233,7 +264,7 @@ def write_store(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder = ChunkEncoder(tokenizer, dtype)
+        coder = _kept_encoder(tokenizer, dtype)
         part, seg, before = TaskContext.get().partitionId(), 0, 0
         names: list = []
         held: list[bytes] = []
