@@ -46,6 +46,21 @@ def test_edges_of_a_trace_stay_where_they_lie(spark, monkeypatch):
     assert joins and all("strategy=merge" in j for j in joins)
 
 
+def test_sketches_write_what_is_new_below_failing_nodes_only(spark, monkeypatch):
+    written, right, asked, sketches = [], L.reliable_checkpoint, [], L.reach_sketches
+    monkeypatch.setattr(L, "reliable_checkpoint", lambda df: written.append(right(df)) or written[-1])
+    n = 24
+    chain = spark.range(n).select(F.concat(F.lit("T"), "id").alias("src"), F.concat(F.lit("T"), F.col("id") + 1).alias("dst"))
+    assert {(r["node"], r["reach"], r["exact"]) for r in L.reach_sizes(L.reach_sketches(chain)).collect()} == {(f"T{i}", n - i, True) for i in range(n + 1)}
+    hashes = sum(df.count() if "hash" in df.columns else df.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0] for df in written if {"hash", "hashes"} & {*df.columns})
+    assert hashes < 6 * n * (n + 1) // 2
+    monkeypatch.setattr(L, "reach_sketches", lambda edges, k: asked.append(edges) or sketches(edges, k))
+    health = spark.createDataFrame([("T21", 1), ("T22", 2), ("T24", 1), ("T5", 0), (None, 1), ("lonely", 3)], "object string, failing_tests long")
+    want = {("T21", 3, True), ("T22", 2, True), ("T24", 0, True), (None, 0, True), ("lonely", 0, True)}
+    assert {tuple(r) for r in L.impact_sizes(chain.unionByName(chain), health).collect()} == want
+    assert {r["src"] for r in asked[0].collect()} == {"T21", "T22", "T23"}
+
+
 def test_a_narrow_table_is_dealt_out_before_it_widens(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert B.access_log(spark, SF_SMALL).rdd.getNumPartitions() == B.query_text(spark, SF_SMALL).rdd.getNumPartitions() == n > 1

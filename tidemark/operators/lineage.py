@@ -229,22 +229,44 @@ def reach_sketches(edges: DataFrame, k: int = T.REACH_SKETCH_SIZE) -> DataFrame:
     Sketches travel against the edges: a round hands the hashes that were new in the last one to the nodes before, and each node keeps its ``k``
     smallest.  Keeping the smallest is idempotent, so cycles and shared paths need no care; no pair of nodes is ever made.  The
     limit by node is a WindowGroupLimit, so a node with very many successors is cut down before the shuffle.
+
+    What the nodes hold is one array a node (8 bytes a hash) in a list of tables, each at least twice the next (see ``trace_keyed``), so a round
+    writes its new hashes only and a hash is rewritten a logarithmic number of times.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    e = reliable_checkpoint(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
-    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
-    held = reliable_checkpoint(nodes.select("node", F.xxhash64("node").alias("hash"), F.lit(True).alias("new")))
+    e = reliable_checkpoint(edges.where(F.col("src") != F.col("dst")).select(F.col("dst").alias("node"), F.col("src").alias("before")).distinct())
+    new = reliable_checkpoint(e.select("node").union(e.select("before")).distinct().select("node", F.array(F.xxhash64("node")).alias("hashes")))
+    held, none = [(new.count(), new)], F.array().cast("array<bigint>")
     smallest = Window.partitionBy("node").orderBy("hash")
-    while True:
-        told = (held.where("new").withColumnRenamed("node", "dst").join(e, "dst").select(F.col("src").alias("node"), "hash").distinct()
-                .join(held.select("node", "hash"), ["node", "hash"], "left_anti").withColumn("new", F.lit(True)))
-        both = held.withColumn("new", F.lit(False)).unionByName(told)
+
+    def joined(column: str):
+        return F.flatten(F.collect_list(column)).alias(column)
+
+    while held[-1][0] > 0:
+        told = (new.join(e.hint("merge"), "node").select(F.col("before").alias("node"), F.explode("hashes").alias("hash")).distinct()
+                .withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= k).groupBy("node").agg(F.collect_list("hash").alias("told")))
+        # grouped, not joined: joins of the rounds' tables would square Spark's estimate of their size (see StagedRounds)
+        both = functools.reduce(DataFrame.unionByName, [t.select("node", "hashes", none.alias("told")) for _, t in held],
+                                told.select("node", none.alias("hashes"), "told")).groupBy("node").agg(joined("hashes"), joined("told"))
+        fresh = (both.where(F.size("told") > 0).withColumn("fresh", F.array_except("told", "hashes"))
+                 .withColumn("kept", F.slice(F.sort_array(F.concat("hashes", "fresh")), 1, k))
+                 .select("node", F.array_intersect("fresh", "kept").alias("hashes")).where(F.size("hashes") > 0))
         obs = Observation()
-        held = reliable_checkpoint(both.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= k).drop("place")
-                                   .observe(obs, F.count_if("new").alias("rows")))
-        if obs.get["rows"] == 0:
-            return held.select("node", "hash")
+        new = reliable_checkpoint(fresh.observe(obs, F.coalesce(F.sum(F.size("hashes")), F.lit(0)).alias("rows")))
+        n, table, merged = obs.get["rows"], new, False
+        if n == 0:
+            break
+        while held and held[-1][0] <= 2 * n:
+            more, older = held.pop()
+            n, table, merged = n + more, older.unionByName(table), True
+        held.append((n, reliable_checkpoint(_smallest_hashes(table, k)) if merged else table))
+    return _smallest_hashes(functools.reduce(DataFrame.unionByName, [t for _, t in held]), k).select("node", F.explode("hashes").alias("hash"))
+
+
+def _smallest_hashes(held: DataFrame, k: int) -> DataFrame:
+    """One array a node with the ``k`` smallest of its hashes, which differ."""
+    return held.groupBy("node").agg(F.slice(F.sort_array(F.flatten(F.collect_list("hashes"))), 1, k).alias("hashes"))
 
 
 def reach_sizes(sketches: DataFrame, k: int = T.REACH_SKETCH_SIZE) -> DataFrame:
@@ -304,9 +326,13 @@ def blast_radius(edges: DataFrame, health: DataFrame, roots: DataFrame | None =
 
 
 def impact_sizes(edges: DataFrame, health: DataFrame, k: int = T.REACH_SKETCH_SIZE) -> DataFrame:
-    """L6 as an overview: one row for each failing node with the number of objects downstream of it (0 for one without edges)."""
-    reach = reach_sizes(reach_sketches(edges, k), k)
-    return failing_nodes(health).join(reach, "node", "left").select(
+    """L6 as an overview: one row for each failing node with the number of objects downstream of it (0 for one without edges).
+
+    A node's sketch follows from the nodes it leads to alone, so only edges that failing nodes lead to are looked at: a trace with one row a node finds them."""
+    e, failing = staged_table(edges.where(F.col("src") != F.col("dst")).select("src", "dst"), "edges"), reliable_checkpoint(failing_nodes(health))
+    below = trace(e, failing).select(F.col("node").alias("src"))
+    reach = reach_sizes(reach_sketches(e.join(below, "src", "left_semi"), k), k)
+    return failing.join(reach, "node", "left").select(
         F.col("node").alias("root"), F.coalesce("reach", F.lit(0).cast("bigint")).alias("reach"), F.coalesce("exact", F.lit(True)).alias("exact"))
 
 
