@@ -79,3 +79,46 @@ def test_buckets_follow_the_rows_and_runs_share_them(spark, monkeypatch):
     files = [f for d, _, fs in os.walk(out + "/master") for f in fs if f.endswith(".parquet")]
     assert len({f.split("_")[1].split(".")[0] for f in files}) > 8
     assert recovery.published_master(spark, out).count() == n
+
+
+def test_path_sizes_write_what_failing_columns_lead_to_and_leave_no_shuffles(spark, tmp_path):
+    from tidemark import session
+    from tidemark.plans.registry import load_all
+
+    n = 1500
+    spark.range(n).select(F.col("id").alias("p_partkey"), (F.col("id") * 7 % 50).cast("int").alias("p_size")).write.parquet(f"{tmp_path}/part.parquet")
+    fails = {3: 300.0, 40: 250.0, 41: 10.0, 900: 201.0, 5000: 400.0}
+    spark.createDataFrame([(k, k, "view", v) for k, v in fails.items()], "event_id long, user_id long, event_type string, value double").select(
+        "event_id", F.lit("2024-01-02 03:04:05").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value").write.parquet(f"{tmp_path}/events.parquet")
+    edges = {((r["src"], r["src_col"]), (r["dst"], r["dst_col"])) for r in L.column_edges(L.flatten_access(B.access_log(spark, str(tmp_path)))).collect()}
+
+    def reached(start, side):
+        seen, todo = {start}, [start]
+        while todo:
+            at = todo.pop()
+            new = {e[1 - side] for e in by[side].get(at, ())} - seen
+            seen |= new
+            todo += new
+        return seen
+
+    by = [{}, {}]
+    for e in edges:
+        by[0].setdefault(e[0], []).append(e)
+        by[1].setdefault(e[1], []).append(e)
+    want, pairs = {}, 0
+    for node in [(f"T{k}", f"c{i}") for k in (3, 40, 900) for i in (1, 2, 3)]:
+        down, up = reached(node, 0), reached(node, 1)
+        want[".".join(node)], pairs = sum(a in down or b in up for a, b in edges), pairs + len(down) + len(up)
+
+    def bytes_in(folders, start):
+        return sum(os.path.getsize(os.path.join(d, f)) for folder in folders for d, _, fs in os.walk(folder) for f in fs if f.startswith(start))
+
+    local = [f.getPath() for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    held = [session.checkpoint_dir(spark).removeprefix("file:")]
+    spark.sparkContext._jvm.System.gc()
+    before = bytes_in(local, "shuffle_"), bytes_in(held, "part-")
+    sizes = load_all()["lineage_path_sizes"].build(spark, str(tmp_path))
+    shuffles, tables = bytes_in(local, "shuffle_") - before[0], bytes_in(held, "part-") - before[1]
+    assert spark.conf.get(session.DROPS_SHUFFLES, None) is None
+    assert shuffles < 50_000 and tables < 40 * (len(edges) + pairs)
+    assert {r["root"]: r["edges"] for r in sizes.collect()} == want

@@ -11,7 +11,7 @@ from .. import thresholds as T
 from ..operators import lineage as L
 from ..operators import reach_index as R
 from ..sources import bindings as B
-from ..session import reliable_checkpoint
+from ..session import StagedTables, reliable_checkpoint
 from .registry import query
 
 # Freshness is judged at the end of the event run date.
@@ -103,10 +103,12 @@ SELECT root, COUNT(*) AS edges FROM (SELECT root, a, b FROM down JOIN ce ON ce.a
                                      UNION SELECT root, a, b FROM up JOIN ce ON ce.b = up.node) GROUP BY root""")
 def lineage_path_sizes(spark, d):
     """L5 for every column of the failing objects, from one reachability index: how many edges lie on paths through it."""
-    edges = reliable_checkpoint(L.column_edges(_flat(spark, d)))
+    staged = StagedTables()
+    edges = staged(L.column_edges(_flat(spark, d)).select("src", "src_col", "dst", "dst_col"), "column-edges")
     columns = edges.select(F.col("src").alias("node"), F.col("src_col").alias("column")).union(edges.select("dst", "dst_col")).distinct()
-    clicks = columns.join(L.failing_nodes(_health(spark, d)), "node", "left_semi").withColumnRenamed("node", "object")
-    found = R.paths(R.build(edges), clicks)
+    clicks = staged(columns.join(L.failing_nodes(_health(spark, d)), "node", "left_semi").withColumnRenamed("node", "object"), "clicks")
+    found = R.paths(R.build(edges, asked=clicks), clicks)
+    staged.discard(edges)
     return found.groupBy(F.concat_ws(".", "object", "column").alias("root")).agg(F.count(F.lit(1)).alias("edges"))
 
 
